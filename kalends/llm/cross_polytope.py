@@ -1,7 +1,7 @@
 """Operator 9: approximate nearest neighbours by cross-polytope hashing.
 
-Vectors are scaled to the unit ball, lifted to the unit sphere by one more coordinate (so that the
-nearest in angle is the largest in inner product), and turned by pseudo-random rotations: rounds of
+Vectors are scaled to the unit ball and, where their lengths differ, lifted to the unit sphere by one
+more coordinate (so that the nearest in angle is the largest in inner product), then turned by pseudo-random rotations: rounds of
 random signs and a fast Hadamard transform. A table's hash is the nearest signed axis. A query
 probes the axes nearest to it in every table; all vectors in the probed buckets are reranked by
 exact inner products. Buckets are salted by their counted size, queries stream past a bounded
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from kalends.llm.common import stored
 
 TABLES = 4
-PROBE_SHARE = 1 / 8  # of a table's buckets
+PROBE_SHARE = 1 / 4  # of a table's buckets
 ROTATIONS = 3
 SEED = 20
 BLOCK = 4096
@@ -48,25 +48,36 @@ def rotated(x: np.ndarray, table: int) -> np.ndarray:
     return x
 
 
-def lifted(x: np.ndarray, scale: float, query: bool) -> np.ndarray:
-    """Rows on the unit sphere of the next power of two above their dimension."""
-    size = 1 << int(x.shape[1]).bit_length()
-    out = np.zeros((len(x), size))
+def lifted(x: np.ndarray, scale: float, query: bool, lift: bool = True) -> np.ndarray:
+    """Rows on the unit sphere, in a power of two of dimensions."""
+    size = 1 << (x.shape[1] + int(lift) - 1).bit_length()
+    out = np.zeros((len(x), max(size, 2)))
     if query:
         out[:, : x.shape[1]] = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
     else:
         out[:, : x.shape[1]] = x / scale
-        out[:, x.shape[1]] = np.sqrt(np.maximum(0, 1 - (out[:, : x.shape[1]] ** 2).sum(1)))
+        if lift:
+            out[:, x.shape[1]] = np.sqrt(np.maximum(0, 1 - (out[:, : x.shape[1]] ** 2).sum(1)))
     return out
 
 
-def probes(x: np.ndarray, scale: float, table: int, query: bool, count: int = 1) -> np.ndarray:
+def probes(x: np.ndarray, scale: float, table: int, query: bool, lift: bool = True) -> np.ndarray:
     """The nearest signed axes of each row, nearest first: axis, or axis + dimensions for its negative."""
-    y = rotated(lifted(x, scale, query), table)
+    y = rotated(lifted(x, scale, query, lift), table)
     both = np.concatenate([y, -y], 1)
-    if count == 1:
+    if not query:
         return both.argmax(1)[:, None]
-    return np.argsort(-both, axis=1, kind="stable")[:, :count]
+    return np.argsort(-both, axis=1, kind="stable")[:, : max(1, int(both.shape[1] * PROBE_SHARE))]
+
+
+def packed(x: np.ndarray) -> list[bytes]:
+    """Rows as bytes; 32-bit where that loses nothing."""
+    narrow = x.astype("<f4")
+    return [r.tobytes() for r in (narrow if np.array_equal(narrow, x) else x.astype("<f8"))]
+
+
+def unpacked(raw: list[bytes], dim: int) -> np.ndarray:
+    return np.stack([np.frombuffer(r, "<f4" if len(r) == 4 * dim else "<f8").astype(np.float64) for r in raw])
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -84,9 +95,11 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     counts as one row.
     """
     rows = stored(usable(vectors, id_col, vector_col).dropDuplicates(["vec_id", "v"]), "vectors")
-    scale = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    least, scale = rows.agg(F.min(norm), F.max(norm)).first()
     if scale is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    lift = least < scale * (1 - 1e-5)
     scale = float(np.sqrt(scale)) * (1 + 1e-12)
     queries = rows.filter(F.pmod("vec_id", F.lit(query_modulus)) == 0)
     asked = queries.groupBy("v").agg(F.min("vec_id").alias("vec_id"))
@@ -103,12 +116,11 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                     for dim in np.unique(dims):
                         some = np.flatnonzero(dims == dim)
                         x = flat[start[some][:, None] + np.arange(dim)]
-                        count = max(1, int((2 << int(dim).bit_length()) * PROBE_SHARE)) if query else 1
                         for t in range(tables):
-                            buckets = probes(x, scale, t, query, count)
+                            buckets = probes(x, scale, t, query, lift)
                             rep = np.repeat(np.arange(len(some)), buckets.shape[1])
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(len(rep), dim, np.int32)), pa.array(np.full(len(rep), t, np.int32)), pa.array(buckets.ravel().astype(np.int32)), pa.array(ids[some][rep]), pa.array([r.tobytes() for r in x.astype("<f8")], pa.binary()).take(pa.array(rep))],
+                                [pa.array(np.full(len(rep), dim, np.int32)), pa.array(np.full(len(rep), t, np.int32)), pa.array(buckets.ravel().astype(np.int32)), pa.array(ids[some][rep]), pa.array(packed(x), pa.binary()).take(pa.array(rep))],
                                 names=["dim", "tab", "bucket", "vec_id", "raw"],
                             )
 
@@ -149,9 +161,9 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                     ids, rest, block = np.concatenate([ids, vec[i:j]]), rest + raw[i:j], None
                 elif len(ids):
                     if block is None:
-                        block = np.frombuffer(b"".join(rest), "<f8").reshape(len(ids), -1)
+                        block = unpacked(rest, at[0])
                     for s in range(i, j, 512):
-                        x = np.frombuffer(b"".join(raw[s : min(j, s + 512)]), "<f8").reshape(-1, block.shape[1])
+                        x = unpacked(raw[s : min(j, s + 512)], at[0])
                         near = x @ block.T
                         kth = np.partition(near, len(ids) - min(k + 1, len(ids)), axis=1)[:, len(ids) - min(k + 1, len(ids))]
                         u, w = np.nonzero(near >= kth[:, None] - 1e-9 * (1 + np.abs(kth[:, None])))
