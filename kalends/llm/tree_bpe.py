@@ -169,7 +169,8 @@ def encode_decode(docs: DataFrame, path: str, leaf: int = LEAF_CHARS, split_char
                 n = -(-len(r["text"]) // part)
                 n = 1 << (n - 1).bit_length()
                 cuts = [len(r["text"]) * i // n for i in range(n + 1)]
-                yield pa.RecordBatch.from_pylist([{"row": r["row"], "doc_id": r["doc_id"], "part": i, "text": r["text"][s:e]} for i, (s, e) in enumerate(zip(cuts, cuts[1:]))])
+                kinds = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("part", pa.int32()), ("text", pa.string())])
+                yield pa.RecordBatch.from_pylist([{"row": r["row"], "doc_id": r["doc_id"], "part": i, "text": r["text"][s:e]} for i, (s, e) in enumerate(zip(cuts, cuts[1:]))], kinds)
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = tree_encoder(path, leaf)
