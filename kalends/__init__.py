@@ -1,0 +1 @@
+"""Kalends: event listings on Spark."""
