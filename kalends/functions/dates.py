@@ -53,7 +53,7 @@ def schedule_date(c: Column) -> Column:
 def schedule_time(c: Column) -> Column:
     """DT4: HH:mm:ss from the five accepted forms."""
     t = F.upper(F.regexp_replace(F.trim(c), r"\s+", " "))
-    got = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in ("HH:mm", "HH:mm:ss", "h:mm a", "h:mma", "h a")])
+    got = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in ("H:mm", "H:mm:ss", "h:mm a", "h:mma", "h a")])
     return F.date_format(got, "HH:mm:ss")
 
 

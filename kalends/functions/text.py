@@ -82,9 +82,9 @@ ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'
 
 
 def unescape(c: Column) -> Column:
-    """HTML entities as characters: the named ones above and any decimal or hexadecimal number."""
+    """HTML entities as characters: the named ones above and any decimal number."""
     numbers = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(&#[0-9]{1,6};)"), 1))
-    c = F.aggregate(numbers, c, lambda t, n: F.replace(t, n, F.encode(F.chr(F.regexp_extract(n, "[0-9]+", 0).cast("long")), "utf-8").cast("string")))
+    c = F.aggregate(numbers, c, lambda t, n: F.replace(t, n, F.decode(F.unhex(F.lpad(F.hex(F.regexp_extract(n, "[0-9]+", 0).cast("long")), 8, "0")), "UTF-32")))
     for name, char in ENTITIES.items():
         c = F.replace(c, F.lit(name), F.lit(char))
     return c
