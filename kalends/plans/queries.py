@@ -511,3 +511,170 @@ def pipe5_validate(spark, d):
 @query(sql.survivors("select id from survivors"))
 def pipe6_dedupe_file(spark, d):
     return jobs.dedupe_file(upcoming(spark, d)).select("id")
+
+
+# ---- the rest of the inventory, on derived rows
+
+
+@query(sql.raw("select ingest_seq, source_id from raw_listing where source_id = 'src0'"))
+def src8_enabled_sources(spark, d):
+    catalogue = spark.sql("select * from values ('src0', 'Zero', true), ('src1', 'One', false), ('src2', 'Two', true) t(id, name, enabled)")
+    return landing.of_enabled(fx.raw_listing(spark, d), catalogue).select("ingest_seq", "source_id")
+
+
+@query(sql.raw("select ingest_seq, title from raw_listing where ingest_seq % 10 <> 9"))
+def src12_any_documents(spark, d):
+    """Groups of ten listings as an array, an envelope, or broken text by turns, read back; broken texts hold one row each."""
+    r = fx.raw_listing(spark, d)
+    one = r.filter("ingest_seq % 10 <> 9").groupBy(F.expr("ingest_seq div 10").alias("g")).agg(F.to_json(F.collect_list(F.struct("ingest_seq", "title"))).alias("a"))
+    docs = one.select(F.when(F.col("g") % 2 == 0, F.col("a")).otherwise(F.concat(F.lit('{"week_start":"x","events":'), F.col("a"), F.lit("}"))).alias("value")).unionByName(r.filter("ingest_seq % 10 = 9").select(F.lit("{broken").alias("value")))
+    return landing.any_events(docs).selectExpr("try_variant_get(event, '$.ingest_seq', 'bigint') as ingest_seq", "try_variant_get(event, '$.title', 'string') as title")
+
+
+@query(sql.raw("select ingest_seq, coalesce(price_text, case when ingest_seq % 2 = 0 then 'Fee: $' || (ingest_seq % 9 + 1) end) as price_text from raw_listing"))
+def src15_detail_prices(spark, d):
+    """Missing prices come from the record's own detail page, where there is one."""
+    r = fx.raw_listing(spark, d).withColumn("source_url", F.concat("source_url", F.lit("/"), F.col("ingest_seq").cast("string")))
+    web = r.filter("price_text is null and ingest_seq % 2 = 0").select(F.col("source_url").alias("url"), F.concat(F.lit('<html><p>About</p><div class="event-price">Fee: $'), (F.col("ingest_seq") % 9 + 1).cast("string"), F.lit("</div></html>")).alias("html"))
+    return pages.with_detail_price(r, web).select("ingest_seq", "price_text")
+
+
+@query(f"with {sql.CANDIDATES} select k, discovered_title, discovered_location_text from cand where k % 4 = 0 and discovered_location_text is not null")
+def src9_seed_candidates(spark, d):
+    """Candidates as aggregator cards and read back."""
+    c = fx.candidates(spark, d).withColumn("k", F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long")).filter("k % 4 = 0 and discovered_location_text is not null")
+    card = F.concat(F.lit('<article><h3><a href="'), F.col("seed_url"), F.lit('">'), F.col("discovered_title"), F.lit('</a></h3><time datetime="2024-01-01">January 1</time><span class="venue">'), F.col("discovered_location_text"), F.lit("</span></article>"))
+    listing_pages = c.groupBy(F.expr("k div 100").alias("g")).agg(F.array_join(F.collect_list(card), "").alias("html")).select(F.concat(F.lit("https://list.example.org/"), F.col("g").cast("string")).alias("url"), "html")
+    return pages.seed_candidates(listing_pages, "aggregator").select(F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long").alias("k"), "discovered_title", "discovered_location_text")
+
+
+def small_events(spark, d):
+    """Events of the given events table: one venue in three is virtual, points lie in and out of the area."""
+    e = table(spark, d, "events")
+    return e.select(
+        F.col("event_id").cast("string").alias("id"), F.concat(F.lit("Event "), F.col("event_type")).alias("title"), F.col("ts").cast("timestamp_ntz").alias("start"), F.expr("case when event_id % 3 = 0 then 'Online' else 'Hall' end").alias("location_name"), F.lit(None).cast("string").alias("location_address"),
+        F.array(F.lit("arts")).alias("tags"), F.lit(None).cast("string").alias("summary"), F.lit(None).cast("string").alias("short_note"), F.lit(None).cast("string").alias("city"), F.lit(None).cast("string").alias("county"), F.lit(None).cast("double").alias("geo_confidence"),
+        F.expr("case when event_id % 4 = 0 then null else 38.0D + (event_id % 20) / 10.0D end").alias("latitude"), F.lit(-77.0).alias("longitude"), F.concat(F.lit("https://h"), (F.col("event_id") % 5).cast("string"), F.lit(".org/x")).alias("source_url"), F.col("event_type").alias("source_name"),
+    )
+
+
+_LAT = "case when event_id % 4 = 0 then null else 38.0 + (event_id % 20) / 10.0 end"
+_IN = "coalesce(round(" + _LAT + ", 1) between 38.3 and 39.6, false)"
+
+
+@query(f"select event_id::varchar as id, case when event_id % 3 = 0 then case when event_id % 4 = 0 then 'virtual_skipped' else 'virtual_cleared' end when {_IN} then 'already_geocoded' else 'pending' end as geo_outcome, event_id % 3 <> 0 and {_IN} as is_mappable from events")
+def geo5_geo6_flow(spark, d):
+    done = geo.geocode(small_events(spark, d).withColumn("latitude", F.round("latitude", 1)), fx.cache_table(spark))
+    return done.select("id", "geo_outcome", "is_mappable")
+
+
+@query(f"select event_id::varchar as id, round({_LAT}, 1) as given_latitude from events where event_id % 4 <> 0 and not {_IN}")
+def snk8_suspicious(spark, d):
+    done = geo.geocode(small_events(spark, d).withColumn("latitude", F.round("latitude", 1)), fx.cache_table(spark), "report")
+    return geo.suspicious(done).select("id", "given_latitude")
+
+
+@query("select count(*) as event_count, count(distinct event_id % 5) as source_count, strftime(min(ts), '%Y-%m-%dT%H:%M:%S') as first_start from events where event_id < 500")
+def snk1_envelope(spark, d):
+    week = small_events(spark, d).filter("int(id) < 500").withColumn("start", F.date_trunc("SECOND", "start").cast("timestamp_ntz"))
+    return publish.envelope(week, fx.WEEK, "now").select(F.size("events").cast("long").alias("event_count"), "source_count", F.col("events")[0]["start"].alias("first_start"))
+
+
+@query("select query, latitude from (select c_name as query, case when c_custkey % 2 = 0 then 38.5 else case when c_custkey % 3 = 0 then null else 39.0 end end as latitude from customer)")
+def snk10_cache_merge(spark, d):
+    """Newer answers replace older ones, positive or negative."""
+    c = table(spark, d, "customer").select(F.col("c_name").alias("query"), F.col("c_custkey").alias("k"))
+    row = lambda lat, when: [F.expr(lat).cast("double").alias("latitude"), F.lit(-77.0).alias("longitude"), F.lit(0.9).alias("confidence"), F.lit(when).cast("timestamp").alias("resolved_at")]
+    old = c.select("query", *row("case when k % 3 = 0 then null else 39.0D end", "2024-01-01 00:00:00"))
+    return geo.merge_cache(old, c.filter("k % 2 = 0").select("query", *row("38.5D", "2024-02-01 00:00:00"))).select("query", "latitude")
+
+
+@query(f"with {sql.CANDIDATES} select candidate_id, 1 as resolution_attempts from identified where status not in ('rejected', 'published')")
+def flt8_open_candidates(spark, d):
+    return filters.open_candidates(fx.candidates(spark, d)).select("candidate_id", "resolution_attempts")
+
+
+@query(f"with {sql.CANDIDATES} select candidate_id, case when contains(url, '{urls.AGGREGATOR}') then null else url end as url, k % 2 = 0 as review from identified")
+def cand1_self_checks(spark, d):
+    c = fx.candidates(spark, d).withColumn("confidence", F.when(F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long") % 2 == 0, 0.3).otherwise(0.8))
+    return cand.self_checks(c).select("candidate_id", F.col("candidate_original_url").alias("url"), F.col("requires_manual_review").alias("review"))
+
+
+@query(f"with {sql.CANDIDATES} select candidate_id, coalesce(url, case when k % 2 = 0 then 'https://found.example.net/' || k end) as url, case when url is null and k % 2 = 0 then 0.7 else 0.2 end as confidence, case when url is null and k % 2 = 1 then 'no_original_url_found' end as review_reason from identified where k % 11 <> 2 and k % 13 <> 3")
+def cand2_chosen_urls(spark, d):
+    """Half of the candidates without a link find one on their detail page."""
+    k = F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long")
+    c = fx.candidates(spark, d).withColumn("confidence", F.lit(0.2)).filter((k % 11 != 2) & (k % 13 != 3))
+    web = c.filter(k % 2 == 0).select(F.col("seed_url").alias("url"), F.array(F.struct(F.lit("Home").alias("text"), F.lit("/").alias("href")), F.struct(F.lit("share").alias("text"), F.lit("https://x.com/s").alias("href")), F.struct(F.lit("Event website").alias("text"), F.concat(F.lit("https://found.example.net/"), k.cast("string")).alias("href"))).alias("anchors"))
+    return cand.chosen_urls(c, web).select("candidate_id", F.col("candidate_original_url").alias("url"), F.round("confidence", 4).alias("confidence"), "review_reason")
+
+
+@query(f"with {sql.CANDIDATES} select count(*) as found, count(*) filter (k % 3 = 0) as need_review, count(*) filter (status = 'published') as resolved, count(*) filter (status = 'rejected') as queued from identified")
+def agg12_discovery(spark, d):
+    c = fx.candidates(spark, d).withColumns({"requires_manual_review": F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long") % 3 == 0, "status": F.when(F.col("status") == "published", "resolved").when(F.col("status") == "rejected", "needs_review").otherwise(F.col("status"))})
+    return reports.discovery(c)
+
+
+@query("select k, least(100, (case when k % 2 = 0 then 30 else 15 end) + (case when k % 3 = 0 then 30 else 20 end) + (case when k % 5 = 0 then 20 else 10 end) + (case when k % 7 = 0 then 10 else 0 end) + (case when k % 2 = 1 then 10 else 0 end)) / 100.0 as extraction, round(0.3 * 0.5 + 0.7 * (least(100, (case when k % 2 = 0 then 30 else 15 end) + (case when k % 3 = 0 then 30 else 20 end) + (case when k % 5 = 0 then 20 else 10 end) + (case when k % 7 = 0 then 10 else 0 end) + (case when k % 2 = 1 then 10 else 0 end)) / 100.0), 4) as combined from (select o_orderkey as k from orders)")
+def sco4_sco5_confidence(spark, d):
+    k = F.col("k")
+    on = lambda n: F.when(k % n == 0, F.lit("x"))
+    none = F.lit(None).cast("string")
+    facts = F.struct(on(2).alias("title"), on(3).alias("start_text"), on(5).alias("location_name"), none.alias("location_address"), on(7).alias("cost_text"), none.alias("description_snippet"), none.alias("registration_url"))
+    found = F.struct(F.lit("t").alias("title"), F.lit("s").alias("start_text"), F.lit("l").alias("location_name"))
+    e = scores.extraction_confidence(facts, found, k % 2 == 1, F.lit(False))
+    return fx.orders(spark, d).select("k", e.alias("extraction")).withColumn("combined", scores.combined_confidence(F.lit(0.5), F.col("extraction")))
+
+
+@query("select k, case when k % 4 <> 0 then 'Long Page Title ' || k when k % 3 <> 0 then 'Found ' || k else 'Home' end as title, case when k % 3 = 0 then 'ld' when k % 2 = 0 then 'og' else 'html' end as start_text from (select o_orderkey as k from orders)")
+def fct1_fct2_facts(spark, d):
+    """Facts merged by trust; a generic page title gives way to the discovered one."""
+    k = F.col("k")
+    side = lambda start: F.struct(*[(start if f == "start_text" else F.lit(None)).cast("string").alias(f) for f in cand.FACTS])
+    merged = cand.merge_facts(side(F.when(k % 3 == 0, "ld").otherwise("")), side(F.when(k % 2 == 0, "og")), side(F.lit("html")))
+    title = cand.arbitrate_title(F.when(k % 4 != 0, F.concat(F.lit("Long Page Title "), k.cast("string"))).otherwise("Home"), F.when(k % 3 != 0, F.concat(F.lit("Found "), k.cast("string"))))
+    return fx.orders(spark, d).select("k", title.alias("title"), merged["start_text"].alias("start_text"))
+
+
+@query(sql.raw("select ingest_seq, list_sort(list_distinct(list_concat(['zz'], case i when 0 then ['indoor'] when 1 then ['outdoor', 'farm'] when 2 then ['indoor', 'storytime'] when 3 then ['outdoor'] else [] end)))::varchar as tags, coalesce(case i when 0 then true when 1 then false when 2 then true when 3 then false end, false) as rainy_day_friendly, coalesce(case when ingest_seq % 2 = 0 then 'Own' end, case i when 0 then 'Springfield' when 1 then 'Aldie' when 3 then 'Oakton' end) as city from (select *, " + _HINT.replace("lower(t)", "lower(location_text)") + " as i from raw_listing)"))
+def join2_apply_hint(spark, d):
+    hint = lookup.first_hint(F.col("location_text"), fx.HINTS, ["keyword", "tags", "rainy", "city", "county"])
+    r = fx.raw_listing(spark, d).withColumns({"hint": hint, "tags": F.array(F.lit("zz")), "rainy_day_friendly": F.lit(False), "city": F.when(F.col("ingest_seq") % 2 == 0, "Own"), "county": F.lit(None).cast("string")})
+    return lookup.apply_hint(r).select("ingest_seq", F.concat(F.lit("["), F.array_join("tags", ", "), F.lit("]")).alias("tags"), "rainy_day_friendly", "city")
+
+
+@query("select page_id, case when regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1) = 'en' then 'English Hall' end as venue from pages")
+def join12_slug_venues(spark, d):
+    venues = spark.sql("select * from values ('en', 'English Hall') t(slug, venue)")
+    return lookup.slug_venue(table(spark, d, "pages").select("page_id", F.col("url").alias("source_url")), venues).select("page_id", "venue")
+
+
+@query(sql.raw("select ingest_seq, keyword from (select ingest_seq, keyword, row_number() over (partition by ingest_seq order by rank) as n from raw_listing join (values (1, 'elm street'), (2, 'oak community'), (3, 'community center'), (4, 'farm')) h(rank, keyword) on contains(lower(location_text), keyword)) where n = 1"))
+def join1_large_hints(spark, d):
+    """The join form for rule tables that are too large for a literal."""
+    rows = spark.sql("select * from values (1, 'elm street'), (2, 'oak community'), (3, 'community center'), (4, 'farm') t(rank, keyword)")
+    return lookup.hinted(fx.raw_listing(spark, d), rows, "location_text").select("ingest_seq", "keyword")
+
+
+@query("select event_id, case when event_id % 2 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S') else strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.500000' end as iso from events")
+def dt7_iso(spark, d):
+    t = F.date_trunc("SECOND", "ts")
+    return table(spark, d, "events").select("event_id", dates.iso(F.when(F.col("event_id") % 2 == 0, t).otherwise(t + F.expr("interval 500 milliseconds"))).alias("iso"))
+
+
+@query("select c_custkey, c_custkey % 3 = 0 as several, c_custkey % 2 = 0 as machine, c_custkey % 5 = 0 as generic from customer")
+def str16_str17_str19_tests(spark, d):
+    k = F.col("c_custkey")
+    note = F.when(k % 3 == 0, F.lit("It rains. Bring boots.")).otherwise(F.lit("Dr. Jones reads on St. Mary St. today."))
+    name = F.when(k % 2 == 0, F.lit("Airandspace.Si")).otherwise(F.lit("Public Library"))
+    title = F.when(k % 5 == 0, F.lit("Page not found")).otherwise(F.concat(F.lit("Evening "), k.cast("string")))
+    return table(spark, d, "customer").select("c_custkey", text.several_sentences(note).alias("several"), text.machine_name(name).alias("machine"), text.generic_page_title(title).alias("generic"))
+
+
+@query("select c_custkey, case when c_custkey % 2 = 0 then 'Registration fee: $' || c_custkey else 'Fee $' || c_custkey end as price, nullif(concat_ws(', ', case when c_custkey % 3 = 0 then null else c_name end, case when c_custkey % 5 = 0 then null else c_mktsegment end), '') as place from customer")
+def str13_str20_texts(spark, d):
+    k = F.col("c_custkey").cast("string")
+    verbose = F.concat(F.repeat(F.lit("Come and see. "), 20), F.lit("Registration fee: $"), k, F.lit(". Then more."))
+    price = text.salvaged_price(F.when(F.col("c_custkey") % 2 == 0, verbose).otherwise(F.concat(F.lit("  Fee  $"), k)))
+    place = text.place_text(F.when(F.col("c_custkey") % 3 == 0, F.lit("  ")).otherwise(F.col("c_name")), F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit(" "), F.col("c_mktsegment"))))
+    return table(spark, d, "customer").select("c_custkey", price.alias("price"), place.alias("place"))
