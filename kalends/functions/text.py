@@ -22,16 +22,16 @@ def blank(c: Column) -> Column:
 
 def has(c: Column, pattern: str) -> Column:
     """Whether the pattern is found, ignoring case; false for null."""
-    return F.coalesce(c.rlike(f"(?iU){pattern}"), F.lit(False))
+    return F.coalesce(c.rlike(f"(?i){pattern}"), F.lit(False))
 
 
 def sub(c: Column, pattern: str, by: str = " ", case: bool = False) -> Column:
-    return F.regexp_replace(c, pattern if case else f"(?iU){pattern}", by)
+    return F.regexp_replace(c, pattern if case else f"(?i){pattern}", by)
 
 
 def found(c: Column, pattern: str, group: int = 0, case: bool = False) -> Column:
     """The first match, null if there is none."""
-    return F.nullif(F.regexp_extract(c, pattern if case else f"(?iU){pattern}", group), F.lit(""))
+    return F.nullif(F.regexp_extract(c, pattern if case else f"(?i){pattern}", group), F.lit(""))
 
 
 def squeeze(c: Column) -> Column:
