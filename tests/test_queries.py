@@ -24,7 +24,7 @@ def duck():
 
 def plain(df: pd.DataFrame) -> list[tuple]:
     def one(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return None
         if isinstance(v, bool) or type(v).__name__ == "bool":
             return str(bool(v))
