@@ -16,7 +16,9 @@ ODD = "\x00\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2028\u2029\u202f\u2
 #: A blank between two plain characters: the byte-level pre-tokenizer always starts a match here.
 SAFE_CUT = re.compile(r"(?<=[!-~\u00c0-\u024f])(?= [!-~\u00c0-\u024f])")
 TOUCHING = ("  ", "\n\n", " \n", "\n ")
-LIMIT = 400_000
+#: A word of plain Latin letters, perhaps after a blank and before one mark: one pre-token, or two.
+PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:]?)")
+LIMIT = 1_000_000
 LONG_CHUNK = 200
 
 _encoders: dict = {}
@@ -34,9 +36,30 @@ class ChunkEncoder(dict):
         self.tokenizer.no_padding()
         self.dtype, self.words_only = np.dtype(dtype), words_only
 
+        self.letters = byte_alphabet()
+        self.model = self.tokenizer.model
+
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _merged(self, pre_token: str) -> bytes:
+        """The library's merges for one pre-token, without its splitting."""
+        raw = "".join(map(self.letters.__getitem__, pre_token.encode()))
+        return np.array([t.id for t in self.model.tokenize(raw)], self.dtype).tobytes()
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        out, rest = {}, []
+        for c in new:
+            m = PLAIN.fullmatch(c)
+            if m is None:
+                rest.append(c)
+                continue
+            word, mark = m.groups()
+            found = self._merged(word.lower() if self.words_only else word)
+            out[c] = found + self._merged(mark) if mark else found
+        out.update(zip(rest, self._library(rest)))
+        return out
+
     def chunks(self, text: str) -> list[str]:
         if self.words_only:  # white space is dropped by the tokenizer, so any blank is a cut
             return text.replace("\n", " ").split(" ")
@@ -51,17 +74,12 @@ class ChunkEncoder(dict):
         except KeyError:
             pass
         new = [c for c in dict.fromkeys(chunks) if c not in self]
-        ids = self._library(new)
-        long = {}
         if len(self) + len(new) > LIMIT:
             self.clear()
             new = list(dict.fromkeys(chunks))
-            ids = self._library(new)
-        for c, x in zip(new, ids):
-            (self if len(c) <= LONG_CHUNK else long)[c] = x
-        if not long:
-            return b"".join(map(self.__getitem__, chunks))
-        return b"".join([long[c] if c in long else self[c] for c in chunks])
+        learned = self._learn(new)
+        self.update((c, x) for c, x in learned.items() if len(c) <= LONG_CHUNK)
+        return b"".join([self[c] if c in self else learned[c] for c in chunks])
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode(text), self.dtype)
