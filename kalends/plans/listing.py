@@ -26,7 +26,12 @@ WEEK = "2024-01-15"
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").cast("long").alias("k")).withColumns({"g": F.expr("k div 3"), "v": F.expr("k % 3")})
+    """The keys alone, spread over the cluster where the file gives fewer partitions than there are cores."""
+    keys = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").cast("long").alias("k"))
+    cores = spark.sparkContext.defaultParallelism
+    if keys.rdd.getNumPartitions() < cores:
+        keys = keys.repartition(cores, "k")
+    return keys.withColumns({"g": F.expr("k div 3"), "v": F.expr("k % 3")})
 
 
 def pick(words: list[str], index: str):
