@@ -87,5 +87,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+#: Base32 of a SHA-1: five hexadecimal digits hold four of its characters.
+OP2_SQL = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select *, sha1(h) as x, max(page_id) over (partition by h) as keeper from p)
+select page_id, strlen(h) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(x, (i // 4) * 5 + 1, 5))::bigint >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') as payload_digest,
+  case when page_id = keeper then 'response' else 'revisit' end as record_type, case when page_id <> keeper then keeper end as refers_to
+from d"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Only the archives can be said in SQL; tests hold the other operators against brute force."""
+    return {"op2_warc": OP2_SQL}
