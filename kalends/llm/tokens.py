@@ -8,6 +8,7 @@ are cut only where no pre-tokenizer match can span the cut, so the joined ids ar
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -44,8 +45,14 @@ class ChunkEncoder(dict):
 
     def _merged(self, pre_token: str) -> bytes:
         """The library's merges for one pre-token, without its splitting."""
-        raw = "".join(map(self.letters.__getitem__, pre_token.encode()))
-        return np.array([t.id for t in self.model.tokenize(raw)], self.dtype).tobytes()
+        if pre_token.isascii():  # plain letters and marks stand for themselves
+            raw = pre_token.replace(" ", self.letters[32])
+        else:
+            raw = "".join(map(self.letters.__getitem__, pre_token.encode()))
+        return self._packed([t.id for t in self.model.tokenize(raw)])
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array("I", ids).tobytes() if self.dtype == np.dtype("=u4") else np.array(ids, self.dtype).tobytes()
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         out, rest = {}, []
@@ -55,7 +62,10 @@ class ChunkEncoder(dict):
                 rest.append(c)
                 continue
             word, mark = m.groups()
-            found = self._merged(word.lower() if self.words_only else word)
+            base = word.lower() if self.words_only else word
+            found = self.get(base) or out.get(base)
+            if found is None:
+                found = out[base] = self._merged(base)
             out[c] = found + self._merged(mark) if mark else found
         out.update(zip(rest, self._library(rest)))
         return out
