@@ -72,7 +72,7 @@ def test_repair_random_access(n):
     shard = repair.Shard(repair.dump(ids, 10))
     for a in range(0, n, max(1, n // 7)):
         assert np.array_equal(shard.ids(a, n - a), ids[a:])
-    symbols, rules = repair.compress(np.zeros(1000, "<u4"), 10, min_count=2)
+    symbols, rules = repair.compress(np.zeros(1000, "<u4"), 10, rounds=6, min_count=2)
     assert len(symbols) < 100 and np.array_equal(repair.expand(symbols, rules, 10), np.zeros(1000))
 
 
