@@ -6,9 +6,10 @@ others share the symbol "other" and, inside it, have the add-one unigram probabi
 so the model gives every text a proper log-probability.
 
 Training: data-parallel truncated backpropagation. In each round every task starts from the shared
-parameters, walks its training documents' spans that fall to this round (a fixed share of the spans
-of every document, by hash, so that work grows with the corpus), carries the state across the
-windows of a span, and returns its parameters; these are averaged by tokens in two aggregations.
+parameters, walks its training documents' spans that fall to this round (the rounds take turns in
+each document, from a round by hash, so that together they learn from every training token once),
+carries the state across the windows of a span, and returns its parameters; these are averaged by
+tokens in two aggregations.
 
 The output softmax is factored by classes of about equal probability. Scoring runs documents side
 by side in lanes and carries each document's state across windows, so a text is scored whole.
@@ -37,7 +38,6 @@ HOT_WORDS = 1 << 18
 LONGEST_HOT = 64
 HIDDEN = 24
 ROUNDS = 2
-SPAN_SHARE = 16
 WINDOW, SPAN_WINDOWS = 32, 4
 TRAIN_LANES, SCORE_LANES = 32, 512
 RATE = 0.08
@@ -218,7 +218,7 @@ def symbols(ids: dict, text: bytes) -> np.ndarray:
     return np.array([*(ids.get(w, OTHER) for w in words), END], np.int32)
 
 
-def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, share: int = SPAN_SHARE) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     parameters = vocab.start()
     names = sorted(parameters)
     shapes = {n: parameters[n].shape for n in names}
@@ -233,8 +233,8 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, share: int =
             for batch in slices(batches):
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                     words = text.lower().split()
-                    first = ((doc_id or 0) * 2654435761 >> 7) % share
-                    for k in range((number * share // rounds - first) % share, -(-(len(words) + 1) // size), share):
+                    first = ((doc_id or 0) * 2654435761 >> 7) % rounds
+                    for k in range((number - first) % rounds, -(-(len(words) + 1) // size), rounds):
                         at = k * size
                         some = words[max(0, at - 1) : at + size]
                         span = [vocab.ids.get(w, OTHER) for w in some]

@@ -216,6 +216,18 @@ def test_gru_is_a_distribution_and_learns():
     assert np.allclose(gru_lm.log_likelihoods(vocab, trainer.p, long, lanes=2), alone, rtol=1e-4)
 
 
+def test_gru_learns_from_every_span(spark):
+    """Each 128-token span of each document is one word of its own, whose input row moves if the span is learnt from."""
+    size = gru_lm.WINDOW * gru_lm.SPAN_WINDOWS
+    word = lambda i, k: f"d{i}s{k}"
+    docs = spark.createDataFrame([(i, " ".join(word(i, k) for k in range(1 + i % 5) for _ in range(size - 1 if k == i % 5 else size))) for i in range(40)], "doc_id long, text string").repartition(3)
+    words = [word(i, k) for i in range(40) for k in range(1 + i % 5)]
+    vocab = gru_lm.Vocabulary([w.encode() for w in words], [size] * len(words), 40, 0)
+    moved = np.any(gru_lm.train(gru_lm.ids_and_bytes(docs), vocab)["x"] != vocab.start()["x"], axis=1)
+    learnt = {w for w in words if moved[vocab.ids[w.encode()]]}
+    assert learnt == {w for w in words if zlib.crc32(w[1 : w.index("s")].encode()) % 7 != 2}
+
+
 def test_severity(spark, empty):
     rng = random.Random(5)
     common, bad = [f"word{i}" for i in range(60)], ["vileness", "scumbag", "slurry", "hateful"]
