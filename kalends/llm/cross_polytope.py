@@ -1,10 +1,11 @@
 """Operator 9: approximate nearest neighbours by cross-polytope hashing.
 
-Vectors are scaled to the unit ball and, where their lengths differ, lifted to the unit sphere by one
-more coordinate (so that the nearest in angle is the largest in inner product), then turned by pseudo-random rotations: rounds of
+Vectors are dealt to bands of about equal length. In a band the nearest in angle are the largest in
+inner product, so hashes follow the directions: these are turned by pseudo-random rotations, rounds of
 random signs and a fast Hadamard transform. A table's hash is the nearest signed axis. A query
-probes the axes nearest to it in every table; all vectors in the probed buckets are reranked by
-exact inner products. Buckets are salted by their counted size, queries stream past a bounded
+probes the axes nearest to it in every table and band; all vectors in the probed buckets are reranked by
+exact inner products. A band of few vectors, as the longest ones have, is one bucket that every query
+meets; a query that met too few vectors is compared with all. Buckets are salted by their counted size, queries stream past a bounded
 block of vectors, and each task returns each query's best only, so no pair list is ever made.
 
 Copies: only the k + 1 smallest ids of equal vectors can be among any query's nearest, for equal
@@ -27,6 +28,8 @@ TABLES = 4
 PROBE_SHARE = 1 / 4  # of a table's buckets
 ROTATIONS = 3
 SEED = 20
+BAND_RATIO = 1.25  # of the lengths in a band
+WHOLE_BAND = 256
 BLOCK = 4096
 HELD_ROWS = 400_000
 
@@ -48,22 +51,22 @@ def rotated(x: np.ndarray, table: int) -> np.ndarray:
     return x
 
 
-def lifted(x: np.ndarray, scale: float, query: bool, lift: bool = True) -> np.ndarray:
-    """Rows on the unit sphere, in a power of two of dimensions."""
-    size = 1 << (x.shape[1] + int(lift) - 1).bit_length()
-    out = np.zeros((len(x), max(size, 2)))
-    if query:
-        out[:, : x.shape[1]] = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    else:
-        out[:, : x.shape[1]] = x / scale
-        if lift:
-            out[:, x.shape[1]] = np.sqrt(np.maximum(0, 1 - (out[:, : x.shape[1]] ** 2).sum(1)))
+def lengths(x: np.ndarray) -> np.ndarray:
+    most = np.abs(x).max(1, keepdims=True)
+    return most[:, 0] * np.linalg.norm(x / most, axis=1)
+
+
+def directions(x: np.ndarray) -> np.ndarray:
+    """Rows of length one, in a power of two of dimensions."""
+    out = np.zeros((len(x), max(1 << (x.shape[1] - 1).bit_length(), 2)))
+    x = x / np.abs(x).max(1, keepdims=True)
+    out[:, : x.shape[1]] = x / np.linalg.norm(x, axis=1, keepdims=True)
     return out
 
 
-def probes(x: np.ndarray, scale: float, table: int, query: bool, lift: bool = True) -> np.ndarray:
+def probes(x: np.ndarray, table: int, query: bool) -> np.ndarray:
     """The nearest signed axes of each row, nearest first: axis, or axis + dimensions for its negative."""
-    y = rotated(lifted(x, scale, query, lift), table)
+    y = rotated(directions(x), table)
     both = np.concatenate([y, -y], 1)
     if not query:
         return both.argmax(1)[:, None]
@@ -95,12 +98,10 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     counts as one row.
     """
     rows = stored(usable(vectors, id_col, vector_col).dropDuplicates(["vec_id", "v"]), "vectors")
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    least, scale = rows.agg(F.min(norm), F.max(norm)).first()
-    if scale is None:
+    most = F.array_max(F.transform("v", F.abs))
+    longest = rows.select(most.alias("most"), "v").agg(F.max(F.col("most") * F.sqrt(F.aggregate(F.transform("v", lambda x: x / F.col("most")), F.lit(0.0), lambda a, x: a + x * x)))).first()[0]
+    if longest is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lift = least < scale * (1 - 1e-5)
-    scale = float(np.sqrt(scale)) * (1 + 1e-12)
     queries = rows.filter(F.pmod("vec_id", F.lit(query_modulus)) == 0)
     asked = queries.groupBy("v").agg(F.min("vec_id").alias("vec_id"))
     base = rows.withColumn("copy", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).filter(F.col("copy") <= k + 1).drop("copy")
@@ -116,23 +117,27 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                     for dim in np.unique(dims):
                         some = np.flatnonzero(dims == dim)
                         x = flat[start[some][:, None] + np.arange(dim)]
+                        band = np.floor(np.maximum(0, np.log(longest) - np.log(lengths(x))) / np.log(BAND_RATIO) + 1e-4).astype(np.int32)
                         for t in range(tables):
-                            buckets = probes(x, scale, t, query, lift)
+                            buckets = probes(x, t, query)
+                            if query and not t:
+                                buckets = np.concatenate([np.full((len(x), 1), -1), buckets], 1)  # the bucket of small bands
                             rep = np.repeat(np.arange(len(some)), buckets.shape[1])
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(len(rep), dim, np.int32)), pa.array(np.full(len(rep), t, np.int32)), pa.array(buckets.ravel().astype(np.int32)), pa.array(ids[some][rep]), pa.array(packed(x), pa.binary()).take(pa.array(rep))],
-                                names=["dim", "tab", "bucket", "vec_id", "raw"],
+                                [pa.array(np.full(len(rep), dim, np.int32)), pa.array(band[rep]), pa.array(np.full(len(rep), t, np.int32)), pa.array(buckets.ravel().astype(np.int32)), pa.array(ids[some][rep]), pa.array(packed(x), pa.binary()).take(pa.array(rep))],
+                                names=["dim", "band", "tab", "bucket", "vec_id", "raw"],
                             )
 
         return run
 
-    schema = "dim int, tab int, bucket int, vec_id long, raw binary"
-    key = ["dim", "tab", "bucket"]
-    placed = stored(base.mapInArrow(hashed(False), schema), "buckets")
-    sizes = placed.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("salts"))  # a row per bucket and dimension
+    schema = "dim int, band int, tab int, bucket int, vec_id long, raw binary"
+    key = ["dim", "band", "tab", "bucket"]
+    every = stored(base.mapInArrow(hashed(False), schema), "buckets")
+    bands = every.filter("tab = 0").groupBy("dim", "band").agg((F.count("*") <= WHOLE_BAND).alias("whole"), F.count("*").alias("held"))  # a row per band and dimension
+    placed = every.join(bands.drop("held"), ["dim", "band"]).filter("tab = 0 or not whole").withColumn("bucket", F.when(F.col("whole"), -1).otherwise(F.col("bucket"))).drop("whole")
+    sizes = placed.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("salts"))  # a row per bucket, band and dimension
     held = placed.join(sizes, key).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int")).withColumn("is_query", F.lit(0)).drop("salts")
-    probing = asked.mapInArrow(hashed(True), schema).join(sizes, key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).withColumn("is_query", F.lit(1)).drop("salts")
-    together = held.unionByName(probing).repartition(*key, "salt").sortWithinPartitions(*key, "salt", "is_query", "vec_id")
+    probing = asked.mapInArrow(hashed(True), schema).drop("band")
 
     def best(found: list[tuple]) -> pa.RecordBatch:
         q, v, s = (np.concatenate(c) for c in zip(*found))
@@ -155,9 +160,9 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                 j = i
                 while j < len(keys) and keys[j] == keys[i]:
                     j += 1
-                if keys[i][:4] != at:
-                    at, ids, rest, block = keys[i][:4], np.zeros(0, np.int64), [], None
-                if not keys[i][4]:
+                if keys[i][:5] != at:
+                    at, ids, rest, block = keys[i][:5], np.zeros(0, np.int64), [], None
+                if not keys[i][5]:
                     ids, rest, block = np.concatenate([ids, vec[i:j]]), rest + raw[i:j], None
                 elif len(ids):
                     if block is None:
@@ -179,8 +184,21 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         if found:
             yield best(found)
 
-    merged = together.mapInArrow(rerank, "query_id long, vec_id long, score double").distinct()
-    top = merged.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("place") <= k + 1).drop("place")
+    def nearest(met: DataFrame, held: DataFrame) -> DataFrame:
+        """(query_id, vec_id, score): the k + 1 nearest among held of the queries that meet a bucket."""
+        asking = met.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).withColumn("is_query", F.lit(1)).drop("salts")
+        together = held.unionByName(asking).repartition(*key, "salt").sortWithinPartitions(*key, "salt", "is_query", "vec_id")
+        merged = together.mapInArrow(rerank, "query_id long, vec_id long, score double").distinct()
+        return merged.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("place") <= k + 1).drop("place")
+
+    top = stored(nearest(probing.join(sizes, ["dim", "tab", "bucket"]), held), "nearest")
+    # queries that met fewer vectors than they want and their dimension has meet all of them
+    counts = top.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("found"))
+    wanted = bands.groupBy("dim").agg(F.least(F.lit(k + 1), F.sum("held")).alias("wanted"))
+    short = stored(probing.filter("bucket = -1").select("dim", "vec_id", "raw").join(wanted, "dim").join(counts, "vec_id", "left").filter("coalesce(found, 0) < wanted").select("dim", "vec_id", "raw"), "short")
+    if not short.isEmpty():
+        full = nearest(short.join(sizes.filter("tab = 0"), "dim"), held.filter("tab = 0"))
+        top = top.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(full)
     # one search serves all queries with its vector
     share = queries.join(asked.select("v", F.col("vec_id").alias("asked_id")), "v").select("asked_id", F.col("vec_id").alias("query_id"))
     mine = share.join(top.withColumnRenamed("query_id", "asked_id"), "asked_id").filter("vec_id <> query_id")

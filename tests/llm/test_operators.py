@@ -277,6 +277,28 @@ def test_cross_polytope(spark):
     assert cross_polytope.search(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("norms, k", [("outlier", 20), ("lognormal", 20), ("unit", 600)])
+def test_cross_polytope_skewed_norms(spark, norms, k):
+    """Recall with one very long vector or lognormal lengths, all candidates of a few vectors, and a k beyond the probed buckets."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((700, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= {"outlier": np.where(np.arange(700) == 333, 100, 1), "lognormal": np.exp(rng.standard_normal(700)), "unit": np.ones(700)}[norms][:, None]
+    few = rng.standard_normal((15, 64 + 1))
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000 + i, v.tolist()) for i, v in enumerate(few)]
+    got = collections.defaultdict(set)
+    for r in cross_polytope.search(spark.createDataFrame(data, "vec_id long, embedding array<double>"), k=k).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    assert got[2000] == set(range(2001, 2015))
+    hit = 0
+    for q in range(0, 700, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(got[q] & set(np.argsort(-s)[:k].tolist()))
+        assert len(got[q]) == k
+    assert hit >= (0.9 if k == 20 else 1) * k * 35
+
+
 def brute_components(n, linked):
     label = list(range(n))
     changed = True
