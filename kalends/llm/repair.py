@@ -17,6 +17,7 @@ commits, says which of them count; a lost or repeated task does no harm.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import uuid
 import zlib
@@ -34,8 +35,7 @@ from kalends.llm.tokens import encoder
 
 MAGIC = b"REPAIR01"
 SHARD_IDS = 2_000_000
-ROUNDS = 3
-MIN_COUNT = 64
+MIN_COUNT = 24
 SLOT_BITS = 20
 MANIFEST = "shard string, part long, seq long, doc_id long, before long, n_tokens long"
 
@@ -44,18 +44,28 @@ def pair_round(symbols: np.ndarray, first_new: int, room: int, min_count: int, s
     """One round without sorting the stream: (symbols, pairs), pairs as left << 32 | right.
 
     Pairs are counted in hashed slots; a slot stands for one pair that falls into it, whose count is
-    exact. A pair that loses its slot gets another one in the next round, whose salt differs. The
+    exact. A pair that loses its slot gets another one in the next round, whose salt differs; if
+    no slot's pair is frequent, pairs are counted exactly and the most frequent ones take the slots. The
     most frequent pairs, up to room, become first_new, first_new + 1, ...; occurrences are replaced
     left to right, and in a run of overlapping ones every second from the run's start.
     """
     wide = symbols.astype(np.uint64)
     keys = (wide[:-1] << np.uint64(32)) | wide[1:]
-    slot = ((keys * np.uint64(0x9E3779B97F4A7C15 ^ (salt << 20))) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+    multiplier = np.uint64(0x9E3779B97F4A7C15 ^ (salt << 20))
+    slot = ((keys * multiplier) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
     held = np.zeros(1 << SLOT_BITS, np.uint64)
     held[slot] = keys
     own = keys == held[slot]
     counts = np.bincount(slot[own], minlength=1 << SLOT_BITS)
     chosen = np.flatnonzero(counts >= min_count)
+    if not len(chosen):
+        often = np.bincount(slot, minlength=1 << SLOT_BITS) >= min_count  # a pair counts at most as often as its slot
+        pairs, n = np.unique(keys[often[slot]], return_counts=True)
+        pairs = pairs[np.argsort(n, kind="stable")][np.sort(n) >= min_count]
+        held[((pairs * multiplier) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)] = pairs
+        own = keys == held[slot]
+        counts = np.bincount(slot[own], minlength=1 << SLOT_BITS)
+        chosen = np.flatnonzero(counts >= min_count)
     if len(chosen) > room:
         chosen = np.sort(chosen[np.argsort(-counts[chosen], kind="stable")[:room]])
     rank = np.full(1 << SLOT_BITS, -1, np.int32)
@@ -72,10 +82,13 @@ def pair_round(symbols: np.ndarray, first_new: int, room: int, min_count: int, s
     return out[keep], held[chosen]
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, rules): symbols below base are ids, base + k stands for the pair rules[k]; symbols stay in 16 bits."""
+def compress(ids: np.ndarray, base: int, rounds: int | None = None, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, rules): symbols below base are ids, base + k stands for the pair rules[k].
+
+    Rounds go on, at most so many if given, until no pair is found min_count times or symbols would leave 16 bits.
+    """
     symbols, rules, known = ids.astype(np.uint32), [], base
-    for number in range(rounds):
+    for number in range(rounds) if rounds is not None else itertools.count():
         room = 65_536 - known if base < 65_536 else 1 << 16
         if len(symbols) < 2 or room <= 0:
             break
@@ -133,10 +146,6 @@ class Shard:
         n[new] = self.sizes[self.symbols[new] - self.base]
         self.ends = np.cumsum(n)
 
-    def all(self) -> np.ndarray:
-        """Every id, for readers that want the whole shard."""
-        return expand(self.symbols, self.rules, self.base)
-
     def ids(self, start: int, length: int) -> np.ndarray:
         """Random access: ids[start : start + length], expanding only the symbols that cover them."""
         if not length:
@@ -201,15 +210,15 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pafs.FileSystem.from_uri(folder)
-        name, ids = None, None
+        name, shard = None, None
         for batch in batches:
             crc = []
             for at, before, n in zip(batch.column("shard").to_pylist(), batch.column("before").to_pylist(), batch.column("n_tokens").to_pylist()):
                 if at != name:
                     name = at
                     with store.open_input_stream(f"{root}/{at}") as f:
-                        ids = Shard(f.read()).all().astype("<u4")
-                crc.append(zlib.crc32(ids[before : before + n].tobytes()))
+                        shard = Shard(f.read())
+                crc.append(zlib.crc32(shard.ids(before, n).astype("<u4").tobytes()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("shard", "doc_id", "before", "n_tokens")), pa.array(crc, pa.int64())], names=["shard", "doc_id", "before", "n_tokens", "ids_crc32"])
 
     read = entries.mapInArrow(run, "shard string, doc_id long, before long, n_tokens long, ids_crc32 long")

@@ -76,6 +76,17 @@ def test_repair_random_access(n):
     assert len(symbols) < 100 and np.array_equal(repair.expand(symbols, rules, 10), np.zeros(1000))
 
 
+def test_repair_leaves_no_frequent_pair():
+    """A phrase of 32 ids, 40 times among many pairs that compete for slots, and a pair 30 times."""
+    rng, phrase = np.random.default_rng(1), np.arange(9000, 9032)
+    parts = [np.r_[rng.integers(0, 9000, 5000), phrase, [9040, 9041] if i < 30 else []] for i in range(40)]
+    ids = np.concatenate(parts).astype("<u4")
+    symbols, rules = repair.compress(ids, 10_000)
+    pairs = collections.Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
+    assert max(pairs.values()) < repair.MIN_COUNT == 24 and repair.expansions(rules, 10_000).max() >= 32
+    assert np.array_equal(repair.expand(symbols, rules, 10_000), ids)
+
+
 def test_warc(spark):
     html = ["<a>", "<a>", "", None, "<b>é</b>", "x" * 100_000, "<a>", "\r\n\r\nWARC/1.0", "<c>"]
     pages = spark.createDataFrame([(i, f"http://h/{i}\n", h, "clash") for i, h in enumerate(html)] + [(None, None, "<a>", "clash"), (8, "u", "<c>", "clash")], "page_id long, url string, html string, payload string")
