@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kalends import rules
@@ -479,14 +479,27 @@ def pipe1_daily(spark, d):
     return build.events.agg(F.count("*").alias("events"), F.count_if(F.col("cost_type") == "free").alias("free"), F.round(F.sum("family_friendly_score"), 2).alias("friendliness"), F.min("start").alias("first_start"))
 
 
+def stand_ins(links: DataFrame, given: DataFrame, parts: int = 4096) -> DataFrame:
+    """(url, page_url): each link's page, by the link's hash modulo the number of pages.
+
+    Pages are numbered from 0 by hash part and URL, part by part, so that no task numbers them all.
+    """
+    p = given.filter("url is not null").select(F.col("url").alias("page_url")).distinct().withColumn("part", F.pmod(F.xxhash64("page_url"), F.lit(parts)))
+    sizes = p.groupBy("part").agg(F.count("*").alias("size"))
+    starts = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))  # a row per part
+    numbered = p.join(starts, "part").select("page_url", (F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("page_url")) - 1).alias("n"))
+    total = sizes.agg(F.sum("size").alias("total"))
+    return links.join(F.broadcast(total), F.lit(True)).withColumn("n", F.pmod(F.xxhash64("url"), F.col("total"))).join(numbered, "n").select("url", "page_url")
+
+
 @query()
 def pipe2_discovery(spark, d):
     """Candidates of the week against pages that the given pages table stands in for."""
     c = fx.candidates(spark, d)
-    got = pages.fetched(table(spark, d, "pages"))
-    web = c.filter("candidate_original_url is not null").select(F.col("candidate_original_url").alias("url")).distinct().withColumn("n", F.pmod(F.xxhash64("url"), F.lit(50)))
-    numbered = got.withColumn("n", F.pmod(F.xxhash64("url"), F.lit(50))).groupBy("n").agg(F.min_by(F.struct("anchors", "facts", "json_ld"), "url").alias("p"))
-    fetched = web.join(numbered, "n").select("url", F.col("url").alias("final_url"), "p.anchors", "p.facts", "p.json_ld")
+    given = table(spark, d, "pages")
+    got = pages.fetched(given).withColumnRenamed("url", "page_url").drop("final_url")
+    web = c.filter("candidate_original_url is not null").select(F.col("candidate_original_url").alias("url")).distinct()
+    fetched = stand_ins(web, given).join(got, "page_url").select("url", F.col("url").alias("final_url"), "anchors", "facts", "json_ld")
     raw, review = jobs.discover(c, fetched, fx.WEEK, 2024)
     return raw.select("candidate_id", F.lit("resolved").alias("outcome")).unionByName(review.select("candidate_id", F.col("review_reason").alias("outcome")))
 

@@ -6,7 +6,9 @@ import os
 import duckdb
 import pandas as pd
 import pytest
+import xxhash
 
+from kalends.plans import queries
 from kalends.plans.queries import ORACLES, QUERIES
 
 DIR = "/root/testdata/sf0.001"
@@ -41,5 +43,20 @@ def test_against_sql(spark, duck, name):
     assert plain(QUERIES[name](spark, DIR).toPandas()) == plain(duck.execute(ORACLES[name]).df())
 
 
+def test_discovery_meets_every_page(spark, tmp_path, monkeypatch):
+    """Each link's page is the one that its hash points to among all pages, numbered by hash part and URL."""
+    own = [f"https://p{i}.example.org/" for i in range(200)]
+    (tmp_path / "orders.parquet").symlink_to(f"{DIR}/orders.parquet")
+    spark.createDataFrame([(i, u, f"<html><title>Gathering number {i}</title></html>") for i, u in enumerate(own)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    met, discover = [], queries.jobs.discover
+    monkeypatch.setattr(queries.jobs, "discover", lambda c, fetched, *a: (met.append(fetched), discover(c, fetched, *a))[1])
+    assert QUERIES["pipe2_discovery"](spark, str(tmp_path)).count() > 0
+    hashed = lambda u: (xxhash.xxh64_intdigest(u, 42) + 2**63) % 2**64 - 2**63
+    order = sorted(range(200), key=lambda i: (hashed(own[i]) % 4096, own[i]))
+    links = {r[0] for r in queries.fx.candidates(spark, str(tmp_path)).select("candidate_original_url").distinct().collect()} - {None}
+    got = {r["url"]: r["title"] for r in met[0].select("url", "facts.title").collect()}
+    assert got == {u: f"Gathering number {order[hashed(u) % 200]}" for u in links} and len(set(got.values())) > 150
+
+
 def test_every_query_has_an_oracle_or_is_a_job():
     assert {n for n in QUERIES if n not in ORACLES} <= {"pipe2_discovery", "pipe3_repair", "pipe4_geo_patch"}
