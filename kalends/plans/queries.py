@@ -561,6 +561,47 @@ def src9_seed_candidates(spark, d):
     return pages.seed_candidates(listing_pages, "aggregator").select(F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long").alias("k"), "discovered_title", "discovered_location_text")
 
 
+# The next four work on all rows; the queries without _whole, and their SQL, see a part of them.
+
+
+@query(sql.raw("select source_url || '/' || ingest_seq as url, title, start_text, location_text as location_name, price_text as cost_text from raw_listing"))
+def jsn1_json_ld_whole(spark, d):
+    """All listings, each with a URL of its own, as JSON-LD blocks (object, array or @graph by turns) and read back."""
+    r = fx.raw_listing(spark, d).withColumn("source_url", F.concat("source_url", F.lit("/"), F.col("ingest_seq").cast("string")))
+    one = F.to_json(F.struct(F.lit("Event").alias("@type"), F.col("title").alias("name"), F.col("start_text").alias("startDate"), F.struct(F.col("location_text").alias("name")).alias("location"), F.struct(F.col("price_text").alias("price")).alias("offers")))
+    g = F.expr("ingest_seq % 3")
+    block = F.when(g == 0, one).when(g == 1, F.concat(F.lit("[{\"@type\":\"Place\"},"), one, F.lit("]"))).otherwise(F.concat(F.lit("{\"@graph\":["), one, F.lit("]}")))
+    got = pages.json_ld_events(r.select(F.col("source_url").alias("url"), F.array(F.lit("no json"), block).alias("json_ld")))
+    return got.select("url", "ld.title", "ld.start_text", "ld.location_name", "ld.cost_text")
+
+
+@query(sql.raw("select ingest_seq, title from raw_listing"))
+def src12_any_documents_whole(spark, d):
+    """All listings in groups of ten as an array or an envelope by turns, read back, with broken texts beside them."""
+    r = fx.raw_listing(spark, d)
+    one = r.groupBy(F.expr("ingest_seq div 10").alias("g")).agg(F.to_json(F.collect_list(F.struct("ingest_seq", "title"))).alias("a"))
+    docs = one.select(F.when(F.col("g") % 2 == 0, F.col("a")).otherwise(F.concat(F.lit('{"week_start":"x","events":'), F.col("a"), F.lit("}"))).alias("value")).unionByName(r.filter("ingest_seq % 10 = 9").select(F.lit("{broken").alias("value")))
+    return landing.any_events(docs).selectExpr("try_variant_get(event, '$.ingest_seq', 'bigint') as ingest_seq", "try_variant_get(event, '$.title', 'string') as title")
+
+
+@query(f"with {sql.CANDIDATES} select k, discovered_title, discovered_location_text from cand where discovered_location_text is not null")
+def src9_seed_candidates_whole(spark, d):
+    """All candidates as aggregator cards and read back."""
+    c = fx.candidates(spark, d).withColumn("k", F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long")).filter("discovered_location_text is not null")
+    card = F.concat(F.lit('<article><h3><a href="'), F.col("seed_url"), F.lit('">'), F.col("discovered_title"), F.lit('</a></h3><time datetime="2024-01-01">January 1</time><span class="venue">'), F.col("discovered_location_text"), F.lit("</span></article>"))
+    listing_pages = c.groupBy(F.expr("k div 100").alias("g")).agg(F.array_join(F.collect_list(card), "").alias("html")).select(F.concat(F.lit("https://list.example.org/"), F.col("g").cast("string")).alias("url"), "html")
+    return pages.seed_candidates(listing_pages, "aggregator").select(F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long").alias("k"), "discovered_title", "discovered_location_text")
+
+
+@query(f"with {sql.CANDIDATES} select candidate_id, coalesce(url, case when k % 2 = 0 then 'https://found.example.net/' || k end) as url, case when url is null and k % 2 = 0 then 0.7 else 0.2 end as confidence, case when url is null and k % 2 = 1 then 'no_original_url_found' end as review_reason from identified")
+def cand2_chosen_urls_whole(spark, d):
+    """All candidates, those with the aggregator's own and Facebook links too; half of the candidates without a link find one on their detail page."""
+    k = F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long")
+    c = fx.candidates(spark, d).withColumn("confidence", F.lit(0.2))
+    web = c.filter(k % 2 == 0).select(F.col("seed_url").alias("url"), F.array(F.struct(F.lit("Home").alias("text"), F.lit("/").alias("href")), F.struct(F.lit("share").alias("text"), F.lit("https://x.com/s").alias("href")), F.struct(F.lit("Event website").alias("text"), F.concat(F.lit("https://found.example.net/"), k.cast("string")).alias("href"))).alias("anchors"))
+    return cand.chosen_urls(c, web).select("candidate_id", F.col("candidate_original_url").alias("url"), F.round("confidence", 4).alias("confidence"), "review_reason")
+
+
 def small_events(spark, d):
     """Events of the given events table: one venue in three is virtual, points lie in and out of the area."""
     e = table(spark, d, "events")

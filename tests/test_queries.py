@@ -43,6 +43,11 @@ def test_against_sql(spark, duck, name):
     assert plain(QUERIES[name](spark, DIR).toPandas()) == plain(duck.execute(ORACLES[name]).df())
 
 
+@pytest.mark.parametrize("name", ["jsn1_json_ld_whole", "src12_any_documents_whole", "src9_seed_candidates_whole", "cand2_chosen_urls_whole"])
+def test_whole_tables_against_sql(spark, duck, name):
+    assert plain(QUERIES[name](spark, DIR).toPandas()) == plain(duck.execute(ORACLES[name]).df())
+
+
 def test_discovery_meets_every_page(spark, tmp_path, monkeypatch):
     """Each link's page is the one that its hash points to among all pages, numbered by hash part and URL."""
     own = [f"https://p{i}.example.org/" for i in range(200)]
