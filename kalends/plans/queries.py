@@ -634,6 +634,13 @@ def snk1_envelope(spark, d):
     return publish.envelope(week, fx.WEEK, "now").select(F.size("events").cast("long").alias("event_count"), "source_count", F.col("events")[0]["start"].alias("first_start"))
 
 
+@query("select strftime(date_trunc('week', ts), '%Y-%m-%d') as week_start, count(*) as event_count, count(distinct event_id % 5) as source_count, strftime(min(ts), '%Y-%m-%dT%H:%M:%S') as first_start from events group by 1")
+def snk1_envelope_whole(spark, d):
+    """All events, each in the envelope of its week; snk1_envelope and its SQL see the first 500 only."""
+    dated = small_events(spark, d).withColumn("start", F.date_trunc("SECOND", "start").cast("timestamp_ntz"))
+    return publish.envelopes(dated, "now").select("week_start", F.size("events").cast("long").alias("event_count"), "source_count", F.col("events")[0]["start"].alias("first_start"))
+
+
 @query("select query, latitude from (select c_name as query, case when c_custkey % 2 = 0 then 38.5 else case when c_custkey % 3 = 0 then null else 39.0 end end as latitude from customer)")
 def snk10_cache_merge(spark, d):
     """Newer answers replace older ones, positive or negative."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kalends import rules
 from kalends.functions.dates import iso
+from kalends.functions.urls import host
 from kalends.operators.dedupe import retained_weeks
 from kalends.operators.reports import source_count
 
@@ -36,6 +37,17 @@ def envelope(events: DataFrame, week: str, generated_at: str) -> DataFrame:
     return body.join(F.broadcast(source_count(events)), F.lit(True)).select(F.lit(week).alias("week_start"), F.lit(generated_at).alias("generated_at"), "source_count", "event_count", "events")
 
 
+def envelopes(events: DataFrame, generated_at: str) -> DataFrame:
+    """SNK1 for every week that events start in: one document a week, as envelope() makes it."""
+    fields = {n: iso(F.col(n)).alias(n) if t.startswith("timestamp") else F.col(n) for n, t in events.dtypes}
+    row = F.struct(*[fields[c] for c in ("start", "title", *[c for c in events.columns if c not in ("start", "title")])])
+    week = F.date_format(F.date_trunc("WEEK", "start"), "yyyy-MM-dd").alias("week_start")
+    hosts, names = F.count_distinct(host(F.col("source_url"))), F.count_distinct("source_name")
+    body = events.groupBy(week).agg(F.array_sort(F.collect_list(row)).alias("events"), F.count("*").alias("event_count"))
+    sources = events.groupBy(week).agg(F.when(hosts == 0, names).otherwise(hosts).alias("source_count"))
+    return body.join(sources, "week_start").select("week_start", F.lit(generated_at).alias("generated_at"), "source_count", "event_count", "events")
+
+
 def manifest(known: DataFrame, week: str, generated_at: str, keep: int = rules.KEEP_WEEKS) -> DataFrame:
     """SNK2 with SET3: one row; known(week) are the weeks of the old index and of the files on disk."""
     weeks = retained_weeks(known, keep, week).filter("kept")

@@ -43,7 +43,7 @@ def test_against_sql(spark, duck, name):
     assert plain(QUERIES[name](spark, DIR).toPandas()) == plain(duck.execute(ORACLES[name]).df())
 
 
-@pytest.mark.parametrize("name", ["jsn1_json_ld_whole", "src12_any_documents_whole", "src9_seed_candidates_whole", "cand2_chosen_urls_whole"])
+@pytest.mark.parametrize("name", ["snk1_envelope_whole", "jsn1_json_ld_whole", "src12_any_documents_whole", "src9_seed_candidates_whole", "cand2_chosen_urls_whole"])
 def test_whole_tables_against_sql(spark, duck, name):
     assert plain(QUERIES[name](spark, DIR).toPandas()) == plain(duck.execute(ORACLES[name]).df())
 
