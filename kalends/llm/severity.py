@@ -107,9 +107,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fe
     Without any toxic row the model finds nothing toxic.
     """
     marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most and doc_id is not null")
-    # the sample is bounded by sample_rows, so it is broadcast and no text is shuffled
+    # the labels of the sample are bounded by sample_rows and broadcast; a repeated id counts once, by its least text
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = ids_and_text(docs).join(F.broadcast(marks.select("doc_id", F.col("toxic").cast("int").alias("toxic"))), "doc_id").select("doc_id", "text", "toxic")
+    rows = ids_and_text(docs).join(F.broadcast(marks.select("doc_id", F.col("toxic").cast("int").alias("toxic"))), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
 
     def tally(batches):
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fe
                 marked.append(sum(any(f in markers for f in fs) for fs in words))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(ids, pa.list_(pa.int32())), pa.array(marked, pa.int32())], names=["doc_id", "toxic", "ids", "marked"])
 
-    sample = rows.mapInArrow(encode, "doc_id long, toxic int, ids array<int>, marked int").collect()  # at most about sample_rows sparse rows
+    sample = rows.mapInArrow(encode, "doc_id long, toxic int, ids array<int>, marked int").collect()  # at most sample_rows sparse rows
     sample.sort(key=lambda r: (r["doc_id"], r["ids"]))
     grades = np.array([0 if not r["toxic"] else 1 if r["marked"] < 2 else 2 if r["marked"] < 4 else 3 for r in sample])
     w, t = fit([r["ids"] for r in sample], grades, len(chosen))

@@ -260,6 +260,16 @@ def test_severity(spark, empty):
     assert severity.drop_toxic(frame, model).columns == frame.columns
 
 
+def test_severity_sample_is_bounded(spark, monkeypatch):
+    """One labelled id holds most rows, with texts of its own."""
+    frame = spark.createDataFrame([(i % 40 if i < 40 else 7, f"fair words {'vileness' if i % 40 < 8 or i >= 40 else 'ocean'} n{i}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 8)) for i in range(40)], "doc_id long, toxic int")
+    sizes, fit = [], severity.fit
+    monkeypatch.setattr(severity, "fit", lambda rows, *a: (sizes.append(len(rows)), fit(rows, *a))[1])
+    severity.train(frame, labels, sample_rows=40)
+    assert sizes == [40]
+
+
 def F_toxic():
     from pyspark.sql import functions as F
 
