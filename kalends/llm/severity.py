@@ -27,6 +27,7 @@ MIN_DOCUMENTS = 5
 LEAST_LOG_ODDS, MARKER_LOG_ODDS = 1.0, 2.5
 GRADES = 3
 SCORE_LIMIT = 300_000
+VIRTUAL_WEIGHT = 0.05
 WORD = re.compile(r"\w+")
 
 
@@ -72,32 +73,104 @@ class Scorer(dict):
         return float(sum(hits[w] for w in sorted(hits)))
 
 
+class Likelihood:
+    """The penalised cumulative-link loss of sparse rows of counted features; convex in weights and thresholds together.
+
+    A virtual row without features, of small weight, stands for each grade, so that every threshold stays
+    finite and apart from the next even where a grade has no row.
+    """
+
+    def __init__(self, x: list[list[int]], grades: np.ndarray, n_features: int, l1: float) -> None:
+        self.n_rows, self.n_features, self.l1 = len(x), n_features, l1
+        size = np.array([len(r) for r in x], np.int64)
+        self.rows = np.repeat(np.arange(len(x)), size)
+        self.cols = np.fromiter((c for r in x for c in r), np.int64, int(size.sum()))
+        self.grades = np.concatenate([np.asarray(grades, np.int64), np.arange(GRADES + 1)])
+        self.weight = np.concatenate([np.ones(len(x)), np.full(GRADES + 1, VIRTUAL_WEIGHT)])
+        self.n = self.weight.sum()
+        # a bound on the curvature of each weight: half of its mean count times the length of the rows that hold it
+        self.step = 2 / np.maximum(np.bincount(self.cols, size[self.rows], n_features) / self.n, 1e-3)
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(self.rows, w[self.cols], self.n_rows), np.zeros(GRADES + 1)])
+
+    def ends(self, scores: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Log-probability of each row's grade, and P(severity > k) at the grade's lower and upper end."""
+        edges = np.concatenate([[-np.inf], t, [np.inf]])
+        low, high = (1 / (1 + np.exp(np.clip(edges[self.grades + k] - scores, -700, 700))) for k in (0, 1))
+        width = edges[self.grades + 1] - edges[self.grades]
+        # sigmoid(a) - sigmoid(b) = sigmoid(a) * (1 - sigmoid(b)) * (1 - exp(b - a)), which loses no digits
+        with np.errstate(divide="ignore", invalid="ignore"):
+            log_p = -np.logaddexp(0, edges[self.grades] - scores) - np.logaddexp(0, scores - edges[self.grades + 1]) + np.log(-np.expm1(-width))
+        return log_p, low, high
+
+    def loss(self, w: np.ndarray, scores: np.ndarray, t: np.ndarray) -> float:
+        if not np.all(np.diff(t) > 0):
+            return np.inf
+        return float(-self.weight @ self.ends(scores, t)[0] / self.n + self.l1 * np.abs(w).sum())
+
+    def slope(self, scores: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """d log-likelihood / d weights."""
+        _, low, high = self.ends(scores, t)
+        return np.bincount(self.cols, (1 - low - high)[self.rows], self.n_features) / self.n
+
+    def moved(self, w: np.ndarray, scores: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Thresholds after a damped Newton step; never worse, for it is halved until the loss falls."""
+        (_, low, high), c = self.ends(scores, t), self.weight
+        slope, curve = np.zeros(GRADES), np.zeros((GRADES, GRADES))
+        for k in range(GRADES):
+            over, under = self.grades == k + 1, self.grades == k
+            gap = [1 / np.expm1(t[j] - t[j - 1]) if 0 < j < GRADES else 0.0 for j in (k, k + 1)]
+            n_over, n_under = c[over].sum(), c[under].sum()
+            slope[k] = c[over] @ (1 - low[over]) + n_over * gap[1] - c[under] @ high[under] - n_under * gap[0]
+            curve[k, k] = c[over] @ (low[over] * (1 - low[over])) + c[under] @ (high[under] * (1 - high[under])) + n_over * gap[1] * (1 + gap[1]) + n_under * gap[0] * (1 + gap[0])
+            if k + 1 < GRADES:
+                curve[k, k + 1] = curve[k + 1, k] = -n_over * gap[1] * (1 + gap[1])
+        way = -np.linalg.solve(curve + 1e-9 * self.n * np.eye(GRADES), slope)
+        now, pace = self.loss(w, scores, t), 1.0
+        while pace > 1e-6:
+            if self.loss(w, scores, t + pace * way) < now:
+                return t + pace * way
+            pace /= 2
+        return t
+
+
 def fit(x: list[list[int]], grades: np.ndarray, n_features: int, rounds: int = 600, l1: float = 4e-5) -> tuple[np.ndarray, np.ndarray]:
-    """Shared weights and ordered thresholds by accelerated proximal gradient steps on the cumulative-link likelihood.
+    """Shared weights and ordered thresholds that minimise Likelihood; the loss never rises from round to round.
 
-    Each feature has a step of its own, from a bound on the curvature: its mean count times the
-    length of the rows that hold it.
+    Weights move by accelerated proximal gradient steps, each within its curvature bound; where momentum
+    would raise the loss, the round falls back to a plain step, which cannot. Thresholds move by damped Newton steps.
     """
-    n = max(1, len(x))
-    size = np.array([len(r) for r in x])
-    rows = np.repeat(np.arange(len(x)), size)
-    cols = np.array([c for r in x for c in r], np.int64)
-    step = 2 / (np.bincount(cols, size[rows], n_features) / n + 1e-3)
-    w = ahead = np.zeros(n_features)
-    t, at, pace = np.linspace(1.0, 3.0, GRADES), np.arange(len(x)), 1.0
-    ends = np.ones((len(x), 1)), np.zeros((len(x), 1))
+    f = Likelihood(x, grades, n_features, l1)
+    share = np.bincount(f.grades, f.weight, GRADES + 1)[::-1].cumsum()[::-1][1:] / f.n  # P(severity > k), falling
+    w, t = np.zeros(n_features), np.log1p(-share) - np.log(share)
+    scores = f.scores(w)
+    ahead, ahead_scores, pace, loss, still = w, scores, 1.0, f.loss(w, scores, t), 0
+
+    def step(start: np.ndarray, start_scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        new = start + f.step * f.slope(start_scores, t)
+        new = np.sign(new) * np.maximum(np.abs(new) - f.step * l1, 0)
+        found = f.scores(new)
+        return new, found, f.loss(new, found, t)
+
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, ahead[cols], len(x))[:, None] - t, -50, 50)))
-        cum = np.concatenate([ends[0], p, ends[1]], 1)
-        d = np.concatenate([ends[1], p * (1 - p), ends[1]], 1)
-        prob = np.maximum(cum[at, grades] - cum[at, grades + 1], 1e-9)
-        slope = (d[at, grades] - d[at, grades + 1]) / prob / n  # d log-likelihood / d score
-        new = ahead + step * np.bincount(cols, slope[rows], n_features)
-        new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
+        new, new_scores, new_loss = step(ahead, ahead_scores)
+        if new_loss > loss:
+            pace = 1.0
+            new, new_scores, new_loss = step(w, scores)
+            if new_loss > loss:  # the minimum, to rounding
+                new, new_scores, new_loss = w, scores, loss
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        ahead, w, pace = new + (pace - 1) / faster * (new - w), new, faster
-        rise = np.array([((grades == k) * d[:, k + 1] / prob - (grades == k + 1) * d[:, k + 1] / prob).sum() / n for k in range(GRADES)])
-        t = np.maximum.accumulate(t + rise) + 1e-6 * np.arange(GRADES)
+        by = (pace - 1) / faster
+        ahead, ahead_scores, pace = new + by * (new - w), new_scores + by * (new_scores - scores), faster
+        w, scores = new, new_scores
+        t = f.moved(w, scores, t)
+        before, loss = loss, f.loss(w, scores, t)
+        still = still + 1 if before - loss < 1e-8 else 0
+        if still == 5:
+            break
+    if not (np.isfinite(loss) and np.isfinite(w).all() and np.isfinite(t).all()):
+        raise ArithmeticError("the ordinal fit left the finite numbers")
     return w, t
 
 
