@@ -8,6 +8,7 @@ are cut only where no pre-tokenizer match can span the cut, so the joined ids ar
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 
 import numpy as np
@@ -17,16 +18,20 @@ ODD = "\x00\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2028\u2029\u202f\u2
 #: A blank between two plain characters: the byte-level pre-tokenizer always starts a match here.
 SAFE_CUT = re.compile(r"(?<=[!-~\u00c0-\u024f])(?= [!-~\u00c0-\u024f])")
 TOUCHING = ("  ", "\n\n", " \n", "\n ")
-#: A word of plain Latin letters, perhaps after a blank and before one mark: one pre-token, or two.
-PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:]?)")
-LIMIT = 1_000_000
+#: A word of plain Latin letters, perhaps after a blank and before a run of marks: one pre-token, or two.
+PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+LIMIT = 500_000
 LONG_CHUNK = 200
 
 _encoders: dict = {}
 
 
 class ChunkEncoder(dict):
-    """text -> little-endian ids as bytes, equal to the library's encode(text, add_special_tokens=False)."""
+    """text -> little-endian ids as bytes, equal to the library's encode(text, add_special_tokens=False).
+
+    Chunks are kept in two generations: when the younger is full it becomes the older, whose chunks are
+    taken over when they are met again, so frequent chunks stay and the others go.
+    """
 
     def __init__(self, path: str, dtype: str = "<u4", words_only: bool = False) -> None:
         from tokenizers import Tokenizer
@@ -36,12 +41,31 @@ class ChunkEncoder(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype, self.words_only = np.dtype(dtype), words_only
-
+        self.code = {4: "I", 2: "H"}[self.dtype.itemsize] if self.dtype.newbyteorder("=") == np.dtype(f"=u{self.dtype.itemsize}") and sys.byteorder == "little" else ""
+        self.older: dict[str, bytes] = {}
         self.letters = byte_alphabet()
-        self.model = self.tokenizer.model
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.tokenize = self.tokenizer.model.tokenize
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.pop(chunk, None) if self.older else None
+        if ids is None:
+            ids = self._learn(chunk)
+        if len(chunk) <= LONG_CHUNK:
+            if len(self) >= LIMIT:
+                self.older = self.copy()
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+    def _learn(self, chunk: str) -> bytes:
+        m = PLAIN.fullmatch(chunk)
+        if m is None:
+            return self._packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        word, mark = m.groups()
+        base = word.lower() if self.words_only else word
+        if base == chunk:
+            return self._merged(base)
+        return self[base] + self[mark] if mark else self[base]
 
     def _merged(self, pre_token: str) -> bytes:
         """The library's merges for one pre-token, without its splitting."""
@@ -49,26 +73,10 @@ class ChunkEncoder(dict):
             raw = pre_token.replace(" ", self.letters[32])
         else:
             raw = "".join(map(self.letters.__getitem__, pre_token.encode()))
-        return self._packed([t.id for t in self.model.tokenize(raw)])
+        return self._packed([t.id for t in self.tokenize(raw)])
 
     def _packed(self, ids: list[int]) -> bytes:
-        return array("I", ids).tobytes() if self.dtype == np.dtype("=u4") else np.array(ids, self.dtype).tobytes()
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        out, rest = {}, []
-        for c in new:
-            m = PLAIN.fullmatch(c)
-            if m is None:
-                rest.append(c)
-                continue
-            word, mark = m.groups()
-            base = word.lower() if self.words_only else word
-            found = self.get(base) or out.get(base)
-            if found is None:
-                found = out[base] = self._merged(base)
-            out[c] = found + self._merged(mark) if mark else found
-        out.update(zip(rest, self._library(rest)))
-        return out
+        return array(self.code, ids).tobytes() if self.code else np.array(ids, self.dtype).tobytes()
 
     def chunks(self, text: str) -> list[str]:
         if self.words_only:  # white space is dropped by the tokenizer, so any blank is a cut
@@ -78,18 +86,7 @@ class ChunkEncoder(dict):
         return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
 
     def encode(self, text: str) -> bytes:
-        chunks = self.chunks(text)
-        try:
-            return b"".join(map(self.__getitem__, chunks))
-        except KeyError:
-            pass
-        new = [c for c in dict.fromkeys(chunks) if c not in self]
-        if len(self) + len(new) > LIMIT:
-            self.clear()
-            new = list(dict.fromkeys(chunks))
-        learned = self._learn(new)
-        self.update((c, x) for c, x in learned.items() if len(c) <= LONG_CHUNK)
-        return b"".join([self[c] if c in self else learned[c] for c in chunks])
+        return b"".join(map(self.__getitem__, self.chunks(text)))
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode(text), self.dtype)
