@@ -72,8 +72,8 @@ def test_repair_random_access(n):
     shard = repair.Shard(repair.dump(ids, 10))
     for a in range(0, n, max(1, n // 7)):
         assert np.array_equal(shard.ids(a, n - a), ids[a:])
-    symbols, rules = repair.compress(np.zeros(1000, "<u4"), 10, rounds=6, min_count=2)
-    assert len(symbols) < 100 and np.array_equal(repair.expand(symbols, rules, 10), np.zeros(1000))
+    symbols, rules = repair.compress(np.zeros(1000, "<u4"), 10, min_count=2)
+    assert len(symbols) < 20 and np.array_equal(repair.expand(symbols, rules, 10), np.zeros(1000))
 
 
 def test_repair_leaves_no_frequent_pair():
@@ -87,6 +87,32 @@ def test_repair_leaves_no_frequent_pair():
     assert np.array_equal(repair.expand(symbols, rules, 10_000), ids)
 
 
+@pytest.mark.parametrize("base", [10, 65_530, 1 << 22])
+def test_repair_long_rules_and_wide_symbols(base):
+    """Long runs give rules beyond the short ones; a large vocabulary gives symbols beyond 16 bits and pairs too wide to sort in one integer."""
+    ids = np.concatenate([np.full(30_000, 7), np.random.default_rng(1).integers(0, 10, 3000), np.full(20_000, 7)]).astype("<u4")
+    shard = repair.Shard(repair.dump(ids, base))
+    assert shard.sizes.max() > repair.SHORT_RULE and len(shard.symbols) < 4000
+    for a, n in [(0, 50), (29_990, 500), (31_000, 1), (12_345, 20_000), (0, len(ids))]:
+        assert np.array_equal(shard.ids(a, n), ids[a : a + n])
+
+
+def brute_pairs(symbols):
+    return collections.Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
+
+
+def test_repair_rounds_choose_exactly_the_frequent_pairs():
+    ids = np.random.default_rng(5).zipf(1.3, 20_000).clip(0, 400).astype(np.uint32)
+    symbols, newest, known = ids, 0, 401
+    while True:
+        want = {p for p, n in brute_pairs(symbols).items() if n >= 24}
+        symbols, pairs = repair.pair_round(symbols, newest, known, 24)
+        assert {(int(p) >> 32, int(p) & 0xFFFFFFFF) for p in pairs} == want
+        if not want:
+            break
+        newest, known = known, known + len(pairs)
+
+
 def test_warc(spark):
     html = ["<a>", "<a>", "", None, "<b>é</b>", "x" * 100_000, "<a>", "\r\n\r\nWARC/1.0", "<c>"]
     pages = spark.createDataFrame([(i, f"http://h/{i}\n", h, "clash") for i, h in enumerate(html)] + [(None, None, "<a>", "clash"), (8, "u", "<c>", "clash")], "page_id long, url string, html string, payload string")
@@ -168,6 +194,17 @@ def test_token_counts(docs, empty):
 
 def test_packing(docs, empty):
     path, t = tokenizer_path("byte_bpe_50k.json"), tokenizer("byte_bpe_50k.json")
+    every = packing.pack(docs, path).collect()  # with a null id and a repeated row
+    own = collections.Counter((i, len(t.encode(text, add_special_tokens=False).ids) + 1) for i, text in pairs(docs))
+    tokens = collections.Counter()
+    for p in every:
+        tokens[p["doc_id"], p["doc_tokens"]] += p["length"]
+    assert tokens == {(i, n): n * copies for (i, n), copies in own.items()} and max(own.values()) == 2
+    taken = collections.defaultdict(set)
+    for p in every:
+        assert not taken[p["sequence_id"]] & (span := set(range(p["offset"], p["offset"] + p["length"])))
+        taken[p["sequence_id"]] |= span
+    assert all(s == set(range(len(s))) for s in taken.values())
     pieces = packing.pack(docs.filter("doc_id is not null").dropDuplicates(["doc_id"]), path).collect()
     by_doc, by_seq = collections.defaultdict(list), collections.defaultdict(list)
     for p in pieces:
@@ -180,9 +217,9 @@ def test_packing(docs, empty):
             assert (p["start"], p["doc_tokens"]) == (at, len(ids)) and p["ids_crc32"] == zlib.crc32(ids[at : at + p["length"]].tobytes())
             at += p["length"]
         assert at == len(ids)
-    for own in by_seq.values():
+    for held in by_seq.values():
         at = 0
-        for p in sorted(own, key=lambda p: p["offset"]):
+        for p in sorted(held, key=lambda p: p["offset"]):
             assert p["offset"] == at
             at += p["length"]
         assert at <= 1024
@@ -211,53 +248,156 @@ def test_gru(docs, empty, spark):
     assert gru_lm.score(empty).count() == 0
 
 
+def slow_log_likelihood(vocab, p, symbols):
+    """Forward pass of one text, step by step in double precision."""
+    q, k, h, last, total = {n: v.astype(float) for n, v in p.items()}, gru_lm.HIDDEN, np.zeros(gru_lm.HIDDEN), gru_lm.END, 0.0
+    for y in symbols:
+        g, a = q["x"][last], h @ q["h"]
+        z, r = (1 / (1 + np.exp(-(g[i * k : i * k + k] + a[i * k : i * k + k]))) for i in (0, 1))
+        n = np.tanh(g[2 * k :] + r * a[2 * k :])
+        h, last = (1 - z) * n + z * h, y
+        spot = vocab.spot[y]
+        c = vocab.klass[spot]
+        lo, hi = vocab.edges[c], vocab.edges[c + 1]
+        for logits, at in ((h @ q["c"] + q["cb"], c), (q["o"][lo:hi] @ h + q["ob"][lo:hi], spot - lo)):
+            total += logits[at] - np.log(np.exp(logits).sum())
+    return total / np.log(10)
+
+
 def test_gru_is_a_distribution_and_learns():
     words = [f"w{i}".encode() for i in range(30)]
     vocab = gru_lm.Vocabulary(words, list(range(60, 30, -1)), 10, 5)
     trainer = gru_lm.Trainer(vocab, vocab.start())
     for logp in [sum(np.exp(gru_lm.output(trainer.p, vocab, np.ones((1, gru_lm.HIDDEN), np.float32), np.array([y]))[0][0]) for y in range(len(vocab)))]:
         assert abs(logp - 1) < 1e-5
-    cycle = np.array([0, *([2, 3, 4, 5, 6] * 12), 0], np.int32)
-    before = gru_lm.log_likelihoods(vocab, trainer.p, [cycle[1:]])[0]
+    cycle = np.array([*([2, 3, 4, 5, 6] * 12), 0], np.uint16)
+    before = gru_lm.log_likelihoods(vocab, trainer.p, [cycle])[0]
     for _ in range(60):
-        trainer.spans([cycle] * 32)
-    assert gru_lm.log_likelihoods(vocab, trainer.p, [cycle[1:]])[0] > before / 2
-    long = [cycle[1:], np.array([0]), np.tile(cycle[1:], 9)]
-    alone = [gru_lm.log_likelihoods(vocab, trainer.p, [x])[0] for x in long]
-    assert np.allclose(gru_lm.log_likelihoods(vocab, trainer.p, long, lanes=2), alone, rtol=1e-4)
-
-
-def test_gru_learns_from_every_span(spark):
-    """Each 128-token span of each document is one word of its own, whose input row moves if the span is learnt from."""
-    size = gru_lm.WINDOW * gru_lm.SPAN_WINDOWS
-    word = lambda i, k: f"d{i}s{k}"
-    docs = spark.createDataFrame([(i, " ".join(word(i, k) for k in range(1 + i % 5) for _ in range(size - 1 if k == i % 5 else size))) for i in range(40)], "doc_id long, text string").repartition(3)
-    words = [word(i, k) for i in range(40) for k in range(1 + i % 5)]
-    vocab = gru_lm.Vocabulary([w.encode() for w in words], [size] * len(words), 40, 0)
-    moved = np.any(gru_lm.train(gru_lm.ids_and_bytes(docs), vocab)["x"] != vocab.start()["x"], axis=1)
+        trainer.stream([cycle] * 64)
+    assert gru_lm.log_likelihoods(vocab, trainer.p, [cycle])[0] > before / 2
+    long = [cycle, np.array([0], np.uint16), np.tile(cycle, 9)]
+    alone = [slow_log_likelihood(vocab, trainer.p, x) for x in long]
+    for lanes in (1, 2, 512):
+        assert np.allclose(gru_lm.log_likelihoods(vocab, trainer.p, long, lanes=lanes), alone, rtol=1e-4)
+
+
+def test_gru_slopes(monkeypatch):
+    """Every parameter's slope over one window against finite differences of the loss; state is reset inside the window."""
+    rng = np.random.default_rng(6)
+    vocab = gru_lm.Vocabulary([b"a", b"b", b"c", b"d"], [4, 3, 2, 1], 2, 1)
+    p = {n: (v + rng.standard_normal(v.shape) * 0.3).astype(np.float64) for n, v in vocab.start().items()}
+    x, y = rng.integers(0, 6, (7, 3)), rng.integers(0, 6, (7, 3))
+    fresh, on, h = rng.random((7, 3)) < 0.2, rng.random((7, 3)) < 0.8, rng.standard_normal((3, gru_lm.HIDDEN))
+    found = {}
+    monkeypatch.setattr(gru_lm.Trainer, "move", lambda self, name, slope, rows=slice(None): found.__setitem__(name, (slope * 3, rows)))
+    trainer = gru_lm.Trainer(vocab, p)
+    trainer.window(x, y, fresh, on, h)
+
+    def loss():
+        states = gru_lm.run_window(p, x, fresh, h)[0]
+        return -gru_lm.output(p, vocab, states[on], y[on])[0].sum()
+
+    for name, (slope, rows) in found.items():
+        whole = np.zeros_like(p[name])
+        whole[rows] = slope
+        for at in zip(*(rng.integers(0, n, 12) for n in whole.shape)):
+            keep, step = p[name][at], 1e-2
+            p[name][at] = keep + step
+            high = loss()
+            p[name][at] = keep - step
+            low = loss()
+            p[name][at] = keep
+            assert abs((high - low) / (2 * step) - whole[at]) < 2e-3 * (1 + abs(whole[at])), (name, at)
+
+
+def test_gru_beats_the_unigram_base_on_held_out_texts(spark):
+    """Texts from a random walk over words: what the model learnt from training texts holds for the others."""
+    rng = random.Random(8)
+    after = {w: rng.sample(range(60), 3) for w in range(60)}
+
+    def walk(n):
+        w, out = rng.randrange(60), []
+        for _ in range(n):
+            out.append(f"w{w}")
+            w = rng.choice(after[w]) if rng.random() < 0.9 else rng.randrange(60)
+        return " ".join(out)
+
+    frame = spark.createDataFrame([(i, walk(rng.randint(5, 300))) for i in range(800)], "doc_id long, text string").repartition(2)
+    held = gru_lm.score(frame).filter("held_out").selectExpr("sum(score) as model", "sum(base_score) as base", "sum(n_tokens) as n").first()
+    assert (held["model"] - held["base"]) / held["n"] > 0.2  # log10 units a token
+
+
+def test_gru_learns_from_every_text(spark, monkeypatch):
+    """Each document holds a word of its own, whose input row moves if the document is learnt from; a long one fills several windows."""
+    docs = spark.createDataFrame([(i, " ".join([f"d{i}"] * (3 + 40 * (i % 5)))) for i in range(200)] + [(7, "d7")], "doc_id long, text string").repartition(3)
+    words = [f"d{i}" for i in range(200)]
+    vocab = gru_lm.Vocabulary([w.encode() for w in words], [9] * len(words), 200, 0)
+    encoded = gru_lm.encode(gru_lm.ids_and_bytes(docs), vocab, [(w.encode(), 9) for w in words], 200)
+    start, rng = vocab.start(), np.random.default_rng(1)
+    start |= {n: rng.standard_normal(start[n].shape).astype(np.float32) for n in ("c", "o")}  # so that the first window moves input rows as well
+    monkeypatch.setattr(gru_lm.Vocabulary, "start", lambda self: start)
+    moved = np.any(gru_lm.train(encoded, vocab)["x"] != start["x"], axis=1)
     learnt = {w for w in words if moved[vocab.ids[w.encode()]]}
-    assert learnt == {w for w in words if zlib.crc32(w[1 : w.index("s")].encode()) % 7 != 2}
-
-
-def test_severity(spark, empty):
-    rng = random.Random(5)
-    common, bad = [f"word{i}" for i in range(60)], ["vileness", "scumbag", "slurry", "hateful"]
-    data = []
-    for i in range(600):
-        toxic = i % 5 == 0
-        data.append((i, " ".join(rng.choices(common, k=30) + (rng.choices(bad, k=1 + i % 4) if toxic else [])), int(toxic)))
-    frame = spark.createDataFrame([*data, (9000, None, None), (9001, "", None), (None, "vileness", None)], "doc_id long, text string, toxic int")
-    labels = frame.select("doc_id", F_toxic()).filter("toxic is not null and doc_id % 2 = 0")
-    model = severity.train(frame.drop("toxic"), labels)
-    got = {r["doc_id"]: r for r in severity.severities(frame, model).collect()}
-    odd = [(i, y) for i, _, y in data if i % 2]
-    assert sum(got[i]["toxic"] == bool(y) for i, y in odd) >= 0.97 * len(odd)
-    assert not got[9000]["toxic"] and not got[9001]["toxic"] and got[None]["toxic"]
-    assert np.all(np.diff(model.thresholds) >= 0)
-    assert severity.severities(empty, model).count() == 0
-    none = severity.train(frame.drop("toxic"), labels.limit(0))
-    assert severity.severities(frame, none).filter("toxic").count() == 0
-    assert severity.drop_toxic(frame, model).columns == frame.columns
+    assert learnt == {w for w in words if zlib.crc32(w[1:].encode()) % 7 != 2}
+
+
+def test_hot_words_are_bounded(spark):
+    """All words from a count on, at most so many of them; the end token always."""
+    counts = spark.createDataFrame([(f"w{i}".encode(), 1 + i // 10) for i in range(100)] + [(b"", 1), (b"x" * 65, 99)], "word binary, n long")
+    got = gru_lm.hot_words(counts, 35)
+    assert (b"", 1) in got and [w for w in got if w[0]] == sorted(((f"w{i}".encode(), 1 + i // 10) for i in range(70, 100)), key=lambda w: (-w[1], w[0]))
+    assert len(gru_lm.hot_words(counts, 1000)) == 101 and gru_lm.hot_words(counts.limit(0)) == []
+
+
+@pytest.mark.parametrize("share", [0.0, 0.05, 0.1, 0.3, 0.7, 1.0])
+@pytest.mark.parametrize("n_features", [0, 3, 300, 4096])
+@pytest.mark.parametrize("only_worst", [False, True])
+def test_severity_fit_settles(share, n_features, only_worst):
+    """The loss never rises, everything stays finite and ordered, and marked rows are told from plain ones; some rows have no feature."""
+    rng = np.random.default_rng(int(100 * share) + n_features)
+    toxic, x, grades = rng.random(1500) < share, [], []
+    for y in toxic:
+        marks = int(rng.integers(1, 6)) if y else 0
+        own = set(rng.integers(6, n_features, rng.integers(0, 20)).tolist()) if n_features > 6 else set()
+        own |= set(rng.integers(0, min(6, n_features), marks).tolist()) if n_features else set()
+        x.append(sorted(own))
+        grades.append(0 if not y else 3 if only_worst else min(3, marks))
+    losses, loss = [], severity.Likelihood.loss
+    w, t = severity.fit(x, np.array(grades), n_features, rounds=120)
+    f = severity.Likelihood(x, np.array(grades), n_features, 4e-5)
+    flat = np.zeros(n_features)
+    start = f.moved(flat, f.scores(flat), np.array([1.0, 2.0, 3.0]))
+    losses = [loss(f, flat, f.scores(flat), start), loss(f, w, f.scores(w), t)]
+    assert np.isfinite(w).all() and np.isfinite(t).all() and np.all(np.diff(t) > 0) and losses[1] <= losses[0] + 1e-9
+    if n_features > 6 and 0 < share < 1:
+        found = np.array([w[r].sum() for r in x]) > t[0]
+        assert (found & toxic).sum() >= 0.8 * toxic.sum() and (~found & ~toxic).sum() >= 0.9 * (~toxic).sum()
+    if not n_features:
+        assert (t[0] > 0) == (share < 0.5)
+
+
+def test_severity_slopes():
+    """Slopes against finite differences; thresholds where no small move betters the loss."""
+    rng = np.random.default_rng(0)
+    x = [sorted(set(rng.integers(0, 5, rng.integers(0, 4)).tolist())) for _ in range(60)]
+    f, w, t = severity.Likelihood(x, rng.integers(0, 4, 60), 5, 0.0), rng.standard_normal(5), np.array([-0.5, 0.3, 1.2])
+    at = lambda w, t: f.loss(w, f.scores(w), t)
+    assert np.allclose([(at(w - e, t) - at(w + e, t)) / 2e-5 for e in np.eye(5) * 1e-5], f.slope(f.scores(w), t), atol=1e-7)
+    for _ in range(30):
+        t = f.moved(w, f.scores(w), t)
+    assert np.allclose([(at(w, t + e) - at(w, t - e)) / 2e-5 for e in np.eye(3) * 1e-5], 0, atol=1e-7)
+
+
+def test_severity_odd_rows(spark):
+    """Repeated rows count alike, a very long text is read to its end, clashing columns stay, an empty table gives an empty one."""
+    fair, model = "fair words here ", severity.Ordinal({"vileness": 3.0}, np.array([1.0, 2.0, 4.0]))
+    rows = [(1, fair + "vileness", "a"), (1, fair + "vileness", "a"), (2, fair * 100_000 + "Vileness!", "b"), (3, "", "c"), (None, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic string")
+    got = sorted((r["doc_id"] or 0, r["toxic"], r["severity"]) for r in severity.severities(frame, model).collect())
+    assert got == [(0, False, 0), (1, True, 2), (1, True, 2), (2, True, 2), (3, False, 0)]
+    kept = severity.drop_toxic(frame, model)
+    assert kept.schema == frame.schema and {r["doc_id"] for r in kept.collect()} == {3, None}
+    assert severity.drop_toxic(frame.limit(0), model).count() == 0
 
 
 def test_severity_sample_is_bounded(spark, monkeypatch):
@@ -320,6 +460,42 @@ def test_cross_polytope_skewed_norms(spark, norms, k):
     assert hit >= (0.9 if k == 20 else 1) * k * 35
 
 
+def test_cross_polytope_recall_at_a_small_share_of_candidates():
+    """Of 10,000 random vectors, the buckets that a query probes hold most of its nearest and a quarter of all; fewer probes hold fewer of both."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((10_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q = x[::100]
+    s = q @ x.T
+    s[np.arange(100), np.arange(0, 10_000, 100)] = -np.inf
+    top, curve = np.argsort(-s, axis=1)[:, :20], []
+    for share in (cross_polytope.PROBE_SHARE / 4, cross_polytope.PROBE_SHARE):
+        met = np.zeros(s.shape, bool)
+        for t in range(cross_polytope.TABLES):
+            first, second = cross_polytope.buckets(x, t)
+            met |= cross_polytope.probes(q, t, share)[:, first, second]
+        curve.append((np.take_along_axis(met, top, 1).mean(), met.mean()))
+    assert curve[1][0] >= 0.92 and curve[1][1] <= 0.3 and curve[0][1] <= 0.1 and curve[0][0] > 5 * curve[0][1]
+
+
+def test_cross_polytope_hashed_bands(spark, monkeypatch):
+    """With no whole bands, found neighbours have exact scores, and recall is that of the probed buckets."""
+    monkeypatch.setattr(cross_polytope, "WHOLE_BAND", 10)
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal((60, 64))
+    x = np.repeat(centre, 25, axis=0) + 0.5 * rng.standard_normal((1500, 64))
+    got = collections.defaultdict(list)
+    for r in cross_polytope.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    hit = 0
+    for q in range(0, 1500, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert [k for k, _, _ in sorted(got[q])] == list(range(1, 21)) and all(np.isclose(s[i], v) for _, i, v in got[q])
+        hit += len({i for _, i, _ in got[q]} & set(np.argsort(-s)[:20].tolist()))
+    assert hit >= 0.9 * 20 * 75
+
+
 def brute_components(n, linked):
     label = list(range(n))
     changed = True
@@ -357,6 +533,10 @@ def test_forest_spans_all_links():
     links = simhash.forest(fps[:, None], fps[:, None], pops, pops, 3, True)
     all_links = [(a, b) for a in range(120) for b in range(a) if int(fps[a] ^ fps[b]).bit_count() <= 3]
     assert brute_components(120, links) == brute_components(120, all_links) and len(links) == 80
+    wide = rng.integers(0, 2**63, (60, 4), dtype=np.uint64)
+    wide = np.concatenate([wide, wide ^ np.uint64(3)])
+    pops = np.bitwise_count(wide[:, :2]).sum(1).astype(np.int64)
+    assert sorted(simhash.forest(wide, wide, pops, pops, 8, True, head=(2, 4))) == [(i, i + 60) for i in range(60)]
 
 
 def test_similar_groups_find_all_pairs(spark):
@@ -376,7 +556,38 @@ def test_similar_groups_find_all_pairs(spark):
     got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(frame).collect()}
     assert [got[i] for i in range(len(docs))] == brute_components(len(docs), linked)
     kept = simhash.keep_one(frame)
-    assert kept.columns == frame.columns and kept.filter("doc_id is not null").count() == len(set(got.values()))
+    assert kept.columns == frame.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(got.values()))
+
+
+def test_candidate_radius_covers_small_sets():
+    """Random pairs at the least similarity, of few and many shingles, lie within the radius; strangers far beyond it."""
+    rng, share = np.random.default_rng(7), simhash.worst_share(0.8)
+    bits, distance = 64 * simhash.SET_WORDS, lambda a, b: int(np.bitwise_count(simhash.fingerprint(a, simhash.SET_WORDS) ^ simhash.fingerprint(b, simhash.SET_WORDS)).sum())
+    radius = simhash.radius_for(bits, share)
+    assert 0.15 < share < 0.2 and radius < 0.35 * bits
+    for common in (4, 8, 12, 40, 200):
+        for own in {(int(common / 4), 0), (int(common / 4) // 2, int(common / 4) - int(common / 4) // 2)}:
+            for _ in range(60):
+                h = rng.integers(0, 2**63, common + sum(own), dtype=np.uint64)
+                assert distance(np.r_[h[:common], h[common : common + own[0]]], np.r_[h[:common], h[common + own[0] :]]) <= radius
+                assert distance(h, rng.integers(0, 2**63, len(h), dtype=np.uint64)) > radius
+
+
+def test_keep_one_goes_by_row_not_by_id(spark, empty):
+    """Ids with two texts, null ids, repeated rows, texts without words, clashing columns; copies and near copies go, no other row."""
+    base = [" ".join(f"{a}{i}" for i in range(60)) for a in "abcd"]
+    near = base[0] + " tail"
+    rows = [
+        (5, base[0], 1), (7, near, 2), (7, base[1], 3),  # id 7: a near copy of 5, and a text of its own
+        (None, base[2], 4), (None, base[2], 5), (None, base[3], 6),  # exact copies without ids
+        (9, base[1], 7), (9, base[1], 7), (3, "", 8), (4, None, 9), (None, " ", 10), (11, "one two", 11), (12, "one two three", 12),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, component long").repartition(3)
+    kept = simhash.keep_one(frame)
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    want = [(5, base[0]), (7, base[1]), (None, base[2]), (None, base[3]), (3, ""), (11, "one two"), (12, "one two three")]
+    assert kept.columns == frame.columns and got == sorted(want, key=str)
+    assert simhash.keep_one(empty).count() == 0 and simhash.similar_groups(empty).count() == 0
 
 
 def test_components(spark):
