@@ -102,11 +102,8 @@ def clean_summary(c: Column) -> Column:
 
 def address_spacing(c: Column) -> Column:
     """STR7: separates street, direction, state and ZIP parts that were run together."""
-    c = F.regexp_replace(c, r"\b(St|Ave?|Rd|Dr|Blvd?|Ln|Ct|Pl|Way|Pkwy)([A-Z][a-z])", "$1, $2")
-    c = F.regexp_replace(c, r"(\bSt|\bAve|\bRd|\bDr|\bBlvd|\bLn|\bCt|\bPl|SW|NW|SE|NE)\.([A-Z])", "$1., $2")
-    c = F.regexp_replace(c, r"\b(SW|NW|SE|NE)([A-Z][a-z])", "$1, $2")
-    c = F.regexp_replace(c, r"\b([A-Z]{2})(\d{5})\b", "$1 $2")
-    c = F.regexp_replace(c, r"(\d{5})([A-Z])", "$1, $2")
+    for pattern, by in rules.ADDRESS_SPACING:
+        c = F.regexp_replace(c, pattern, by)
     return squeeze(c)
 
 
@@ -132,7 +129,7 @@ def clean_place(c: Column) -> Column:
 def street_position(c: Column) -> Column:
     """STR5: 1-based position where a street address begins, null without one."""
     at = lambda p: F.nullif(F.regexp_instr(c, F.lit(p)), F.lit(0))
-    return F.coalesce(at(r",\s*\d{1,5}\s+(?:[A-Z]|\d{1,3}(?:st|nd|rd|th)\b)"), at(r"(?<=[a-z])(\d{1,5})\s+[A-Z][a-zA-Z.]"), at(r"\s(\d{3,5})\s+[A-Z][a-zA-Z.]"))
+    return F.coalesce(*map(at, rules.STREET_STARTS))
 
 
 def split_venue(c: Column) -> Column:

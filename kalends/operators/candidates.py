@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kalends import rules
 from kalends.functions.dates import parse_datetime
+from kalends.functions.store import stored
 from kalends.functions.text import blank, generic_page_title, place_text, salvaged_price
 from kalends.functions.urls import AGGREGATOR, host, outbound, site_name
 from kalends.operators.scores import combined_confidence, extraction_confidence
@@ -30,7 +31,7 @@ def chosen_urls(candidates: DataFrame, pages: DataFrame | None = None, aggregato
     if pages is None:
         df = df.withColumn("_detail", F.lit(None).cast("string"))
     else:
-        details = pages.select(F.col("url").alias("seed_url"), outbound(F.col("anchors"), aggregator).alias("_detail")).dropDuplicates(["seed_url"])
+        details = pages.groupBy(F.col("url").alias("seed_url")).agg(F.min(outbound(F.col("anchors"), aggregator)).alias("_detail"))
         df = df.join(details, "seed_url", "left").withColumn("_detail", F.when(F.col("_own").isNull(), F.col("_detail")))
     found = F.coalesce("_own", "_detail")
     return df.withColumns({
@@ -75,11 +76,12 @@ def resolve(candidates: DataFrame, pages: DataFrame, aggregator: str = AGGREGATO
     pages(url, final_url, anchors, facts struct, json_ld boolean) are fetched pages, one row per URL.
     Shared links are removed before pages are joined.
     """
-    chosen = chosen_urls(candidates, pages, aggregator)
+    chosen = stored(chosen_urls(candidates, pages, aggregator), "chosen")
     missing = chosen.filter("candidate_original_url is null")
     own, shared = split_shared(chosen.filter("candidate_original_url is not null"))
-    fetched = pages.select(F.col("url").alias("candidate_original_url"), "final_url", "facts", "json_ld", F.lit(True).alias("_there")).dropDuplicates(["candidate_original_url"])
-    met = own.join(fetched, "candidate_original_url", "left")
+    page = F.min(F.struct("final_url", "facts", "json_ld"))  # of a URL's several pages always the same one
+    fetched = pages.groupBy(F.col("url").alias("candidate_original_url")).agg(page.alias("_page")).select("candidate_original_url", "_page.*", F.lit(True).alias("_there"))
+    met = stored(own.join(fetched, "candidate_original_url", "left"), "met")
     dead = met.filter("_there is null").withColumn("review_reason", F.lit("original_url_dead"))
     found = F.struct(F.col("discovered_title").alias("title"), F.col("discovered_date_text").alias("start_text"), F.col("discovered_location_text").alias("location_name"))
     redirected = F.coalesce(F.col("final_url") != F.col("candidate_original_url"), F.lit(False))

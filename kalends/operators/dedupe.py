@@ -28,9 +28,13 @@ def first_by(df: DataFrame, keys: list[str], order: list[Column], keep: str = "_
 
 
 def by_id(df: DataFrame) -> DataFrame:
-    """DED2: the best row per id, the earliest arrival on a tie; group_seq is the id's first arrival."""
-    first = df.groupBy("id").agg(F.min("ingest_seq").alias("group_seq"))
-    return first_by(df, ["id"], [F.desc("quality"), F.asc("ingest_seq")]).join(first, "id")
+    """DED2: the best row per id, the earliest arrival on a tie; group_seq is the id's first arrival.
+
+    One aggregation, partial before the shuffle: a hot id sends one row per task, and df is computed once.
+    """
+    best = F.max_by(F.struct(*df.columns), F.struct("quality", -F.col("ingest_seq")))
+    found = df.groupBy("id").agg(best.alias("_best"), F.min("ingest_seq").alias("group_seq"))
+    return found.select("_best.*", "group_seq")
 
 
 def by_fingerprint(df: DataFrame) -> DataFrame:
@@ -61,9 +65,15 @@ def first_seen(df: DataFrame, source: str = "source_id", url: str = "source_url"
 
 
 def duplicate_flags(df: DataFrame) -> DataFrame:
-    """DED6: every row after an id's first, with the first row's title."""
-    w = Window.partitionBy("id").orderBy("ingest_seq")
-    return df.withColumns({"_n": F.row_number().over(w), "first_title": F.first("title").over(w)}).filter("_n > 1").drop("_n")
+    """DED6: every row after an id's first, with the first row's title.
+
+    The ids that repeat are found by a partial aggregation and joined back, so no task holds all rows
+    of an id. df is read twice: give it stored where it is costly.
+    """
+    first = F.min(F.struct("ingest_seq", "title"))
+    repeated = df.groupBy("id").agg(first.alias("_first"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    later = df.join(repeated, "id").filter(F.col("ingest_seq") > F.col("_first")["ingest_seq"])
+    return later.withColumn("first_title", F.col("_first")["title"]).select(*df.columns, "first_title")
 
 
 def retained_weeks(weeks: DataFrame, keep: int = rules.KEEP_WEEKS, protect: str | None = None, column: str = "week") -> DataFrame:

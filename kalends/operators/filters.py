@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kalends import rules
 from kalends.functions.fence import fenced
+from kalends.functions.store import stored
 from kalends.functions.text import has
 
 
@@ -36,8 +37,9 @@ def candidate_in_week(week: str, parsed: Column) -> Column:
 def relevance_split(df: DataFrame, threshold: float = rules.PUBLISH_THRESHOLD, guard: float = rules.GUARD_SHARE, score: str = "family_relevance_score") -> tuple[DataFrame, DataFrame]:
     """FLT4: rows at or above the threshold; if more than the guard's share would go, nothing goes.
 
-    The guard is one row, joined by broadcast.
+    The guard is one row, joined by broadcast. df is stored first, for guard and both parts read it.
     """
+    df = stored(df, "relevance")
     low = F.coalesce(F.col(score) < threshold, F.lit(False))
     share = df.agg(F.count_if(low).alias("_low"), F.count("*").alias("_all")).select((F.col("_low") > guard * F.col("_all")).alias("_guard"))
     judged = fenced(df.join(F.broadcast(share), F.lit(True)), "_gone", low & ~F.col("_guard"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalends import rules
-from kalends.functions.regions import in_area, is_virtual, queries
+from kalends.functions.regions import hit_confidence, in_area, is_virtual, queries
 
 
 def resolve(asked: DataFrame, cache: DataFrame, key: str = "id", area: tuple = rules.SERVICE_AREA, accept_lower: bool = False) -> DataFrame:
@@ -40,7 +40,8 @@ def geocode(events: DataFrame, cache: DataFrame, policy: str = "retry", area: tu
     has_point, inside = c("latitude").isNotNull() & c("longitude").isNotNull(), in_area(c("latitude"), c("longitude"), area)
     keep = inside | (has_point & F.lit(policy == "keep"))
     df = df.withColumns({"_keep": keep, "queries": F.when(~c("_virtual") & ~keep, queries(c("location_address"), c("location_name"), c("city"), c("county")))})
-    got = resolve(df.filter("queries is not null").select("id", "queries").dropDuplicates(["id"]), cache, "id", area, accept_lower)
+    asked = df.filter("queries is not null").groupBy("id").agg(F.min("queries").alias("queries"))
+    got = resolve(asked, cache, "id", area, accept_lower)
     got = got.select("id", F.col("status").alias("_status"), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), F.col("confidence").alias("_conf"), F.col("query").alias("geo_query"), F.col("pending").alias("geo_pending"))
     df = df.join(got, "id", "left")
     pick = lambda old, new: F.when(c("_virtual"), None).when(c("_keep"), old).otherwise(new)
@@ -65,6 +66,13 @@ def requests(df: DataFrame) -> DataFrame:
     return df.filter("geo_pending is not null").select(F.explode("geo_pending").alias("query")).distinct()
 
 
+def cache_rows(found: DataFrame) -> DataFrame:
+    """GEO8: a geocoder's answers (query, latitude, longitude, map_id, resolved_at) as cache rows; coordinates to six decimals."""
+    hit = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    six = lambda n: F.when(hit, F.round(n, 6)).alias(n)
+    return found.select("query", six("latitude"), six("longitude"), F.when(hit, hit_confidence(F.col("map_id"))).alias("confidence"), "resolved_at")
+
+
 def suspicious(df: DataFrame, area: tuple = rules.SERVICE_AREA) -> DataFrame:
     """SNK8's rows: events that came with coordinates outside the area."""
     odd = F.col("given_latitude").isNotNull() & F.col("given_longitude").isNotNull() & ~in_area(F.col("given_latitude"), F.col("given_longitude"), area)

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from kalends.functions.text import blank
 from kalends.functions.urls import host
 
-#: Above so many rules a lookup is joined instead of being held as a literal.
+#: Above so many rules a lookup is joined instead of being held as a literal, with the same result.
 LITERAL_RULES = 400
+GRAM = 3
 
 
 def first_hint(text: Column, hints: list[tuple], keys: list[str]) -> Column:
     """JOIN1, JOIN6: the first hint, in table order, whose keyword (its first field) the text holds.
 
-    hints is a small ordered rule table, at most LITERAL_RULES rows; it becomes a literal array.
+    hints is a small ordered rule table, at most LITERAL_RULES rows; it becomes a literal array. with_hint() takes any number.
     """
     if not hints or len(hints) > LITERAL_RULES:
         raise ValueError("a literal rule table has 1 to %d rows" % LITERAL_RULES)
@@ -29,16 +30,42 @@ def venue_hint(texts: list[Column], hints: list[tuple], keys: list[str]) -> Colu
     return F.coalesce(*[first_hint(t, hints, keys) for t in texts])
 
 
+def grams(text: Column, size: int) -> Column:
+    """The distinct substrings of so many characters."""
+    starts = F.sequence(F.lit(1), F.char_length(text) - (size - 1))
+    return F.when(F.char_length(text) >= size, F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))))
+
+
 def hinted(df: DataFrame, rules: DataFrame, text: str, keyword: str = "keyword", rank: str = "rank", key: str = "ingest_seq") -> DataFrame:
-    """JOIN1 for rule tables too large for a literal: words of the text meet the rules' first words by equality.
+    """JOIN1 for rule tables of any size: (key, rule columns) of the lowest rank whose keyword the text holds.
 
-    The rest of the keyword is then checked as a substring, and the lowest rank wins. Returns (key,
-    rule columns). Keywords start at a word here; a literal table has no such limit.
+    Distinct texts' substrings meet the keywords' first GRAM characters (or whole shorter keywords) by
+    equality, and the keyword is then checked, so the result is a literal table's. Empty keywords are never found.
     """
-    words = df.select(key, F.lower(text).alias("_text")).withColumn("_word", F.explode(F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}\p{N}]+"))))
-    rules = rules.withColumn("_word", F.regexp_extract(F.lower(keyword), r"^([\p{L}\p{N}]*)", 1))
-    met = words.join(rules, "_word").filter(F.contains("_text", F.lower(keyword)))
-    return met.groupBy(key).agg(F.min_by(F.struct(*[c for c in rules.columns if c != "_word"]), rank).alias("hint")).select(key, "hint.*")
+    table = rules.withColumn("_key", F.lower(keyword)).filter("_key <> ''").withColumn("_gram", F.substring("_key", 1, GRAM))
+    asked = df.select(F.lower(text).alias("_text")).filter("_text is not null").distinct()
+    sizes = sorted(r[0] for r in table.select(F.char_length("_gram")).distinct().collect())  # at most GRAM rows
+    none = F.array().cast("array<string>")
+    every = F.concat(none, *[F.coalesce(grams(F.col("_text"), n), none) for n in sizes])
+    met = asked.select("_text", F.explode(every).alias("_gram")).join(table, "_gram").filter(F.contains("_text", F.col("_key")))
+    best = met.groupBy("_text").agg(F.min_by(F.struct(*rules.columns), F.struct(rank, "_key")).alias("hint"))
+    return df.select(key, F.lower(text).alias("_text")).join(best, "_text").select(key, "hint.*")
+
+
+def with_hint(df: DataFrame, texts: list[str], hints: list[tuple], keys: list[str], out: str = "hint") -> DataFrame:
+    """JOIN1: adds the hint struct of the first text column with any hint, null without one; any number of hints."""
+    if len(hints) <= LITERAL_RULES:
+        return df.withColumn(out, venue_hint([F.col(t) for t in texts], hints, keys))
+    whole = tuple(next((h[i] for h in hints if h[i] is not None), "") for i in range(len(keys)))  # for the fields' types
+    literal = first_hint(F.lit(""), [whole], keys)
+    fields = df.sparkSession.range(1).select(literal.alias("h")).schema["h"].dataType
+    table = df.sparkSession.createDataFrame([(i, tuple(h)) for i, h in enumerate(hints)], f"rank int, h {fields.simpleString()}")
+    table = table.withColumn("keyword", F.col("h")[keys[0]])
+    for i, t in enumerate(texts):
+        found = hinted(df.select(F.lower(t).alias("_t")).filter("_t is not null").distinct(), table, "_t", key="_t")
+        df = df.withColumn(f"_t{i}", F.lower(t)).join(found.select(F.col("_t").alias(f"_t{i}"), F.col("h").alias(f"_h{i}")), f"_t{i}", "left")
+    added = [f"_{p}{i}" for p in "th" for i in range(len(texts))]
+    return df.withColumn(out, F.coalesce(*[F.col(f"_h{i}") for i in range(len(texts))])).drop(*added)
 
 
 def apply_hint(df: DataFrame, hint: str = "hint") -> DataFrame:

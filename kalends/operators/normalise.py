@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from kalends import schemas
 from kalends.functions.dates import iso, parse_datetime
 from kalends.functions.fence import fenced
+from kalends.functions.store import stored
 from kalends.functions.text import blank, clean_summary, clean_title, location, place_text, title_case
 from kalends.functions.urls import event_id, url_or_null
-from kalends.operators.lookup import apply_hint, venue_hint
+from kalends.operators.lookup import apply_hint, with_hint
 from kalends.operators.notes import short_note
 from kalends.operators.pricing import with_pricing
 from kalends.operators.quality import reject_reason
@@ -33,8 +34,18 @@ def conform(raw: DataFrame) -> DataFrame:
     return raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared])
 
 
-def normalise(raw: DataFrame, as_of: str, hints: list[tuple] = ()) -> tuple[DataFrame, DataFrame]:
-    """NRM: (events, rejects). One lazy projection without a shuffle.
+def places(raw: DataFrame) -> DataFrame:
+    """(ingest_seq, location_name, location_address, city, county): what normalise() makes of the place columns alone."""
+    raw = conform(raw)
+    given = lambda n: F.coalesce(blank(F.col(n)), F.col("_place")[n]).alias(n)
+    return raw.withColumn("_place", location(F.col("location_text"))).select(
+        "ingest_seq", F.col("_place")["location_name"].alias("location_name"),
+        F.col("_place")["location_address"].alias("location_address"), given("city"), given("county"),
+    )
+
+
+def normalise(raw: DataFrame, as_of: str, hints: list[tuple] = (), once: bool = False) -> tuple[DataFrame, DataFrame]:
+    """NRM: (events, rejects). One lazy projection without a shuffle; with once it is stored, for callers that read both.
 
     hints: ordered venue hints (keyword, tags, rainy, city, county). Rejects carry EMPTY_TITLE,
     GENERIC_TITLE, BAD_START or SCHEMA with the field at fault.
@@ -51,9 +62,8 @@ def normalise(raw: DataFrame, as_of: str, hints: list[tuple] = ()) -> tuple[Data
     df = with_pricing(df).withColumn("id", event_id(F.col("title"), F.col("start"), F.col("location_name"), F.col("source_url")))
     df = df.withColumns({f: F.col("pricing")[f] for f in ("cost_type", "price_text", "is_free", "price_type", "pricing_summary", "registration_required", "registration_fee_text", "extracted_price_text")} | {"pricing_reason": F.col("pricing")["reason"]})
     df = df.withColumn("tags", derive_tags(F.col("title"), F.col("summary"), F.col("location_name"), F.col("start"), F.col("cost_type"), F.col("extra_tags")))
-    hint = venue_hint([F.col("location_name"), F.col("title"), F.col("source_url")], list(hints), HINT_KEYS) if hints else None
-    if hint is not None:
-        df = df.withColumn("hint", hint)
+    if hints:
+        df = with_hint(df, ["location_name", "title", "source_url"], list(hints), HINT_KEYS)
         df = apply_hint(df.withColumn("rainy_day_friendly", F.lit(None).cast("boolean")))
         df = df.withColumn("tags", settle_setting(F.col("tags"), F.col("title"), F.col("summary"), F.col("location_name"), F.col("extra_tags"), F.col("hint")["rainy"])).withColumn("rainy_day_friendly", rainy_day(F.col("tags"), F.col("hint")["rainy"])).drop("hint")
     else:
@@ -66,6 +76,8 @@ def normalise(raw: DataFrame, as_of: str, hints: list[tuple] = ()) -> tuple[Data
     why = F.when(F.coalesce(F.trim("raw_title"), F.lit("")) == "", "EMPTY_TITLE").when(F.col("title").isNull(), "GENERIC_TITLE").when(F.col("start").isNull(), "BAD_START").when(reject_reason().isNotNull(), F.concat(F.lit("SCHEMA:"), reject_reason()))
     judged = fenced(df, "reject", why)
     names = [f.split()[0] for f in schemas.EVENT.split(", ")]
+    if once:
+        judged = stored(judged.select("ingest_seq", "pricing_reason", *names, "source_id", "raw_title", "reject"), "normalised")
     return judged.filter("reject is null").select("ingest_seq", "pricing_reason", *names), judged.filter("reject is not null").select("ingest_seq", "source_id", "raw_title", "source_url", F.col("reject").alias("reason"))
 
 

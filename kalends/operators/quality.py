@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kalends import rules
 from kalends.functions.fence import fenced
+from kalends.functions.store import stored
 from kalends.functions.text import has, machine_name, several_sentences
 from kalends.functions.urls import shortener, valid_url
 from kalends.operators.dedupe import duplicate_flags
@@ -79,19 +80,27 @@ def with_issues(df: DataFrame, banned_hosts: list[str] = (), table: list | None
 
 
 def issues(df: DataFrame, banned_hosts: list[str] = ()) -> DataFrame:
-    """DQ1 with DED6: one row per issue (id, title, rule, severity, message)."""
-    own = with_issues(df, banned_hosts).select("id", "title", F.inline_outer("issues")).filter("rule is not null").select("id", "title", "rule", "severity", "message")
-    twice = duplicate_flags(df).select("id", "title", F.lit("DUPLICATE_ID").alias("rule"), F.lit("error").alias("severity"), F.concat(F.lit("id already used by "), F.coalesce("first_title", F.lit(""))).alias("message"))
+    """DQ1 with DED6: one row per issue (id, title, rule, severity, message). df's rules are computed once."""
+    judged = stored(with_issues(df, banned_hosts).select("id", "title", "ingest_seq", "issues"), "issues")
+    own = judged.select("id", "title", F.inline("issues"))
+    twice = duplicate_flags(judged.drop("issues")).select("id", "title", F.lit("DUPLICATE_ID").alias("rule"), F.lit("error").alias("severity"), F.concat(F.lit("id already used by "), F.coalesce("first_title", F.lit(""))).alias("message"))
     return own.unionByName(twice)
 
 
 def totals(df: DataFrame, banned_hosts: list[str] = ()) -> DataFrame:
     """AGG9: one row; repeated ids count as errors but not as failed rows."""
-    judged = with_issues(df, banned_hosts).select(F.exists("issues", lambda i: i["severity"] == "error").alias("bad"), F.size(F.filter("issues", lambda i: i["severity"] == "error")).alias("e"), F.size(F.filter("issues", lambda i: i["severity"] == "warning")).alias("w"))
-    own = judged.agg(F.count("*").alias("total"), F.count_if(~F.col("bad")).alias("passed"), F.count_if("bad").alias("failed"), F.coalesce(F.sum("e"), F.lit(0)).alias("own_errors"), F.coalesce(F.sum("w"), F.lit(0)).alias("warnings"))
-    repeats = df.groupBy("id").agg((F.count("*") - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("repeats"))  # one row each
-    both = own.join(F.broadcast(repeats), F.lit(True))
-    return both.select("total", "passed", "failed", (F.col("own_errors") + F.col("repeats")).alias("errors"), "warnings", (F.col("own_errors") + F.col("repeats") == 0).alias("is_clean"))
+    of = lambda severity: F.size(F.filter("issues", lambda i: i["severity"] == severity))
+    judged = with_issues(df, banned_hosts).select("id", of("error").alias("e"), of("warning").alias("w"))
+    # one pass: counts by id, then over ids; an id's rows after the first are one error each
+    by_id = judged.groupBy("id").agg(
+        F.count("*").alias("n"), F.count_if(F.col("e") == 0).alias("passed"), F.sum("e").alias("e"), F.sum("w").alias("w")
+    )
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    errors = whole("e") + whole(F.col("n") - 1)
+    return by_id.agg(
+        whole("n").alias("total"), whole("passed").alias("passed"), (whole("n") - whole("passed")).alias("failed"),
+        errors.alias("errors"), whole("w").alias("warnings"), (errors == 0).alias("is_clean"),
+    )
 
 
 def publishable(df: DataFrame, banned_hosts: list[str] = ()) -> bool:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kalends.functions.store import stored
 from kalends.operators import candidates as cand
 from kalends.operators import filters, geo, quality, reports
 from kalends.operators.dedupe import deduplicate
@@ -16,7 +17,7 @@ from kalends.sources.publish import write_json, write_week
 
 @dataclass
 class Build:
-    """Results of a build; all are DataFrames that nothing has run yet."""
+    """Results of a build. Frames that several steps read are stored in the shared folder; nothing is published yet."""
 
     events: DataFrame
     rejects: DataFrame
@@ -27,13 +28,13 @@ class Build:
 
 def daily(raw: DataFrame, as_of: str, week: str | None = None, hints: list[tuple] = (), cache: DataFrame | None = None, family_only: bool = False, banned_hosts: list[str] = ()) -> Build:
     """PIPE1: normalise, drop past, week, deduplicate, geocode, filter, validate, in this order."""
-    events, rejects = normalise(raw, as_of, hints)
+    events, rejects = normalise(raw, as_of, hints, once=True)
     kept, past = filters.split(events, filters.upcoming(as_of))
     if week:
         kept = kept.filter(filters.in_week(week))
-    kept = deduplicate(kept)
+    kept = stored(deduplicate(kept), "deduplicated")
     if cache is not None:
-        kept = geo.geocode(kept, cache)
+        kept = stored(geo.geocode(kept, cache), "geocoded")
     excluded = None
     if family_only:
         kept, excluded = filters.relevance_split(kept)
@@ -57,19 +58,19 @@ def discover(candidates: DataFrame, pages: DataFrame, week: str, year: int) -> t
 def repair(published: DataFrame, as_of: str, hints: list[tuple] = ()) -> tuple[DataFrame, DataFrame]:
     """PIPE3: the week's rows rebuilt from what was published, and the price report of one row."""
     events, _ = normalise(published_to_raw(published), as_of, hints)
-    again = deduplicate(events)
+    again = stored(deduplicate(events), "repaired")
     return again, reports.price_repair(again, published)
 
 
 def geo_patch(published: DataFrame, cache: DataFrame, policy: str = "report") -> tuple[DataFrame, DataFrame]:
     """PIPE4: rows with coordinates patched from the purged cache, and the suspicious ones."""
-    done = geo.geocode(published, geo.purge(cache), policy)
+    done = stored(geo.geocode(stored(published, "published"), geo.purge(cache), policy), "patched")
     return done, geo.suspicious(done)
 
 
 def validate(events: DataFrame, banned_hosts: list[str] = ()) -> DataFrame:
     """PIPE5: AGG9's row with the number of rows that are no events."""
-    good, bad = quality.split_valid(events)
+    good, bad = quality.split_valid(stored(events, "validated"))
     return quality.totals(good, banned_hosts).join(F.broadcast(bad.agg(F.count("*").alias("unreadable"))), F.lit(True))
 
 

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kalends import rules
 from kalends.functions import dates, regions, text, urls
+from kalends.functions.store import stored
 from kalends.operators import candidates as cand
 from kalends.operators import dedupe, filters, geo, lookup, notes, quality, reports, schedule, scores
-from kalends.operators.normalise import normalise
+from kalends.operators.normalise import normalise, places
 from kalends.plans import jobs
 from kalends.plans import listing as fx
 from kalends.plans import oracles as sql
-from kalends.sources import landing, pages, publish
+from kalends.sources import landing, pages, publish, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -195,7 +196,7 @@ def ded4_survivors(spark, d):
 
 @query(sql.events("select id, ingest_seq, title as first_title from (select *, row_number() over (partition by id order by ingest_seq) as n from scored) where n > 1"))
 def ded6_repeated_ids(spark, d):
-    return dedupe.duplicate_flags(events(spark, d)).select("id", "ingest_seq", "first_title")
+    return dedupe.duplicate_flags(stored(events(spark, d).select("id", "ingest_seq", "title"), "ids")).select("id", "ingest_seq", "first_title")
 
 
 @query(sql.raw("select source_id, source_url, min(ingest_seq) as ingest_seq from raw_listing group by 1, 2"))
@@ -276,7 +277,8 @@ def agg11_first_day(spark, d):
 
 @query(sql.survivors("select (select count(*) from up) as rows_before, count(*) as rows_after, (select count(*) from up) - count(*) as removed from survivors"))
 def agg14_removed(spark, d):
-    return reports.removed(upcoming(spark, d), survivors(spark, d))
+    before = stored(upcoming(spark, d), "upcoming")
+    return reports.removed(before, dedupe.deduplicate(before))
 
 
 _OLD = "old as (select id, case when ingest_seq % 2 = 0 then 'unknown' else cost_type end as before from survivors where ingest_seq % 5 <> 0), both_sides as (select s.*, coalesce(o.before, 'unknown') as b from survivors s left join old o using (id))"
@@ -285,7 +287,7 @@ _KINDS = ["free", "paid", "suggested_donation", "unknown"]
 
 @query(sql.survivors(f", {_OLD} select count(*) as total, {', '.join(f'count(*) filter (b = {chr(39)}{k}{chr(39)}) as before_{k}' for k in _KINDS)}, {', '.join(f'count(*) filter (cost_type = {chr(39)}{k}{chr(39)}) as after_{k}' for k in _KINDS)}, count(*) filter (cost_type = 'free' and b <> 'free') as newly_free, count(*) filter (cost_type = 'paid' and b <> 'paid') as newly_paid from both_sides"))
 def agg5_price_repair(spark, d):
-    now = survivors(spark, d)
+    now = stored(survivors(spark, d), "survivors")
     old = now.filter("ingest_seq % 5 <> 0").select("id", F.when(F.col("ingest_seq") % 2 == 0, "unknown").otherwise(F.col("cost_type")).alias("cost_type"))
     return reports.price_repair(now, old)
 
@@ -360,8 +362,9 @@ def flt9_stale(spark, d):
 
 
 def asked(spark, d):
+    """From the place columns alone: queries hang on nothing else, and no listing row is rejected."""
     c = F.col
-    return events(spark, d).select("ingest_seq", regions.queries(c("location_address"), c("location_name"), c("city"), c("county")).alias("queries"))
+    return places(fx.raw_listing(spark, d)).select("ingest_seq", regions.queries(c("location_address"), c("location_name"), c("city"), c("county")).alias("queries"))
 
 
 @query(sql.events(f", {sql.ASKED} select ingest_seq, array_to_string(queries, ';') as queries from listed"))
@@ -376,7 +379,7 @@ def join5_resolution(spark, d):
 
 @query(sql.survivors(f", {sql.ASKED}, {sql.RESOLVED}, out as (select s.*, case when list_contains(s.tags, 'virtual') or lower(s.location_name) = 'virtual' or contains(lower(s.title), 'virtual') then 'virtual' else r.status end as outcome from survivors s join resolved r using (ingest_seq)) select count(*) as total, count(*) filter (outcome = 'virtual') as virtual, 0::bigint as virtual_cleared, 0::bigint as already_geocoded, count(*) filter (outcome = 'hit') as cache_hit, count(*) filter (outcome = 'failed') as failed, count(*) filter (outcome = 'no_query') as no_query, count(*) filter (outcome = 'pending') as pending, count(*) filter (outcome = 'hit') as with_point, count(*) filter (outcome = 'hit') as within_region, count(*) filter (outcome = 'hit') as mappable from out"))
 def agg7_geo_stats(spark, d):
-    return geo.stats(geo.geocode(survivors(spark, d), fx.cache_table(spark)))
+    return geo.stats(geo.geocode(stored(survivors(spark, d), "survivors"), fx.cache_table(spark)))
 
 
 _CUSTOMER_CACHE = "cc as (select c_name as query, case when c_custkey % 3 = 0 then null else 37.0 + (c_custkey % 40) / 10.0 end as latitude, case when c_custkey % 3 = 0 then null else -80.0 + (c_custkey % 50) / 10.0 end as longitude from customer)"
@@ -441,17 +444,6 @@ def htm1_page_facts(spark, d):
     return pages.page_facts(table(spark, d, "pages")).select("url", "page_title", F.size("anchors").cast("long").alias("anchors"))
 
 
-@query(sql.raw("select source_url as url, title, start_text, location_text as location_name, price_text as cost_text from raw_listing where ingest_seq % 3 = 0"))
-def jsn1_json_ld(spark, d):
-    """Listings as JSON-LD blocks (object, array or @graph by turns) and read back."""
-    r = fx.raw_listing(spark, d).filter("ingest_seq % 3 = 0")
-    one = F.to_json(F.struct(F.lit("Event").alias("@type"), F.col("title").alias("name"), F.col("start_text").alias("startDate"), F.struct(F.col("location_text").alias("name")).alias("location"), F.struct(F.col("price_text").alias("price")).alias("offers")))
-    g = F.expr("(ingest_seq div 3) % 3")
-    block = F.when(g == 0, one).when(g == 1, F.concat(F.lit("[{\"@type\":\"Place\"},"), one, F.lit("]"))).otherwise(F.concat(F.lit("{\"@graph\":["), one, F.lit("]}")))
-    got = pages.json_ld_events(r.select(F.col("source_url").alias("url"), F.array(F.lit("no json"), block).alias("json_ld")))
-    return got.select("url", "ld.title", "ld.start_text", "ld.location_name", "ld.cost_text")
-
-
 @query(sql.raw("select source_url, title, start_text, location_text, price_text from raw_listing"))
 def src2_api_events(spark, d):
     """Listings as calendar-API payloads and read back."""
@@ -461,11 +453,12 @@ def src2_api_events(spark, d):
     return landing.api_events(payloads, "api", "Api").select("source_url", "title", "start_text", "location_text", "price_text")
 
 
-@query(sql.raw("select title, source_url, location_text from raw_listing where location_text is not null"))
+@query(sql.raw("select title, source_url, location_text from raw_listing"))
 def src3_listing_cards(spark, d):
     """Listings as library-widget cards on listing pages and read back."""
-    r = fx.raw_listing(spark, d).filter("location_text is not null")
-    card = F.concat(F.lit('<div class="event-card"><h3><a href="'), F.col("source_url"), F.lit('">'), F.col("title"), F.lit('</a></h3><span class="event-time">Monday, Jan 1, 9:00AM - 10:00AM</span><div class="event-location">'), F.col("location_text"), F.lit("</div></div>"))
+    r = fx.raw_listing(spark, d)
+    place = F.when(F.col("location_text").isNotNull(), F.concat(F.lit('<div class="event-location">'), F.col("location_text"), F.lit("</div>"))).otherwise("")
+    card = F.concat(F.lit('<div class="event-card"><h3><a href="'), F.col("source_url"), F.lit('">'), F.col("title"), F.lit('</a></h3><span class="event-time">Monday, Jan 1, 9:00AM - 10:00AM</span>'), place, F.lit("</div>"))
     listing = r.groupBy(F.expr("ingest_seq div 20").alias("page")).agg(F.array_join(F.collect_list(card), "").alias("html")).select(F.concat(F.lit("https://x.example.org/"), F.col("page").cast("string")).alias("url"), "html")
     return pages.cards(listing, "library_widget", "lib", "Lib").select("title", "source_url", "location_text")
 
@@ -479,39 +472,72 @@ def pipe1_daily(spark, d):
     return build.events.agg(F.count("*").alias("events"), F.count_if(F.col("cost_type") == "free").alias("free"), F.round(F.sum("family_friendly_score"), 2).alias("friendliness"), F.min("start").alias("first_start"))
 
 
+def number_of(url: str, of: str) -> Column:
+    """A URL's number below ``of``, from the first 32 bits of its MD5."""
+    return F.expr(f"cast(conv(substring(md5({url}), 1, 8), 16, 10) as bigint) % {of}")
+
+
 def stand_ins(links: DataFrame, given: DataFrame, parts: int = 4096) -> DataFrame:
     """(url, page_url): each link's page, by the link's hash modulo the number of pages.
 
     Pages are numbered from 0 by hash part and URL, part by part, so that no task numbers them all.
     """
-    p = given.filter("url is not null").select(F.col("url").alias("page_url")).distinct().withColumn("part", F.pmod(F.xxhash64("page_url"), F.lit(parts)))
+    p = given.filter("url is not null").select(F.col("url").alias("page_url")).distinct().withColumn("part", number_of("page_url", str(parts)))
     sizes = p.groupBy("part").agg(F.count("*").alias("size"))
     starts = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))  # a row per part
-    numbered = p.join(starts, "part").select("page_url", (F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("page_url")) - 1).alias("n"))
+    in_part = F.row_number().over(Window.partitionBy("part").orderBy("page_url"))
+    numbered = p.join(starts, "part").select("page_url", (F.col("before") + in_part - 1).alias("n"))
     total = sizes.agg(F.sum("size").alias("total"))
-    return links.join(F.broadcast(total), F.lit(True)).withColumn("n", F.pmod(F.xxhash64("url"), F.col("total"))).join(numbered, "n").select("url", "page_url")
-
-
-@query()
+    asked = links.join(F.broadcast(total), F.lit(True)).withColumn("n", number_of("url", "total"))
+    return asked.join(numbered, "n").select("url", "page_url")
+
+
+_MD5 = "(('0x' || substr(md5({0}), 1, 8))::bigint % {1})"
+_BODY = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<title\\b.*?</title\\s*>', '', 'g'), '(?is)<(script)\\b.*?</script\\s*>', '', 'g'), '(?is)<style\\b.*?</style\\s*>', '', 'g'), '(?s)<[^>]+>', ' ', 'g')"
+_PRICE_IN = f"(regexp_matches(body, {sql.q('(?i)' + pages.LABELLED)}) or regexp_matches(body, {sql.q('(?i)' + pages.PRICED)}))"
+_DISCOVERY = f"""with {sql.CANDIDATES},
+numbered as (select url as page_url, html, row_number() over (order by {_MD5.format('url', 4096)}, url) - 1 as n, count(*) over () as total from pages),
+bodies as (select *, trim(regexp_replace({_BODY}, '\\s+', ' ', 'g')) as body, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) <> '' as titled from numbered),
+facts as (select n, total, titled, {_PRICE_IN} as priced from bodies),
+opened as (select candidate_id, case when contains(url, '{urls.AGGREGATOR}') then null else url end as url, discovered_date_text is not null as dated, discovered_location_text is not null as placed,
+    ((case when url is not null then 50 else 0 end) + (case when url like 'https://%' then 10 else 0 end) + (case when discovered_date_text is not null then 25 else 0 end) + (case when discovered_location_text is not null then 15 else 0 end)) / 100.0 as confidence
+  from identified where status not in ('published', 'rejected') and (discovered_date_text is null or discovered_date_text = 'soon' or try_cast(discovered_date_text as date) between date '{fx.WEEK}' and date '{fx.WEEK}' + 6)),
+linked as (select *, count(*) over () as rows_linked, count(*) over (partition by url) as hits from opened where url is not null),
+judged as (select candidate_id, case when hits >= greatest(20, ceil(0.15::double * rows_linked)) then 'shared_site_link' when {_MD5.format('url', 10)} = 3 then 'original_url_dead'
+    when round(0.3 * confidence + 0.7 * ((case when titled then 30 else 15 end) + (case when dated then 20 else 0 end) + (case when placed then 10 else 0 end) + (case when priced then 10 else 0 end)) / 100.0, 4) < 0.5 then 'low_confidence' else 'resolved' end as outcome
+  from linked join (select distinct total from facts) on true join facts on facts.n = {_MD5.format('linked.url', 'facts.total')})
+select candidate_id, 'no_original_url_found' as outcome from opened where url is null union all select candidate_id, outcome from judged"""
+
+
+@query(_DISCOVERY)
 def pipe2_discovery(spark, d):
-    """Candidates of the week against pages that the given pages table stands in for."""
-    c = fx.candidates(spark, d)
+    """Candidates of the week against pages that the given pages table stands in for; one link in ten has no page."""
+    url = F.col("candidate_original_url")
+    has_date, has_place = F.col("discovered_date_text").isNotNull(), F.col("discovered_location_text").isNotNull()
+    c = fx.candidates(spark, d).withColumn("confidence", scores.discovery_confidence(url, has_date, has_place))
     given = table(spark, d, "pages")
     got = pages.fetched(given).withColumnRenamed("url", "page_url").drop("final_url")
-    web = c.filter("candidate_original_url is not null").select(F.col("candidate_original_url").alias("url")).distinct()
+    web = c.filter("candidate_original_url is not null").select(F.col("candidate_original_url").alias("url")).distinct().filter(number_of("url", "10") != 3)
     fetched = stand_ins(web, given).join(got, "page_url").select("url", F.col("url").alias("final_url"), "anchors", "facts", "json_ld")
     raw, review = jobs.discover(c, fetched, fx.WEEK, 2024)
     return raw.select("candidate_id", F.lit("resolved").alias("outcome")).unionByName(review.select("candidate_id", F.col("review_reason").alias("outcome")))
 
 
-@query()
+@query(sql.survivors("select id, title, start, cost_type, ingest_seq from survivors"))
 def pipe3_repair(spark, d):
-    again, _ = jobs.repair(survivors(spark, d), fx.AS_OF)
+    """A published week rebuilt from itself: by the same rules nothing changes."""
+    again, _ = jobs.repair(stored(survivors(spark, d), "survivors"), fx.AS_OF)
     return again.select("id", "title", "start", "cost_type", "ingest_seq")
 
 
-@query()
+_PURGED = sql.RESOLVED.replace("cache as (select * from (", "cache as (select * from (select * from (").replace(") t(query, latitude, longitude, confidence, resolved_at))", f") t(query, latitude, longitude, confidence, resolved_at)) where latitude is null or {sql.AREA})")
+_VIRTUAL = "list_contains(s.tags, 'virtual') or lower(s.location_name) = 'virtual' or contains(lower(s.title), 'virtual')"
+_OUTCOME = f"case when coalesce({_VIRTUAL}, false) then 'virtual_skipped' when r.status = 'hit' then 'cache_hit' else r.status end"
+
+
+@query(sql.survivors(f", {sql.ASKED}, {_PURGED}, out as (select s.id, r.lat, r.lon, {_OUTCOME} as geo_outcome from survivors s join resolved r using (ingest_seq)) select id, case when geo_outcome = 'cache_hit' then lat end as latitude, case when geo_outcome = 'cache_hit' then lon end as longitude, geo_outcome, geo_outcome = 'cache_hit' as is_mappable from out"))
 def pipe4_geo_patch(spark, d):
+    """Coordinates from the purged cache, where a place outside the area is unknown again."""
     done, _ = jobs.geo_patch(survivors(spark, d), fx.cache_table(spark))
     return done.select("id", "latitude", "longitude", "geo_outcome", "is_mappable")
 
@@ -535,15 +561,6 @@ def src8_enabled_sources(spark, d):
     return landing.of_enabled(fx.raw_listing(spark, d), catalogue).select("ingest_seq", "source_id")
 
 
-@query(sql.raw("select ingest_seq, title from raw_listing where ingest_seq % 10 <> 9"))
-def src12_any_documents(spark, d):
-    """Groups of ten listings as an array, an envelope, or broken text by turns, read back; broken texts hold one row each."""
-    r = fx.raw_listing(spark, d)
-    one = r.filter("ingest_seq % 10 <> 9").groupBy(F.expr("ingest_seq div 10").alias("g")).agg(F.to_json(F.collect_list(F.struct("ingest_seq", "title"))).alias("a"))
-    docs = one.select(F.when(F.col("g") % 2 == 0, F.col("a")).otherwise(F.concat(F.lit('{"week_start":"x","events":'), F.col("a"), F.lit("}"))).alias("value")).unionByName(r.filter("ingest_seq % 10 = 9").select(F.lit("{broken").alias("value")))
-    return landing.any_events(docs).selectExpr("try_variant_get(event, '$.ingest_seq', 'bigint') as ingest_seq", "try_variant_get(event, '$.title', 'string') as title")
-
-
 @query(sql.raw("select ingest_seq, coalesce(price_text, case when ingest_seq % 2 = 0 then 'Fee: $' || (ingest_seq % 9 + 1) end) as price_text from raw_listing"))
 def src15_detail_prices(spark, d):
     """Missing prices come from the record's own detail page, where there is one."""
@@ -552,20 +569,8 @@ def src15_detail_prices(spark, d):
     return pages.with_detail_price(r, web).select("ingest_seq", "price_text")
 
 
-@query(f"with {sql.CANDIDATES} select k, discovered_title, discovered_location_text from cand where k % 4 = 0 and discovered_location_text is not null")
-def src9_seed_candidates(spark, d):
-    """Candidates as aggregator cards and read back."""
-    c = fx.candidates(spark, d).withColumn("k", F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long")).filter("k % 4 = 0 and discovered_location_text is not null")
-    card = F.concat(F.lit('<article><h3><a href="'), F.col("seed_url"), F.lit('">'), F.col("discovered_title"), F.lit('</a></h3><time datetime="2024-01-01">January 1</time><span class="venue">'), F.col("discovered_location_text"), F.lit("</span></article>"))
-    listing_pages = c.groupBy(F.expr("k div 100").alias("g")).agg(F.array_join(F.collect_list(card), "").alias("html")).select(F.concat(F.lit("https://list.example.org/"), F.col("g").cast("string")).alias("url"), "html")
-    return pages.seed_candidates(listing_pages, "aggregator").select(F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long").alias("k"), "discovered_title", "discovered_location_text")
-
-
-# The next four work on all rows; the queries without _whole, and their SQL, see a part of them.
-
-
 @query(sql.raw("select source_url || '/' || ingest_seq as url, title, start_text, location_text as location_name, price_text as cost_text from raw_listing"))
-def jsn1_json_ld_whole(spark, d):
+def jsn1_json_ld(spark, d):
     """All listings, each with a URL of its own, as JSON-LD blocks (object, array or @graph by turns) and read back."""
     r = fx.raw_listing(spark, d).withColumn("source_url", F.concat("source_url", F.lit("/"), F.col("ingest_seq").cast("string")))
     one = F.to_json(F.struct(F.lit("Event").alias("@type"), F.col("title").alias("name"), F.col("start_text").alias("startDate"), F.struct(F.col("location_text").alias("name")).alias("location"), F.struct(F.col("price_text").alias("price")).alias("offers")))
@@ -576,7 +581,7 @@ def jsn1_json_ld_whole(spark, d):
 
 
 @query(sql.raw("select ingest_seq, title from raw_listing"))
-def src12_any_documents_whole(spark, d):
+def src12_any_documents(spark, d):
     """All listings in groups of ten as an array or an envelope by turns, read back, with broken texts beside them."""
     r = fx.raw_listing(spark, d)
     one = r.groupBy(F.expr("ingest_seq div 10").alias("g")).agg(F.to_json(F.collect_list(F.struct("ingest_seq", "title"))).alias("a"))
@@ -584,17 +589,19 @@ def src12_any_documents_whole(spark, d):
     return landing.any_events(docs).selectExpr("try_variant_get(event, '$.ingest_seq', 'bigint') as ingest_seq", "try_variant_get(event, '$.title', 'string') as title")
 
 
-@query(f"with {sql.CANDIDATES} select k, discovered_title, discovered_location_text from cand where discovered_location_text is not null")
-def src9_seed_candidates_whole(spark, d):
+@query(f"with {sql.CANDIDATES} select k, discovered_title, discovered_location_text from cand")
+def src9_seed_candidates(spark, d):
     """All candidates as aggregator cards and read back."""
-    c = fx.candidates(spark, d).withColumn("k", F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long")).filter("discovered_location_text is not null")
-    card = F.concat(F.lit('<article><h3><a href="'), F.col("seed_url"), F.lit('">'), F.col("discovered_title"), F.lit('</a></h3><time datetime="2024-01-01">January 1</time><span class="venue">'), F.col("discovered_location_text"), F.lit("</span></article>"))
+    c = fx.candidates(spark, d).withColumn("k", F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long"))
+    place = F.when(F.col("discovered_location_text").isNotNull(), F.concat(F.lit('<span class="venue">'), F.col("discovered_location_text"), F.lit("</span>"))).otherwise("")
+    card = F.concat(F.lit('<article><h3><a href="'), F.col("seed_url"), F.lit('">'), F.col("discovered_title"), F.lit('</a></h3><time datetime="2024-01-01">January 1</time>'), place, F.lit("</article>"))
     listing_pages = c.groupBy(F.expr("k div 100").alias("g")).agg(F.array_join(F.collect_list(card), "").alias("html")).select(F.concat(F.lit("https://list.example.org/"), F.col("g").cast("string")).alias("url"), "html")
-    return pages.seed_candidates(listing_pages, "aggregator").select(F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long").alias("k"), "discovered_title", "discovered_location_text")
+    registry.seed("aggregator", lambda listing: pages.seed_candidates(listing, "aggregator"))  # EXT2
+    return registry.SEEDS["aggregator"](listing_pages).select(F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long").alias("k"), "discovered_title", "discovered_location_text")
 
 
 @query(f"with {sql.CANDIDATES} select candidate_id, coalesce(url, case when k % 2 = 0 then 'https://found.example.net/' || k end) as url, case when url is null and k % 2 = 0 then 0.7 else 0.2 end as confidence, case when url is null and k % 2 = 1 then 'no_original_url_found' end as review_reason from identified")
-def cand2_chosen_urls_whole(spark, d):
+def cand2_chosen_urls(spark, d):
     """All candidates, those with the aggregator's own and Facebook links too; half of the candidates without a link find one on their detail page."""
     k = F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long")
     c = fx.candidates(spark, d).withColumn("confidence", F.lit(0.2))
@@ -628,15 +635,9 @@ def snk8_suspicious(spark, d):
     return geo.suspicious(done).select("id", "given_latitude")
 
 
-@query("select count(*) as event_count, count(distinct event_id % 5) as source_count, strftime(min(ts), '%Y-%m-%dT%H:%M:%S') as first_start from events where event_id < 500")
-def snk1_envelope(spark, d):
-    week = small_events(spark, d).filter("int(id) < 500").withColumn("start", F.date_trunc("SECOND", "start").cast("timestamp_ntz"))
-    return publish.envelope(week, fx.WEEK, "now").select(F.size("events").cast("long").alias("event_count"), "source_count", F.col("events")[0]["start"].alias("first_start"))
-
-
 @query("select strftime(date_trunc('week', ts), '%Y-%m-%d') as week_start, count(*) as event_count, count(distinct event_id % 5) as source_count, strftime(min(ts), '%Y-%m-%dT%H:%M:%S') as first_start from events group by 1")
-def snk1_envelope_whole(spark, d):
-    """All events, each in the envelope of its week; snk1_envelope and its SQL see the first 500 only."""
+def snk1_envelope(spark, d):
+    """All events, each in the envelope of its week."""
     dated = small_events(spark, d).withColumn("start", F.date_trunc("SECOND", "start").cast("timestamp_ntz"))
     return publish.envelopes(dated, "now").select("week_start", F.size("events").cast("long").alias("event_count"), "source_count", F.col("events")[0]["start"].alias("first_start"))
 
@@ -661,15 +662,6 @@ def cand1_self_checks(spark, d):
     return cand.self_checks(c).select("candidate_id", F.col("candidate_original_url").alias("url"), F.col("requires_manual_review").alias("review"))
 
 
-@query(f"with {sql.CANDIDATES} select candidate_id, coalesce(url, case when k % 2 = 0 then 'https://found.example.net/' || k end) as url, case when url is null and k % 2 = 0 then 0.7 else 0.2 end as confidence, case when url is null and k % 2 = 1 then 'no_original_url_found' end as review_reason from identified where k % 11 <> 2 and k % 13 <> 3")
-def cand2_chosen_urls(spark, d):
-    """Half of the candidates without a link find one on their detail page."""
-    k = F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long")
-    c = fx.candidates(spark, d).withColumn("confidence", F.lit(0.2)).filter((k % 11 != 2) & (k % 13 != 3))
-    web = c.filter(k % 2 == 0).select(F.col("seed_url").alias("url"), F.array(F.struct(F.lit("Home").alias("text"), F.lit("/").alias("href")), F.struct(F.lit("share").alias("text"), F.lit("https://x.com/s").alias("href")), F.struct(F.lit("Event website").alias("text"), F.concat(F.lit("https://found.example.net/"), k.cast("string")).alias("href"))).alias("anchors"))
-    return cand.chosen_urls(c, web).select("candidate_id", F.col("candidate_original_url").alias("url"), F.round("confidence", 4).alias("confidence"), "review_reason")
-
-
 @query(f"with {sql.CANDIDATES} select count(*) as found, count(*) filter (k % 3 = 0) as need_review, count(*) filter (status = 'published') as resolved, count(*) filter (status = 'rejected') as queued from identified")
 def agg12_discovery(spark, d):
     c = fx.candidates(spark, d).withColumns({"requires_manual_review": F.regexp_extract("seed_url", r"(\d+)$", 1).cast("long") % 3 == 0, "status": F.when(F.col("status") == "published", "resolved").when(F.col("status") == "rejected", "needs_review").otherwise(F.col("status"))})

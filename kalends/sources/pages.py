@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from kalends import rules
 from kalends.functions.dates import listing_times
+from kalends.functions.store import stored
 from kalends.functions.text import blank, card_price, has, found, squeeze
 
 SILENT = {"script", "style", "noscript"}
@@ -51,6 +52,7 @@ class Facts(HTMLParser):
         self.page_title = ""
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.body.append(" ")
         a = {k: v or "" for k, v in attrs}
         names = set(a.get("class", "").split()) | {tag}
         if tag == "meta":
@@ -88,6 +90,7 @@ class Facts(HTMLParser):
         return bool(self.cards) and len(self.stack) > self.cards[-1]["_depth"] and not self.cards[-1].get("_closed")
 
     def handle_endtag(self, tag: str) -> None:
+        self.body.append(" ")
         if all(t != tag for t, _ in self.stack):
             return
         while self.stack:
@@ -116,8 +119,8 @@ class Facts(HTMLParser):
 FACTS = "meta map<string,string>, page_title string, anchors array<struct<text: string, href: string>>, json_ld array<string>, times array<string>, price_texts array<string>, body string, cards array<struct<title: string, time: string, place: string, summary: string, price: string, href: string, image: string>>"
 
 
-def page_facts(pages: DataFrame, layout: str | None = None, url: str = "url", html: str = "html") -> DataFrame:
-    """(url, facts...) for every row of pages; null html has empty facts. Malformed html never fails a row."""
+def page_facts(pages: DataFrame, layout: str | None = None, url: str = "url", html: str = "html", keep: list[str] = ()) -> DataFrame:
+    """(url, facts..., kept string columns) for every row of pages; null html has empty facts. Malformed html never fails a row."""
     profile = LAYOUTS[layout] if layout else None
     parts = ["title", "time", "place", "summary", "price"]
 
@@ -136,9 +139,10 @@ def page_facts(pages: DataFrame, layout: str | None = None, url: str = "url", ht
                         best["time"] = [" ".join(t for _, t in sorted(c.get("time", [])))]
                     cards.append({p: (best[p] or [None])[0] for p in parts} | {"href": c.get("href"), "image": c.get("image")})
                 out.append((u, f.meta, f.page_title or None, [{"text": t, "href": x} for t, x in f.anchors], f.json_ld, f.times, f.prices, " ".join("".join(f.body).split()), cards))
-            yield pd.DataFrame(out, columns=["url", "meta", "page_title", "anchors", "json_ld", "times", "price_texts", "body", "cards"])
+            facts = pd.DataFrame(out, columns=["url", "meta", "page_title", "anchors", "json_ld", "times", "price_texts", "body", "cards"])
+            yield facts.assign(**{k: pdf[k].to_numpy() for k in keep})
 
-    return pages.select(url, html).mapInPandas(run, f"url string, {FACTS}")
+    return pages.select(url, html, *keep).mapInPandas(run, f"url string, {FACTS}" + "".join(f", {k} string" for k in keep))
 
 
 def absolute(href: Column, base: Column) -> Column:
@@ -236,7 +240,7 @@ def with_detail_price(records: DataFrame, pages: DataFrame, cap: int | None = No
     from pyspark.sql import Window
 
     priced, bare = records.filter(blank(F.col("price_text")).isNotNull()), records.filter(blank(F.col("price_text")).isNull())
-    facts = page_facts(pages.dropDuplicates(["url"])).select(F.col("url").alias("source_url"), detail_price(F.col("price_texts"), F.col("body")).alias("_price"))
+    facts = page_facts(pages.groupBy("url").agg(F.min("html").alias("html"))).select(F.col("url").alias("source_url"), detail_price(F.col("price_texts"), F.col("body")).alias("_price"))
     met = bare.join(facts, "source_url", "left")
     if cap is not None:
         met = met.withColumn("_n", F.row_number().over(Window.partitionBy("source_id").orderBy("ingest_seq"))).withColumn("_price", F.when(F.col("_n") <= cap, F.col("_price"))).drop("_n")
@@ -247,9 +251,11 @@ def fetched(pages: DataFrame) -> DataFrame:
     """Pages as candidates need them: (url, final_url, anchors, facts, json_ld), facts merged by trust."""
     from kalends.operators.candidates import merge_facts
 
-    f = page_facts(pages)
+    final = F.col("final_url") if "final_url" in pages.columns else F.col("url")
+    # one page per URL, always the same one; each is parsed once, and the facts are stored for both readers
+    one = pages.groupBy("url").agg(F.min(F.struct(final.alias("final_url"), "html")).alias("_p")).select("url", "_p.*")
+    f = stored(page_facts(one, keep=["final_url"]), "facts")
     ld = json_ld_events(f)
-    finals = pages.select("url", (F.col("final_url") if "final_url" in pages.columns else F.col("url")).alias("final_url")).dropDuplicates(["url"])
-    both = f.dropDuplicates(["url"]).join(ld, "url", "left").join(finals, "url", "left")
+    both = f.join(ld, "url", "left")
     own = html_facts(F.col("times"), page_price(F.col("price_texts"), F.col("body")))
     return both.select("url", "final_url", "anchors", merge_facts(F.coalesce("ld", _facts()), open_graph(F.col("meta"), F.col("page_title")), own).alias("facts"), F.col("ld").isNotNull().alias("json_ld"))

@@ -48,6 +48,11 @@ def envelopes(events: DataFrame, generated_at: str) -> DataFrame:
     return body.join(sources, "week_start").select("week_start", F.lit(generated_at).alias("generated_at"), "source_count", "event_count", "events")
 
 
+def write_envelopes(events: DataFrame, path: str, generated_at: str) -> None:
+    """SNK1: a JSON document per week, in a folder named by the week."""
+    envelopes(events, generated_at).write.mode("overwrite").partitionBy("week_start").json(path)
+
+
 def manifest(known: DataFrame, week: str, generated_at: str, keep: int = rules.KEEP_WEEKS) -> DataFrame:
     """SNK2 with SET3: one row; known(week) are the weeks of the old index and of the files on disk."""
     weeks = retained_weeks(known, keep, week).filter("kept")
@@ -74,12 +79,36 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """SNK4, SNK5, SNK10: writes a merged table beside the old one, then puts it in its place.
+def _versions(spark: SparkSession, path: str) -> tuple[object, list[tuple[int, object, bool]]]:
+    """The file system and (number, folder, whether its write was committed) of a replaced table, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    if store.exists(folder):
+        for entry in store.listStatus(folder):
+            name = entry.getPath().getName()
+            if name.startswith("v") and name[1:].isdigit():
+                done = store.exists(spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS"))
+                found.append((int(name[1:]), entry.getPath(), done))
+    return store, sorted(found, key=lambda v: v[0])
+
+
+def current_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest committed version of a table that replace_table() writes; null before the first."""
+    done = [folder for _, folder, committed in _versions(spark, path)[1] if committed]
+    return spark.read.parquet(done[-1].toString()) if done else None
+
+
+def replace_table(df: DataFrame, path: str, keep: int = 2) -> None:
+    """SNK4, SNK5, SNK10: writes a merged table as the next version and drops all but the newest.
 
-    The merge may read the old table, so it is never overwritten while it is being read.
+    The merge may read the version before. A version counts once its write is committed, so a crash at any point
+    leaves the one before in force, and a repeated write starts over.
     """
     spark = df.sparkSession
-    fresh = f"{path}.next"
-    df.write.mode("overwrite").parquet(fresh)
-    spark.read.parquet(fresh).write.mode("overwrite").parquet(path)
+    _, found = _versions(spark, path)
+    number = max((n for n, _, done in found if done), default=0) + 1
+    df.write.mode("overwrite").parquet(f"{path}/v{number:010d}")
+    store, found = _versions(spark, path)
+    for _, folder, _ in [v for v in found if v[0] <= number][:-keep]:
+        store.delete(folder, True)

@@ -7,7 +7,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from kalends import schemas
 from kalends.operators.candidates import merge_queue
-from kalends.sources.publish import replace_table
+from kalends.sources.publish import current_table, replace_table
 
 
 def landing_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -26,16 +26,11 @@ def first_seen_stream(stream: DataFrame, time_column: str, delay: str = "7 days"
 
 
 def merge_review_queue(stream: DataFrame, queue_path: str, checkpoint: str, policy: str = "full") -> StreamingQuery:
-    """ST3: merges each micro-batch into the queue; a repeated batch changes nothing."""
+    """ST3: merges each micro-batch into the queue that current_table() reads; a repeated batch changes nothing."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(queue_path)
-        except Exception as missing:  # the first batch makes the queue
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            old = batch.limit(0)
+        old = current_table(batch.sparkSession, queue_path)
+        old = batch.limit(0) if old is None else old  # the first batch makes the queue
         replace_table(merge_queue(old, batch.select(*old.columns), policy), queue_path)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

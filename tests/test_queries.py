@@ -1,18 +1,18 @@
 """Registered queries against DuckDB on the smallest tables."""
 
 import glob
+import hashlib
 import os
 
 import duckdb
 import pandas as pd
 import pytest
-import xxhash
 
-from kalends.plans import queries
+from kalends.plans import inventory, queries
 from kalends.plans.queries import ORACLES, QUERIES
 
 DIR = "/root/testdata/sf0.001"
-QUICK = ["src1_raw_listing", "str1_str2_titles", "str3_summaries", "str9_locations", "str12_str14_prices", "url3_url6_outbound", "dt1_dt2_dates", "dt6_listing_times", "ded4_survivors", "ded5_first_seen", "ret1_retention", "snk2_manifest", "set4_mirror_plan", "join1_venue_hints", "exp1_occurrences", "flt10_malformed", "agg13_horizon", "geo7_purge", "agg10_shared_links", "snk4_merge_queue", "snk5_merge_light", "htm1_page_facts", "jsn1_json_ld", "src2_api_events", "src3_listing_cards"]
+QUICK = ["src1_raw_listing", "str1_str2_titles", "str3_summaries", "str9_locations", "str12_str14_prices", "url3_url6_outbound", "dt1_dt2_dates", "dt6_listing_times", "ded4_survivors", "ded5_first_seen", "ret1_retention", "snk2_manifest", "set4_mirror_plan", "join1_venue_hints", "exp1_occurrences", "flt10_malformed", "agg13_horizon", "geo7_purge", "agg10_shared_links", "snk4_merge_queue", "snk5_merge_light", "htm1_page_facts", "jsn1_json_ld", "src2_api_events", "src3_listing_cards", "snk1_envelope", "src12_any_documents", "src9_seed_candidates", "cand2_chosen_urls", "pipe2_discovery", "pipe3_repair", "pipe4_geo_patch", "agg14_removed", "ded6_repeated_ids"]
 
 
 @pytest.fixture(scope="module")
@@ -38,13 +38,11 @@ def plain(df: pd.DataFrame) -> list[tuple]:
     return sorted((tuple(one(v) for v in row) for row in df[sorted(df.columns)].itertuples(index=False)), key=str)
 
 
-@pytest.mark.parametrize("name", QUICK)
-def test_against_sql(spark, duck, name):
-    assert plain(QUERIES[name](spark, DIR).toPandas()) == plain(duck.execute(ORACLES[name]).df())
+MORE = [n for n, q in QUERIES.items() if q.__module__ == inventory.__name__]
 
 
-@pytest.mark.parametrize("name", ["snk1_envelope_whole", "jsn1_json_ld_whole", "src12_any_documents_whole", "src9_seed_candidates_whole", "cand2_chosen_urls_whole"])
-def test_whole_tables_against_sql(spark, duck, name):
+@pytest.mark.parametrize("name", QUICK + MORE)
+def test_against_sql(spark, duck, name):
     assert plain(QUERIES[name](spark, DIR).toPandas()) == plain(duck.execute(ORACLES[name]).df())
 
 
@@ -56,12 +54,12 @@ def test_discovery_meets_every_page(spark, tmp_path, monkeypatch):
     met, discover = [], queries.jobs.discover
     monkeypatch.setattr(queries.jobs, "discover", lambda c, fetched, *a: (met.append(fetched), discover(c, fetched, *a))[1])
     assert QUERIES["pipe2_discovery"](spark, str(tmp_path)).count() > 0
-    hashed = lambda u: (xxhash.xxh64_intdigest(u, 42) + 2**63) % 2**64 - 2**63
+    hashed = lambda u: int(hashlib.md5(u.encode()).hexdigest()[:8], 16)
     order = sorted(range(200), key=lambda i: (hashed(own[i]) % 4096, own[i]))
     links = {r[0] for r in queries.fx.candidates(spark, str(tmp_path)).select("candidate_original_url").distinct().collect()} - {None}
     got = {r["url"]: r["title"] for r in met[0].select("url", "facts.title").collect()}
-    assert got == {u: f"Gathering number {order[hashed(u) % 200]}" for u in links} and len(set(got.values())) > 150
+    assert got == {u: f"Gathering number {order[hashed(u) % 200]}" for u in links if hashed(u) % 10 != 3} and len(set(got.values())) > 150
 
 
-def test_every_query_has_an_oracle_or_is_a_job():
-    assert {n for n in QUERIES if n not in ORACLES} <= {"pipe2_discovery", "pipe3_repair", "pipe4_geo_patch"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
