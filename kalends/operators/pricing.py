@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalends import rules
-from kalends.functions.text import contains_any, found, has, price_text, snippet, sub
+from kalends.functions.text import contains_any, found, has, holds, price_text, snippet
 
 #: reason -> (price_type, cost_type, is_free)
 OUTCOMES = {
@@ -39,9 +39,9 @@ def is_public(name: Column, venue: Column) -> Column:
     return contains_any(name, rules.PUBLIC_NAMES) | contains_any(venue, rules.PUBLIC_VENUES)
 
 
-def weak_paid(text: Column) -> Column:
-    """PRC2: a paid-sounding word that is not part of a phrase such as "no fee"."""
-    return has(sub(text, rules.PAID_FALSE_ALARMS), rules.WEAK_PAID)
+def weak_paid(low: Column) -> Column:
+    """PRC2: a paid-sounding word of a lower-case text that is not part of a phrase such as "no fee"."""
+    return holds(F.regexp_replace(low, rules.PAID_FALSE_ALARMS, " "), rules.WEAK_PAID)
 
 
 def joined(*parts: Column) -> Column:
@@ -49,25 +49,25 @@ def joined(*parts: Column) -> Column:
 
 
 def reason(text: Column, price: Column, library: Column, public: Column) -> Column:
-    """The first rule that applies; every other field follows from it."""
+    """The first rule that applies to a lower-case text; every other field follows from it."""
     zero = F.coalesce(F.lower(F.trim(price)).isin(rules.ZERO_PRICES), F.lit(False))
-    explicit, paid = has(text, rules.EXPLICIT_FREE), weak_paid(text)
+    explicit, paid = holds(text, rules.EXPLICIT_FREE), weak_paid(text)
     return (
         F.when(zero, "zero_cost_value")
         .when((text == "") & library, "library_default_free_no_context")
         .when((text == "") & public, "public_source_default_free_no_context")
         .when(text == "", "no_context")
-        .when(has(text, rules.MIXED), "mixed_pricing")
-        .when(has(text, rules.DONATION), "donation_language")
-        .when(has(text, rules.STRONG_PAID), "strong_paid_signal")
-        .when(has(text, rules.DOLLAR), "dollar_amount")
+        .when(holds(text, rules.MIXED), "mixed_pricing")
+        .when(holds(text, rules.DONATION), "donation_language")
+        .when(holds(text, rules.STRONG_PAID), "strong_paid_signal")
+        .when(holds(text, rules.DOLLAR), "dollar_amount")
         .when(explicit & paid, "conflicting_free_and_paid")
         .when(explicit, "explicit_free_text")
         .when(paid, "weak_paid_signal")
-        .when((library | public) & has(text, rules.PAID_PROGRAM), "paid_program_format_no_price")
+        .when((library | public) & holds(text, rules.PAID_PROGRAM), "paid_program_format_no_price")
         .when(library, "library_default_free")
         .when(public, "public_source_default_free")
-        .when(has(text, r"\bfree\b"), "free_word_only")
+        .when(holds(text, r"\bfree\b"), "free_word_only")
         .otherwise("unknown_no_signals")
     )
 
@@ -81,7 +81,7 @@ def with_pricing(df: DataFrame, price: str = "price_text", summary: str = "summa
     """PRC1 with PRC4 and PRC5: adds a struct of the ten pricing fields; missing columns count as null."""
     col = lambda n: F.col(n).cast("string") if n in df.columns else F.lit(None).cast("string")
     p, s, t, v, reg = col(price), col(summary), col(title), col(venue), col(registration_url)
-    df = df.withColumn("_text", joined(p, s, t)).withColumn("_reason", reason(F.col("_text"), p, is_library(col(source_name), col(source_url), v), is_public(col(source_name), v)))
+    df = df.withColumn("_text", joined(p, s, t)).withColumn("_low", F.lower("_text")).withColumn("_reason", reason(F.col("_low"), p, is_library(col(source_name), col(source_url), v), is_public(col(source_name), v)))
     text, why = F.col("_text"), F.col("_reason")
     zero, cost = why == "zero_cost_value", outcome(why, 1)
     df = df.withColumn("_short", snippet(text))
@@ -102,7 +102,7 @@ def with_pricing(df: DataFrame, price: str = "price_text", summary: str = "summa
         "registration_fee_text": F.when(fee_wanted, fee), "extracted_price_text": F.when(zero, F.trim(p)).otherwise(extracted),
         "reason": why, "matched_patterns": F.array_compact(F.array(mark, F.when(why == "conflicting_free_and_paid", F.lit("conflicting_weak_paid")))),
     }
-    return df.withColumn(out, F.struct(*[c.alias(n) for n, c in fields.items()])).drop("_text", "_reason", "_short")
+    return df.withColumn(out, F.struct(*[c.alias(n) for n, c in fields.items()])).drop("_text", "_low", "_reason", "_short")
 
 
 def legacy_cost(df: DataFrame, pricing: str = "pricing") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalends import rules
-from kalends.functions.text import contains_any, has, sub
+from kalends.functions.text import contains_any, holds, named
 from kalends.operators.tags import rainy_day
 
 
@@ -38,24 +38,22 @@ def friendliness(tags: Column, title: Column, place: Column, summary: Column, im
     return clamp(total)
 
 
-def first_rule(text: Column, table: dict[str, str]) -> Column:
-    """JOIN-free first match: the name of the first rule found in the text."""
-    return F.coalesce(*[F.when(has(text, rules.pattern(spec)), F.lit(name)) for name, spec in table.items()])
+def first_rule(low: Column, table: dict[str, list[str]]) -> Column:
+    """JOIN-free first match: the name of the first rule found in the lower-case text."""
+    return F.coalesce(*[F.when(holds(low, rules.pattern(some)), F.lit(name)) for name, some in table.items()])
 
 
-def adult_hits(text: Column) -> Column:
-    hits = []
-    for name, spec in rules.ADULT_RULES.items():
-        t = sub(text, rules.ADULT_EXCEPT[name]) if name in rules.ADULT_EXCEPT else text
-        hits.append(F.when(has(t, rules.pattern(spec)), F.lit(name)))
-    return F.array_compact(F.array(*hits))
+def adult_hits(low: Column) -> Column:
+    text = {name: F.regexp_replace(low, rules.ADULT_EXCEPT[name], " ") if name in rules.ADULT_EXCEPT else low for name in rules.ADULT_RULES}
+    return named([(name, holds(text[name], rules.pattern(some))) for name, some in rules.ADULT_RULES.items()])
 
 
 def with_relevance(df: DataFrame, title: str = "title", summary: str = "summary", tags: str = "tags", source: str = "source_name", stance: dict[str, int] = rules.SOURCE_STANCE, out: str = "relevance") -> DataFrame:
     """SCO2 with JOIN13: struct(score, label, reasons)."""
     w = rules.RELEVANCE
-    text = F.concat_ws(" ", F.nullif(F.col(title), F.lit("")), F.nullif(F.col(summary), F.lit("")))
-    df = df.withColumns({"_family": first_rule(text, rules.FAMILY_RULES), "_activity": first_rule(text, rules.ACTIVITY_RULES), "_adult": adult_hits(text), "_rescue": first_rule(text, rules.RESCUE_RULES)})
+    df = df.withColumn("_low", F.lower(F.concat_ws(" ", F.nullif(F.col(title), F.lit("")), F.nullif(F.col(summary), F.lit("")))))
+    low = F.col("_low")
+    df = df.withColumns({"_family": first_rule(low, rules.FAMILY_RULES), "_activity": first_rule(low, rules.ACTIVITY_RULES), "_adult": adult_hits(low), "_rescue": first_rule(low, rules.RESCUE_RULES)})
     t = F.col(tags)
     age, teen = F.array_intersect(F.array(*map(F.lit, sorted(rules.AGE_TAGS))), t), F.array_contains(t, "teen")
     lean = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in stance.items() for x in kv]), F.coalesce(F.col(source), F.lit(""))), F.lit(0)) if stance else F.lit(0)
@@ -70,7 +68,7 @@ def with_relevance(df: DataFrame, title: str = "title", summary: str = "summary"
         F.array_compact(F.array(F.when(F.size(age) > 0, F.concat(F.lit("age_tag:"), F.array_join(age, "+"))).when(teen, F.lit("age_tag:teen")), F.concat(F.lit("pos:"), F.col("_family")), F.concat(F.lit("activity:"), F.col("_activity")))),
         F.transform("_adult", lambda a: F.concat(F.lit("neg:"), a)), F.array_compact(F.array(F.concat(F.lit("rescue:"), rescue))),
     )
-    return df.withColumn(out, F.struct((kept / 100.0).alias("score"), label.alias("label"), reasons.alias("reasons"))).drop("_family", "_activity", "_adult", "_rescue")
+    return df.withColumn(out, F.struct((kept / 100.0).alias("score"), label.alias("label"), reasons.alias("reasons"))).drop("_low", "_family", "_activity", "_adult", "_rescue")
 
 
 def discovery_confidence(url: Column, has_date: Column, has_place: Column) -> Column:

@@ -7,28 +7,25 @@ from pyspark.sql import functions as F
 
 from kalends import rules
 from kalends.functions.dates import time_tags
-from kalends.functions.text import contains_any, has, sub
+from kalends.functions.text import contains_any, has, holds, named
 
 
 def sorted_tags(c: Column) -> Column:
-    return F.array_sort(F.array_distinct(c))
+    return F.sort_array(F.array_distinct(c))  # compiled, with all that feeds it; array_sort is not
 
 
-def text_tags(text: Column) -> Column:
-    """One projection: each tag's alternatives are one pattern."""
-    found = []
-    for tag, spec in rules.TAGS.items():
-        t = sub(text, rules.TAG_EXCEPT[tag], " ") if tag in rules.TAG_EXCEPT else text
-        found.append(F.when(has(t, rules.pattern(spec)), F.lit(tag)))
-    return F.array_compact(F.array(*found))
+def text_tags(low: Column) -> Column:
+    """Of a lower-case text. One projection: each tag's alternatives are one pattern."""
+    text = {tag: F.regexp_replace(low, rules.TAG_EXCEPT[tag], " ") if tag in rules.TAG_EXCEPT else low for tag in rules.TAGS}
+    return named([(tag, holds(text[tag], rules.pattern(some))) for tag, some in rules.TAGS.items()])
 
 
 def derive_tags(title: Column, summary: Column, place: Column, start: Column, cost_type: Column, extra: Column | None = None) -> Column:
     """TAG1 with DT3: sorted tags from text, source, price and start, allowed ones only."""
-    text = F.concat_ws(" ", *[F.nullif(c, F.lit("")) for c in (title, summary, place)])
+    low = F.lower(F.concat_ws(" ", *[F.nullif(c, F.lit("")) for c in (title, summary, place)]))
     own = F.transform(F.coalesce(extra, F.array().cast("array<string>")), lambda t: F.lower(F.trim(t))) if extra is not None else F.array().cast("array<string>")
-    free = F.array_compact(F.array(F.when(cost_type == "free", F.lit("free"))))
-    every = F.concat(text_tags(text), own, free, F.coalesce(time_tags(start), F.array().cast("array<string>")))
+    free = named([("free", cost_type == "free")])
+    every = F.concat(text_tags(low), own, free, F.coalesce(time_tags(start), F.array().cast("array<string>")))
     return sorted_tags(F.array_intersect(every, F.array(*map(F.lit, rules.ALLOWED_TAGS))))
 
 

@@ -131,3 +131,61 @@ def test_registry_and_rejects(spark):
         registry.listing_source("x", "X", "no_layout")
     assert quality.rule_table([])[0][0] == "EMPTY_TITLE"
     assert spark.range(1).select(location(F.lit(None).cast("string")).alias("l")).first()["l"]["location_name"] is None
+
+
+def test_a_crash_between_writes_leaves_the_table_in_force(spark, tmp_path):
+    """A version without its commit marker is no version; the next write starts it over; old versions go."""
+    from kalends.sources import publish
+
+    path = str(tmp_path / "queue")
+    frame = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    ids = lambda: sorted(r["id"] for r in publish.current_table(spark, path).collect())
+    assert publish.current_table(spark, path) is None
+    publish.replace_table(frame(1), path)
+    publish.replace_table(publish.current_table(spark, path).unionByName(frame(2)), path)
+    assert ids() == [1, 2]
+    broken = tmp_path / "queue" / "v0000000003"
+    frame(9).write.parquet(str(broken))
+    (broken / "_SUCCESS").unlink()  # the writer died before its commit
+    assert ids() == [1, 2]
+    bad = frame(3).selectExpr("if(id > 0, raise_error('lost'), id) as id")
+    with pytest.raises(Exception, match="lost"):
+        publish.replace_table(bad, path)
+    assert ids() == [1, 2]
+    publish.replace_table(publish.current_table(spark, path).unionByName(frame(3)), path)
+    assert ids() == [1, 2, 3] and len(list((tmp_path / "queue").glob("v*"))) == 2
+
+
+def test_hints_of_any_size_agree(spark):
+    """The joined form finds what a literal table finds: inside words, short keywords, ties by order, several texts, nulls."""
+    from kalends.operators import lookup
+
+    hints = [("ark", ["a"], True, None), ("x", ["b"], False, "Xville"), ("park hall", ["c"], None, "P"), ("é b", ["d"], True, None)]
+    rows = [(1, "City Park Hall", None), (2, None, "Box"), (3, "nothing", "none"), (4, "Café Bar", "ark"), (5, "", "X"), (6, "Park Hall", "x"), (6, "Park Hall", "x")]
+    df = spark.createDataFrame(rows, "ingest_seq long, place string, title string")
+    keys = ["keyword", "tags", "rainy", "city"]
+    small = lookup.with_hint(df, ["place", "title"], hints, keys)
+    filler = [(f"zz{i}zz", ["z"], True, None) for i in range(lookup.LITERAL_RULES)]
+    large = lookup.with_hint(df, ["place", "title"], hints + filler, keys)
+    plain = lambda d: sorted((r["ingest_seq"], r["hint"] and r["hint"]["keyword"], r["hint"] and r["hint"]["city"]) for r in d.collect())
+    assert plain(small) == plain(large) and [k for _, k, _ in plain(small)] == ["ark", "x", None, "é b", "x", "ark", "ark"]
+
+
+def test_chronological_order(spark):
+    from kalends.operators import dedupe
+
+    rows = [("2024-01-02 10:00:00", "b"), ("2024-01-01 10:00:00", "z"), ("2024-01-02 10:00:00", "B"), ("2024-01-02 10:00:00", "a")]
+    df = spark.createDataFrame(rows, "start string, title string").selectExpr("cast(start as timestamp_ntz) as start", "title").repartition(3)
+    assert [r["title"] for r in dedupe.chronological(df).collect()] == ["z", "B", "a", "b"]
+
+
+def test_a_dry_run_publishes_nothing(spark, tmp_path):
+    """SNK9: a build writes no week; an error stops the writer."""
+    from kalends.plans import jobs
+    from kalends.plans import listing as fx
+
+    raw = fx.raw_listing(spark, "/root/testdata/sf0.001").limit(60)
+    build = jobs.daily(raw, fx.AS_OF)
+    assert build.events.count() > 0 and not (tmp_path / "weeks").exists()
+    assert not jobs.publish(build, str(tmp_path / "weeks"), fx.WEEK, ["example.org"]) and not (tmp_path / "weeks").exists()
+    assert jobs.publish(build, str(tmp_path / "weeks"), fx.WEEK) and (tmp_path / "weeks").exists()
