@@ -18,11 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the cluster names in spark.checkpoint.dir.
 
-    Where that setting is absent (local tests) a temporary folder is made and set.
+    Only a local session without that setting, as in tests, gets a temporary folder; on a cluster the
+    setting must be made, for an executor's own disk would lose what others need.
     """
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
