@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kalends.llm.common import ids_and_bytes, per_row, stored
+from kalends.llm.common import ids_and_bytes, per_row, slices, stored
 
 SYMBOLS = b"#*$%&|<>"
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_letters", "n_bangs", "n_stops"]
@@ -130,41 +130,44 @@ def measure(docs: DataFrame) -> DataFrame:
     return per_row(ids_and_bytes(docs), make, [*((f, pa.int64()) for f in FEATURES), ("votes", pa.string())], "doc_id long, " + ", ".join(f"{f} long" for f in FEATURES) + ", votes string")
 
 
-def posterior_column(measured: DataFrame, column: str = "votes"):
-    """The posterior as an expression over the vote pattern; patterns are counted over all rows first."""
-    patterns = {r["votes"]: r["count"] for r in measured.groupBy(F.col(column).alias("votes")).count().collect()}  # at most 3 ** rules
-    posterior, accuracy, good = expectation_maximisation(patterns)
-    table = F.create_map(*[F.lit(x) for kv in posterior.items() for x in kv]) if posterior else F.create_map(F.lit(""), F.lit(0.5))
-    return F.try_element_at(table, F.col(column)), accuracy, good
+def posteriors(measured: DataFrame, column: str = "votes") -> DataFrame:
+    """(votes, posterior): a row per vote pattern, at most 3 to the number of rules; patterns are counted over all rows first."""
+    patterns = {r["votes"]: r["count"] for r in measured.groupBy(F.col(column).alias("votes")).count().collect()}
+    posterior, _, _ = expectation_maximisation(patterns)
+    return measured.sparkSession.createDataFrame(sorted(posterior.items()), "votes string, posterior double")
 
 
 BASE_FAILED = "n_words < 10 or 100 * n_repeat_words > 20 * n_words"
 
 
+def fails_base(found: tuple[int, ...]) -> bool:
+    n, repeats = found[FEATURES.index("n_words")], found[FEATURES.index("n_repeat_words")]
+    return n < 10 or 100 * repeats > 20 * n
+
+
 def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Per document the features, base_failed, the posterior and the verdict.
 
     Empty and null texts fail the base rule. Equal texts get equal verdicts.
     """
     measured = stored(measure(docs), "quality")
-    p, _, _ = posterior_column(measured)
-    return measured.withColumn("posterior", p).withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold))
+    judged = measured.join(F.broadcast(posteriors(measured)), "votes", "left")  # a bounded table
+    return judged.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold))
 
 
 def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs, all columns unchanged, that judge() keeps."""
-    measured = stored(measure(docs), "quality")
-    posterior, _, _ = expectation_maximisation({r["votes"]: r["count"] for r in measured.groupBy("votes").count().collect()})
+    """The rows of docs, all columns unchanged, that judge() keeps. Each text is looked at once: rows are stored beside their votes."""
     text_at = docs.columns.index("text")
+    vote, failed = (next(n for n in (name + "_" * k for k in range(len(docs.columns) + 1)) if n not in docs.columns) for name in ("votes", "base_failed"))
 
     def run(batches):
         for batch in batches:
-            column = batch.column(text_at)
-            ok = []
-            for t in column.to_pylist():
-                found = features((t or "").encode("utf-8", "replace"))
-                n, repeats = found[0], found[FEATURES.index("n_repeat_words")]
-                ok.append(n >= 10 and 100 * repeats <= 20 * n and posterior[votes(found)] >= threshold)
-            yield batch.filter(pa.array(ok, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+            for part in slices([batch]):
+                found = [features((t or "").encode("utf-8", "replace")) for t in part.column(text_at).to_pylist()]
+                bad = [fails_base(f) for f in found]
+                yield part.append_column(vote, pa.array([votes(f) for f in found], pa.string())).append_column(failed, pa.array(bad, pa.bool_()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    voted = stored(docs.mapInArrow(run, f"{fields}, `{vote}` string, `{failed}` boolean"), "voted")
+    good = posteriors(voted, vote).filter(F.col("posterior") >= threshold).select(F.col("votes").alias(vote))
+    return voted.filter(~F.col(failed)).join(F.broadcast(good), vote, "left_semi").select(docs.columns)

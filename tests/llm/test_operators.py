@@ -132,6 +132,30 @@ def test_warc(spark):
     assert warc.ranges([(0, 10), (12, 5), (1000, 5)], gap=4) == [(0, 17, [0, 1]), (1000, 5, [2])]
 
 
+def slow_posteriors(patterns, rounds=60):
+    """Expectation-maximisation row by row, in plain loops; virtual votes and start as the operator documents them."""
+    import math
+
+    rows = [k for k, n in sorted(patterns.items()) for _ in range(n)]
+    start = {k: 0.5 + 0.4 * ((k.count("+") > k.count("-")) - (k.count("+") < k.count("-"))) for k in patterns}
+    p = dict(start)
+    for _ in range(rounds):
+        odds = dict.fromkeys(patterns, 0.0)
+        for good in (False, True):
+            mass = {k: p[k] if good else 1 - p[k] for k in patterns}
+            share = (sum(mass[k] for k in rows) + 1) / (len(rows) + 2)
+            for k in odds:
+                odds[k] += (1 if good else -1) * math.log(share)
+            for j in range(len(weak_quality.RULES)):
+                table = {"0": 1.0, "+": 2.0 if good else 0.2, "-": 0.2 if good else 2.0}
+                for k in rows:
+                    table[k[j]] += mass[k]
+                for k in odds:
+                    odds[k] += (1 if good else -1) * math.log(table[k[j]] / sum(table.values()))
+        p = {k: 1 / (1 + math.exp(-max(-50, min(50, o)))) for k, o in odds.items()}
+    return p
+
+
 def test_weak_quality(docs, empty):
     got = collections.defaultdict(list)
     for r in weak_quality.judge(docs).collect():
@@ -152,7 +176,15 @@ def test_weak_quality(docs, empty):
             assert r["base_failed"] == (want[0] < 10 or 100 * want[4] > 20 * want[0])
             assert not (r["kept"] and r["base_failed"])
     assert weak_quality.judge(empty).count() == 0
-    assert weak_quality.keep_good(docs).columns == docs.columns
+    clashing = docs.withColumnRenamed("fp", "votes").withColumnRenamed("row", "base_failed")
+    kept = weak_quality.keep_good(clashing)
+    assert kept.schema == clashing.schema
+    good = collections.Counter((i, r["kept"]) for i in got for r in got[i])
+    assert collections.Counter(r["doc_id"] for r in kept.collect()) == {i: n for (i, k), n in good.items() if k}
+    assert weak_quality.keep_good(empty).count() == 0
+    patterns = {r["votes"]: r["count"] for r in weak_quality.measure(docs).groupBy("votes").count().collect()}
+    slow = slow_posteriors(patterns)
+    assert all(abs(r["posterior"] - slow[r["votes"]]) < 1e-6 for i in got for r in got[i])
 
 
 def test_em_separates_defects():
@@ -252,14 +284,14 @@ def slow_log_likelihood(vocab, p, symbols):
     """Forward pass of one text, step by step in double precision."""
     q, k, h, last, total = {n: v.astype(float) for n, v in p.items()}, gru_lm.HIDDEN, np.zeros(gru_lm.HIDDEN), gru_lm.END, 0.0
     for y in symbols:
-        g, a = q["x"][last], h @ q["h"]
+        g, a = q["x"][last], q["h"] @ h
         z, r = (1 / (1 + np.exp(-(g[i * k : i * k + k] + a[i * k : i * k + k]))) for i in (0, 1))
         n = np.tanh(g[2 * k :] + r * a[2 * k :])
         h, last = (1 - z) * n + z * h, y
         spot = vocab.spot[y]
         c = vocab.klass[spot]
         lo, hi = vocab.edges[c], vocab.edges[c + 1]
-        for logits, at in ((h @ q["c"] + q["cb"], c), (q["o"][lo:hi] @ h + q["ob"][lo:hi], spot - lo)):
+        for logits, at in ((q["c"] @ [*h, 1], c), (q["o"][lo:hi] @ [*h, 1], spot - lo)):
             total += logits[at] - np.log(np.exp(logits).sum())
     return total / np.log(10)
 
@@ -287,7 +319,7 @@ def test_gru_slopes(monkeypatch):
     vocab = gru_lm.Vocabulary([b"a", b"b", b"c", b"d"], [4, 3, 2, 1], 2, 1)
     p = {n: (v + rng.standard_normal(v.shape) * 0.3).astype(np.float64) for n, v in vocab.start().items()}
     x, y = rng.integers(0, 6, (7, 3)), rng.integers(0, 6, (7, 3))
-    fresh, on, h = rng.random((7, 3)) < 0.2, rng.random((7, 3)) < 0.8, rng.standard_normal((3, gru_lm.HIDDEN))
+    fresh, on, h = rng.random((7, 3)) < 0.2, rng.random((7, 3)) < 0.8, rng.standard_normal((gru_lm.HIDDEN, 3))
     found = {}
     monkeypatch.setattr(gru_lm.Trainer, "move", lambda self, name, slope, rows=slice(None): found.__setitem__(name, (slope * 3, rows)))
     trainer = gru_lm.Trainer(vocab, p)
@@ -295,7 +327,7 @@ def test_gru_slopes(monkeypatch):
 
     def loss():
         states = gru_lm.run_window(p, x, fresh, h)[0]
-        return -gru_lm.output(p, vocab, states[on], y[on])[0].sum()
+        return -gru_lm.output(p, vocab, gru_lm.by_lane(states)[on.ravel()], y[on])[0].sum()
 
     for name, (slope, rows) in found.items():
         whole = np.zeros_like(p[name])
