@@ -5,22 +5,27 @@ each task and one aggregation. The MODEL_WORDS most frequent words are the model
 others share the symbol "other" and, inside it, have the add-one unigram probability of the corpus,
 so the model gives every text a proper log-probability.
 
-Training: data-parallel truncated backpropagation. In each round every task starts from the shared
-parameters, walks its training documents' spans that fall to this round (the rounds take turns in
-each document, from a round by hash, so that together they learn from every training token once),
-carries the state across the windows of a span, and returns its parameters; these are averaged by
-tokens in two aggregations.
+Encoding: one pass turns each text into 16-bit symbols and its sums of unigram logarithms; training
+and scoring read these, so no text is split again.
+
+Training: data-parallel truncated backpropagation. The training documents are dealt over the rounds
+by hash, so that together the rounds learn from every training token once. In a round every task starts from
+the shared parameters and lays its documents end to end over side-by-side lanes, few at first and
+more later; state is carried from window to window and reset where a document starts. Tasks return
+their parameters; these are averaged by tokens in two aggregations.
 
 The output softmax is factored by classes of about equal probability. Scoring runs documents side
 by side in lanes and carries each document's state across windows, so a text is scored whole.
 
-Broadcast: the parameters and the HOT_WORDS most frequent words' counts, both of fixed size. Counts of
-all other words are joined by shuffle; none of those words is frequent, so no key is hot.
+Broadcast: the parameters and the counts of at most HOT_WORDS words, all those from a count on that a
+histogram gives; both are of bounded size. Counts of all other words are joined by shuffle; none of
+those words is frequent, so no key is hot.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,13 +38,14 @@ from pyspark.sql import functions as F
 
 from kalends.llm.common import ids_and_bytes, slices, stored
 
-MODEL_WORDS = 2046
+MODEL_WORDS = 4094
 HOT_WORDS = 1 << 18
 LONGEST_HOT = 64
 HIDDEN = 24
 ROUNDS = 2
-WINDOW, SPAN_WINDOWS = 32, 4
-TRAIN_LANES, SCORE_LANES = 32, 512
+WINDOW = 32
+FIRST_LANES, MOST_LANES, SCORE_LANES = 128, 256, 512
+LANE_TOKENS = 1024  # a block of training tokens holds MOST_LANES times so many
 RATE = 0.08
 BATCH_TOKENS = 4_000_000
 COUNT_LIMIT = 400_000
@@ -76,174 +82,235 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     return docs.filter(~held_out(F.col("doc_id"))).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> list[tuple[bytes, int]]:
+    """(word, n), most frequent first, of all words that occur so often that at most so many do. A histogram gives the count."""
+    some = counts.filter(F.length("word") <= LONGEST_HOT)
+    step = F.floor(F.log2("n") * 16).cast("int")
+    sizes = dict(some.groupBy(step.alias("step")).agg(F.count("*")).collect())  # a row per sixteenth of a doubling
+    least, held = None, 0
+    for k in sorted(sizes, reverse=True):
+        held += sizes[k]
+        if held > most:
+            break
+        least = k
+    found = some.filter((step >= (least if least is not None else 1 << 30)) | (F.length("word") == 0)).collect()
+    return sorted(((bytes(r["word"]), r["n"]) for r in found), key=lambda wn: (-wn[1], wn[0]))
+
+
 class Vocabulary:
-    """Symbols and their classes: END, OTHER, then the most frequent words."""
+    """Symbols and their classes: END, OTHER, then the most frequent words. A class is a run of the symbols in order of frequency."""
 
     def __init__(self, words: list[bytes], counts: list[int], end: int, other: int) -> None:
         self.ids = {w: i + 2 for i, w in enumerate(words)}
         n = np.array([end, other, *counts], float) + 1
         self.share = n / n.sum()
         order = np.argsort(-self.share, kind="stable")
-        limit = 1 / max(1.0, np.sqrt(len(n)))
-        self.klass, self.place = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
-        self.members: list[np.ndarray] = []
-        at, mass, held = 0, 0.0, []
-        for s in order.tolist():
-            held.append(s)
+        self.spot = np.empty(len(n), np.int64)  # a symbol's place in that order
+        self.spot[order] = np.arange(len(n))
+        limit, most = 1 / max(1.0, np.sqrt(len(n))), max(128, int(2 * np.sqrt(len(n))))
+        edges, mass = [0], 0.0
+        for at, s in enumerate(order.tolist()):
             mass += self.share[s]
-            if mass >= limit or len(held) >= 128:
-                self.members.append(np.array(held))
-                at, mass, held = at + 1, 0.0, []
-        if held:
-            self.members.append(np.array(held))
-        for c, m in enumerate(self.members):
-            self.klass[m], self.place[m] = c, np.arange(len(m))
+            if mass >= limit or at + 1 - edges[-1] >= most or at + 1 == len(n):
+                edges.append(at + 1)
+                mass = 0.0
+        self.edges = np.array(edges)
+        self.klass = np.repeat(np.arange(len(edges) - 1), np.diff(self.edges))  # by place
+        self.ordered = self.share[order]
 
     def __len__(self) -> int:
         return len(self.share)
 
     def start(self) -> dict[str, np.ndarray]:
-        """Parameters that give the unigram distribution whatever the state; small random recurrent ones."""
-        rng, h, v, c = np.random.default_rng(5), HIDDEN, len(self), len(self.members)
-        mass = np.array([self.share[m].sum() for m in self.members])
+        """Parameters that give the unigram distribution whatever the state; small random recurrent ones.
+
+        x: a row per symbol of inputs to the update gate, the reset gate and the new state; h: the same of the
+        state; c and o: output weights of classes and, in order of frequency, of symbols, their last column a bias.
+        """
+        rng, k, v = np.random.default_rng(5), HIDDEN, len(self)
+        mass = np.add.reduceat(self.ordered, self.edges[:-1])
         small = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
-        return {"x": small(v, 3 * h), "h": small(h, 3 * h), "c": np.zeros((h, c), np.float32), "cb": np.log(mass).astype(np.float32), "o": np.zeros((v, h), np.float32), "ob": np.log(self.share).astype(np.float32)}
-
-
-def sigmoid(a: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-a))
-
-
-def step(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One gated recurrent step: new state, and what the backward pass needs."""
-    k = HIDDEN
-    g, a = p["x"][x], h @ p["h"]
-    zr = sigmoid(g[:, : 2 * k] + a[:, : 2 * k])
-    z, r = zr[:, :k], zr[:, k:]
-    an = a[:, 2 * k :]
-    n = np.tanh(g[:, 2 * k :] + r * an)
-    return n + z * (h - n), z, r, n, an
-
-
-def log_softmax(a: np.ndarray) -> np.ndarray:
-    a = a - a.max(1, keepdims=True)
-    return a - np.log(np.exp(a).sum(1, keepdims=True))
-
-
-def output(p: dict, vocab: Vocabulary, h: np.ndarray, y: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log-probability of each target, by class and within it; with grads, also d loss / d h."""
-    c = vocab.klass[y]
-    lc = log_softmax(h @ p["c"] + p["cb"])
-    at = np.arange(len(y))
-    logp = lc[at, c].astype(np.float64)
-    dh = None
-    if grads is not None:
-        d = np.exp(lc)
-        d[at, c] -= 1
-        grads["c"], grads["cb"] = h.T @ d, d.sum(0)
-        dh = d @ p["c"].T
-    order = np.argsort(c, kind="stable")
-    edges = np.searchsorted(c[order], np.arange(len(vocab.members) + 1))
-    for k, m in enumerate(vocab.members):
-        rows = order[edges[k] : edges[k + 1]]
-        if not len(rows) or len(m) == 1:
-            continue
-        lw = log_softmax(h[rows] @ p["o"][m].T + p["ob"][m])
-        inside = np.arange(len(rows)), vocab.place[y[rows]]
-        logp[rows] += lw[inside]
-        if grads is not None:
-            d = np.exp(lw)
-            d[inside] -= 1
-            grads["o"][m] += d.T @ h[rows]
-            grads["ob"][m] += d.sum(0)
-            dh[rows] += d @ p["o"][m]
-    return logp, dh
+        biased = lambda share: np.concatenate([np.zeros((len(share), k)), np.log(share)[:, None]], 1).astype(np.float32)
+        return {"x": small(v, 3 * k), "h": small(3 * k, k), "c": biased(mass), "o": biased(self.ordered)}
+
+
+LARGEST = 60.0  # logits are held below, so that no exponential overflows
+
+
+def soft(h: np.ndarray, weights: np.ndarray, target: np.ndarray, starts: np.ndarray | None, kinds: np.ndarray | None) -> tuple:
+    """Log-probabilities of sorted targets under a softmax over the rows of weights, with their slopes if starts and kinds are given.
+
+    starts: where each run of equal targets begins; kinds: those targets. Slopes: d loss / d weights, d loss / d h.
+    """
+    a = h @ weights.T
+    np.minimum(a, LARGEST, out=a)
+    logit = a[np.arange(len(h)), target]
+    np.exp(a, out=a)
+    total = a.sum(1)
+    logp = logit - np.log(total)
+    if starts is None:
+        return logp, None, None
+    share = (1 / total)[:, None]
+    slope = a.T @ (h * share)
+    slope[kinds] -= np.add.reduceat(h, starts)
+    dh = a @ weights
+    dh *= share
+    dh -= weights[target]
+    return logp, slope, dh
+
+
+def output(p: dict, vocab: Vocabulary, states: np.ndarray, y: np.ndarray, learn: bool = False) -> tuple[np.ndarray, np.ndarray | None, dict]:
+    """Natural log-probability of each target, by class and within it; to learn, also d loss / d state and the slopes of c and o."""
+    order = np.argsort(vocab.spot[y], kind="stable")
+    spot = vocab.spot[y][order]
+    h = np.ones((len(y), HIDDEN + 1), p["o"].dtype)
+    h[:, :HIDDEN] = states[order]
+    runs = lambda v: np.unique(v, return_index=True)[::-1] if learn else (None, None)
+    c = vocab.klass[spot]
+    logp, slope, dh = soft(h, p["c"], c, *runs(c))
+    grads = {"c": slope, "o": np.zeros_like(p["o"])} if learn else {}
+    cuts = np.searchsorted(spot, vocab.edges)
+    for k in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(vocab.edges) > 1)).tolist():
+        rows, lo, hi = slice(cuts[k], cuts[k + 1]), vocab.edges[k], vocab.edges[k + 1]
+        inside = spot[rows] - lo
+        more, slope, back = soft(h[rows], p["o"][lo:hi], inside, *runs(inside))
+        logp[rows] += more
+        if learn:
+            grads["o"][lo:hi] = slope
+            dh[rows] += back
+    unsorted = np.empty(len(y))
+    unsorted[order] = logp
+    if learn:
+        back = np.empty_like(states)
+        back[order] = dh[:, :HIDDEN]
+        return unsorted, back, grads
+    return unsorted, None, grads
+
+
+def run_window(p: dict, x: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Gated recurrent steps over (steps x lanes) inputs from states h (units x lanes); fresh lanes start from zero.
+
+    (steps x units x lanes): states, states before, both gates, new states, their recurrent parts.
+    """
+    k, steps, lanes = HIDDEN, *x.shape
+    g = np.ascontiguousarray(p["x"][x].transpose(0, 2, 1))
+    gate_weights, new_weights = -p["h"][: 2 * k], p["h"][2 * k :]
+    states, before, new, inner = (np.empty((steps, k, lanes), g.dtype) for _ in range(4))
+    gates = np.empty((steps, 2 * k, lanes), g.dtype)
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            s = before[t]
+            s[:] = states[t - 1] if t else h
+            if fresh[t].any():
+                s[:, fresh[t]] = 0
+            a = gates[t]
+            np.matmul(gate_weights, s, out=a)
+            a -= g[t, : 2 * k]
+            np.exp(a, out=a)
+            a += 1
+            np.reciprocal(a, out=a)
+            np.matmul(new_weights, s, out=inner[t])
+            n = np.multiply(a[k:], inner[t], out=new[t])
+            n += g[t, 2 * k :]
+            np.tanh(n, out=n)
+            u = np.subtract(s, n, out=states[t])
+            u *= a[:k]
+            u += n
+    return states, before, gates, new, inner
+
+
+def by_lane(v: np.ndarray) -> np.ndarray:
+    """(steps x units x lanes) as a row of units per step and lane."""
+    return v.transpose(0, 2, 1).reshape(-1, v.shape[1])
 
 
 class Trainer:
-    """AdaGrad over windows of side-by-side spans, state carried from window to window of a span."""
+    """AdaGrad over windows of side-by-side lanes, state carried from window to window."""
 
     def __init__(self, vocab: Vocabulary, parameters: dict) -> None:
         self.vocab, self.p = vocab, {k: v.copy() for k, v in parameters.items()}
         self.seen = {k: np.full_like(v, 1e-2) for k, v in self.p.items()}
-        self.tokens = 0
-
-    def window(self, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h: np.ndarray) -> np.ndarray:
-        p, k, steps = self.p, HIDDEN, len(x)
-        kept, states = [], [h]
-        for t in range(steps):
-            new, *more = step(p, x[t], states[-1])
-            states.append(new)
-            kept.append(more)
-        flat, on = np.concatenate(states[1:]), mask.ravel()
-        g = {"o": np.zeros_like(p["o"]), "ob": np.zeros_like(p["ob"]), "x": np.zeros_like(p["x"]), "h": np.zeros_like(p["h"])}
+        self.tokens, self.lanes = 0, FIRST_LANES
+
+    def move(self, name: str, slope: np.ndarray, rows=slice(None)) -> None:
+        slope = np.clip(slope, -1, 1)
+        seen = self.seen[name][rows] + slope * slope
+        self.seen[name][rows] = seen
+        self.p[name][rows] -= RATE * slope / np.sqrt(seen)
+
+    def window(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, on: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """One step of learning; the loss falls on the targets y where on. Returns the last states (units x lanes)."""
+        p, k, steps, lanes = self.p, HIDDEN, *x.shape
+        states, before, gates, new, inner = run_window(p, x, fresh, h)
+        flat, scored = by_lane(states), on.ravel()
         dflat = np.zeros_like(flat)
-        _, dflat[on] = output(p, self.vocab, flat[on], y.ravel()[on], g)
-        dout, dh = dflat.reshape(steps, -1, k), np.zeros_like(h)
-        dg = np.zeros((steps, len(h), 3 * k), np.float32)
+        _, dflat[scored], grads = output(p, self.vocab, flat[scored], y.ravel()[scored], True)
+        dout = np.ascontiguousarray(dflat.reshape(steps, lanes, k).transpose(0, 2, 1))
+        # what does not hang on later steps, for all steps at once
+        z, r = gates[:, :k], gates[:, k:]
+        dn_by, dz_by, dr_by = (1 - z) * (1 - new * new), (before - new) * z * (1 - z), inner * r * (1 - r)
+        da, dn, dh, back = np.empty((steps, 3 * k, lanes), flat.dtype), np.empty_like(new), np.zeros_like(h), np.ascontiguousarray(p["h"].T)
         for t in range(steps - 1, -1, -1):
-            z, r, n, an = kept[t]
-            d = dh + dout[t]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (states[t] - n) * z * (1 - z)
-            dr = dn * an * r * (1 - r)
-            da = np.concatenate([dz, dr, dn * r], 1)
-            g["h"] += states[t].T @ da
-            dh = d * z + da @ p["h"].T
-            dg[t] = np.concatenate([dz, dr, dn], 1)
-        np.add.at(g["x"], x.ravel()[on], dg.reshape(-1, 3 * k)[on])
-        for name, v in g.items():
-            v = np.clip(v / max(1, TRAIN_LANES), -1, 1)
-            self.seen[name] += v * v
-            p[name] -= RATE * v / np.sqrt(self.seen[name])
+            d = np.add(dh, dout[t], out=dout[t])
+            np.multiply(d, dn_by[t], out=dn[t])
+            np.multiply(d, dz_by[t], out=da[t, :k])
+            np.multiply(dn[t], dr_by[t], out=da[t, k : 2 * k])
+            np.multiply(dn[t], r[t], out=da[t, 2 * k :])
+            dh = back @ da[t]
+            d *= z[t]
+            dh += d
+            if fresh[t].any():
+                dh[:, fresh[t]] = 0
+        grads["h"] = by_lane(da).T @ by_lane(before)
+        da[:, 2 * k :] = dn
+        order = np.argsort(x, axis=None, kind="stable")
+        rows, first = np.unique(x.ravel()[order], return_index=True)
+        self.move("x", np.add.reduceat(by_lane(da)[order], first) / lanes, rows)
+        for name, v in grads.items():
+            self.move(name, v / lanes)
         self.tokens += int(on.sum())
         return states[-1]
 
-    def spans(self, spans: list[np.ndarray]) -> None:
-        """Each span: a symbol before it, then its symbols."""
-        for at in range(0, len(spans), TRAIN_LANES):
-            some = spans[at : at + TRAIN_LANES]
-            longest = max(map(len, some)) - 1
-            ids, on = np.zeros((longest + 1, len(some)), np.int64), np.zeros((longest, len(some)), bool)
-            for j, s in enumerate(some):
-                ids[: len(s), j] = s
-                on[: len(s) - 1, j] = True
-            h = np.zeros((len(some), HIDDEN), np.float32)
-            for t in range(0, longest, WINDOW):
-                h = self.window(ids[t : t + WINDOW][: longest - t], ids[t + 1 : t + 1 + WINDOW], on[t : t + WINDOW], h)
-
-
-def symbols(ids: dict, text: bytes) -> np.ndarray:
-    words = text.lower().split()
-    return np.array([*(ids.get(w, OTHER) for w in words), END], np.int32)
-
-
-def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    def stream(self, texts: list[np.ndarray]) -> None:
+        """Learns from every symbol of the texts, laid end to end over the lanes, and doubles the lanes."""
+        y = np.concatenate(texts).astype(np.int64)
+        fresh = np.zeros(len(y), bool)
+        fresh[np.cumsum([0, *map(len, texts[:-1])])] = True
+        x = np.where(fresh, END, np.r_[END, y[:-1]])
+        lanes = max(1, min(self.lanes, len(y) // WINDOW))
+        size = -(-len(y) // lanes)
+        on = np.arange(lanes * size) < len(y)
+        shape = lambda v: np.ascontiguousarray(np.concatenate([v, np.zeros(lanes * size - len(v), v.dtype)]).reshape(lanes, size).T)
+        x, y, fresh, on = map(shape, (x, y, fresh, on))
+        h = np.zeros((HIDDEN, lanes), np.float32)
+        for t in range(0, size, WINDOW):
+            some = slice(t, t + WINDOW)
+            h = self.window(x[some], y[some], fresh[some], on[some], h)
+        self.lanes = min(MOST_LANES, 2 * self.lanes)
+
+
+def train(encoded: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Parameters learnt from encoded rows (doc_id, symbols) that are not held out, each once."""
     parameters = vocab.start()
     names = sorted(parameters)
     shapes = {n: parameters[n].shape for n in names}
-    size = WINDOW * SPAN_WINDOWS
-    rows = docs.filter(~held_out(F.col("doc_id")))
     for number in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast((vocab, parameters))
+        shared = encoded.sparkSession.sparkContext.broadcast((vocab, parameters))
+        rows = encoded.filter(~held_out(F.col("doc_id")) & (F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == number)).select("symbols")
 
         def run(batches: Iterator[pa.RecordBatch], number: int = number, shared=shared) -> Iterator[pa.RecordBatch]:
             vocab, start = shared.value
-            trainer, held = Trainer(vocab, start), []
+            trainer, held, size = Trainer(vocab, start), [], 0
+            trainer.lanes = min(MOST_LANES, FIRST_LANES << number)
             for batch in slices(batches):
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    words = text.lower().split()
-                    first = ((doc_id or 0) * 2654435761 >> 7) % rounds
-                    for k in range((number - first) % rounds, -(-(len(words) + 1) // size), rounds):
-                        at = k * size
-                        some = words[max(0, at - 1) : at + size]
-                        span = [vocab.ids.get(w, OTHER) for w in some]
-                        span = span if at else [END, *span]
-                        held.append(np.array(span if at + size <= len(words) else [*span, END], np.int32))
-                while len(held) >= TRAIN_LANES:
-                    trainer.spans(held[:TRAIN_LANES])
-                    held = held[TRAIN_LANES:]
-            trainer.spans(held)
+                for raw in batch.column("symbols").to_pylist():
+                    held.append(np.frombuffer(raw, "<u2"))
+                    size += len(held[-1])
+                    if size >= MOST_LANES * LANE_TOKENS:
+                        trainer.stream(held)
+                        held, size = [], 0
+            if size:
+                trainer.stream(held)
             if trainer.tokens:
                 flat = np.concatenate([trainer.p[n].ravel() for n in names])
                 blocks = range(0, len(flat), BLOCK)
@@ -281,94 +348,105 @@ def log_likelihoods(vocab: Vocabulary, p: dict, texts: list[np.ndarray], lanes:
     lengths = np.array([sum(len(texts[i]) for i in own) for own in held])
     streams = [np.concatenate([texts[i] for i in own]) for own in held]
     owners = [np.repeat(own, [len(texts[i]) for i in own]) for own in held]
-    h, before = np.zeros((count, HIDDEN), np.float32), np.full(count, -1)
-    last = np.zeros(count, np.int64)
+    h, before, last = np.zeros((HIDDEN, count), np.float32), np.full(count, -1), np.zeros(count, np.int64)
     for at in range(0, int(lengths.max()) if count else 0, WINDOW):
-        n = int((lengths > at).sum())
-        y, own = np.full((WINDOW, n), -1, np.int64), np.full((WINDOW, n), -1, np.int64)
+        n = int((lengths > at).sum())  # lanes end from the right
+        y, own = np.zeros((WINDOW, n), np.int64), np.full((WINDOW, n), -1, np.int64)
         for k in range(n):
             part = streams[k][at : at + WINDOW]
             y[: len(part), k], own[: len(part), k] = part, owners[k][at : at + WINDOW]
-        states = np.zeros((WINDOW, n, HIDDEN), np.float32)
-        for t in range(WINDOW):
-            live = int((own[t] >= 0).sum())  # lanes end from the right
-            if not live:
-                break
-            fresh = own[t, :live] != before[:live]
-            h[:live][fresh] = 0
-            x = np.where(fresh, END, last[:live])
-            h[:live] = states[t, :live] = step(p, x, h[:live])[0]
-            before[:live], last[:live] = own[t, :live], y[t, :live]
-        on = own >= 0
-        logp, _ = output(p, vocab, states[on], y[on])
-        total += np.bincount(own[on], logp, len(texts))
+        fresh = own != np.concatenate([before[None, :n], own[:-1]])
+        x = np.where(fresh, END, np.concatenate([last[None, :n], y[:-1]]))
+        states = run_window(p, x, fresh, h[:, :n])[0]
+        h, before, last = states[-1], own[-1], y[-1]
+        on = own.ravel() >= 0
+        logp = output(p, vocab, by_lane(states)[on], y.ravel()[on])[0]
+        total += np.bincount(own.ravel()[on], logp, len(texts))
     return total / np.log(10)
 
 
+ENCODED = "row long, doc_id long, symbols binary, n_tokens long, hot_tokens long, others long, own_log double, other_log double, rare array<binary>"
+
+
+def encode(rows: DataFrame, vocab: Vocabulary, known: list[tuple[bytes, int]], end: int) -> DataFrame:
+    """ENCODED rows of (doc_id, text): symbols, the sums of log10(count + 1) over own and other hot words, and the other words that are not hot."""
+    # model words by their symbol, other hot words after them
+    places = vocab.ids | {w: len(vocab) + i for i, w in enumerate(w for w, _ in known if w and w not in vocab.ids)}
+    logs = np.zeros(len(vocab) + len(places))
+    logs[END] = np.log10(end + 1)
+    for w, c in known:
+        if w:
+            logs[places[w]] = np.log10(c + 1)
+    own = len(vocab)
+    shared = rows.sparkSession.sparkContext.broadcast((places, logs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, logs = shared.value
+        at = TaskContext.get().partitionId() << 33
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
+        for batch in slices(batches):
+            out = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                words = text.lower().split()
+                place = np.fromiter(map(places.get, words, itertools.repeat(-1)), np.int32, len(words))
+                other = (place < 0) | (place >= own)
+                rare = [words[i] for i in np.flatnonzero(place < 0).tolist()]
+                s = np.append(np.where(other, OTHER, place), END).astype("<u2")
+                own_log, other_log = logs[END] + logs[place[~other]].sum(), logs[place[place >= own]].sum()
+                out.append((at, doc_id, s.tobytes(), len(s), len(s) - len(rare) - (not end), int(other.sum()), float(own_log), float(other_log), rare))
+                at += 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * len(kinds), kinds)], names=[f.split()[0] for f in ENCODED.split(", ")])
+
+    return rows.mapInArrow(run, ENCODED)
+
+
+def model_scores(encoded: DataFrame, vocab: Vocabulary, parameters: dict) -> DataFrame:
+    """The encoded rows, without their symbols and words, with model: log10 probability of the symbols."""
+    shared = encoded.sparkSession.sparkContext.broadcast((vocab, parameters))
+    rows = encoded.drop("rare")
+    names = [c for c in rows.columns if c != "symbols"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, p = shared.value
+        held: list[pa.RecordBatch] = []
+        texts: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            yield from pa.Table.from_batches(held).append_column("model", pa.array(log_likelihoods(vocab, p, texts))).combine_chunks().to_batches()
+
+        for batch in slices(batches):
+            new = [np.frombuffer(raw, "<u2") for raw in batch.column("symbols").to_pylist()]
+            held.append(batch.select(names))
+            texts += new
+            size += sum(map(len, new))
+            if size >= BATCH_TOKENS:
+                yield from flush()
+                held, texts, size = [], [], 0
+        if texts:
+            yield from flush()
+
+    return rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in names) + ", model double")
+
+
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row per row of docs.
 
     Null and empty texts are one end token. With no training row at all every token is unknown.
     """
-    spark = docs.sparkSession
     rows = ids_and_bytes(docs)
     counts = stored(count_tokens(rows), "counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    hot = counts.filter(F.length("word") <= LONGEST_HOT).orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()
-    known = [(bytes(r["word"]), r["n"]) for r in hot]
+    known = hot_words(counts)
     own = [(w, c) for w, c in known if w][:MODEL_WORDS]
     end = next((c for w, c in known if not w), 0)
     rest_n = n - end - sum(c for _, c in own)
     rest_v = v - (end > 0) - len(own)
     vocab = Vocabulary([w for w, _ in own], [c for _, c in own], end, rest_n)
-    parameters = train(rows, vocab)
-    shared = spark.sparkContext.broadcast((vocab, parameters, {w: float(np.log10(c + 1)) for w, c in known}))
-    rare_limit = 50_000
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, p, logs = shared.value
-        ids, at = vocab.ids, TaskContext.get().partitionId() << 33
-        held: list[tuple] = []
-        texts: list[np.ndarray] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal size
-            model = log_likelihoods(vocab, p, texts)
-            cols = list(zip(*held))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
-            out = pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, kinds)), pa.array(model)], names=["row", "doc_id", "n_tokens", "hot_tokens", "others", "own_log", "other_log", "rare", "model"])
-            held.clear()
-            texts.clear()
-            size = 0
-            return out
-
-        for batch in slices(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                words = text.lower().split()
-                s = np.array([*map(ids.get, words, [OTHER] * len(words)), END], np.int32)
-                other = [words[i] for i in np.flatnonzero(s[:-1] == OTHER).tolist()]
-                found = list(map(logs.get, other))
-                rare = [w for w, f in zip(other, found) if f is None]
-                other_log = sum(f for f in found if f is not None)
-                own_log = float(own_logs[s[s != OTHER]].sum())
-                texts.append(s)
-                size += len(s)
-                end_known = logs.get(b"") is not None
-                held.append((at, doc_id, len(s), len(s) - len(rare) - (not end_known), len(other), own_log, other_log, rare))
-                at += 1
-            if size >= BATCH_TOKENS or len(held) >= rare_limit:
-                yield flush()
-        if held:
-            yield flush()
-
-    own_logs = np.zeros(len(vocab))
-    own_logs[END] = np.log10(end + 1)
-    for w, c in own:
-        own_logs[vocab.ids[w]] = np.log10(c + 1)
-    scored = stored(rows.mapInArrow(run, "row long, doc_id long, n_tokens long, hot_tokens long, others long, own_log double, other_log double, rare array<binary>, model double"), "scored")
-    rare = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left").groupBy("row").agg(F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("rare_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_log"))
-    full = scored.drop("rare").join(rare, "row", "left").withColumn("all_other", F.col("other_log") + F.coalesce("rare_log", F.lit(0.0)))
+    encoded = stored(encode(rows, vocab, known, end), "encoded")
+    model = model_scores(encoded, vocab, train(encoded, vocab))
+    rare = encoded.select("row", F.explode("rare").alias("word")).join(counts, "word", "left").groupBy("row").agg(F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("rare_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_log"))
+    full = model.join(rare, "row", "left").withColumn("all_other", F.col("other_log") + F.coalesce("rare_log", F.lit(0.0)))
     whole, inside = float(np.log10(n + v + 1)), float(np.log10(rest_n + rest_v + 1))
     return full.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", (F.col("hot_tokens") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
