@@ -2,10 +2,12 @@
 
 Vectors are dealt to bands of about equal length. In a band the nearest in angle are the largest in
 inner product, so hashes follow the directions: these are turned by pseudo-random rotations, rounds of
-random signs and a fast Hadamard transform. A table's hash is the nearest signed axis. A query
-probes the axes nearest to it in every table and band; all vectors in the probed buckets are reranked by
-exact inner products. A band of few vectors, as the longest ones have, is one bucket that every query
-meets; a query that met too few vectors is compared with all. Buckets are salted by their counted size, queries stream past a bounded
+random signs and a fast Hadamard transform. A table's hash is two nearest signed axes, one in either half of the turned
+vector. A query probes, in every table and band, the pairs of axes with the largest sums of its own components;
+all vectors in the probed buckets are reranked by exact inner products. Buckets of neighbouring first axes are
+shuffled together, as many as fill a block, and a query goes to each of a table's blocks once, with its probes as
+a bitmap. A band of few vectors, as the longest ones have, is one bucket that every query meets; a query that met
+too few vectors is compared with all. Full blocks are salted by their counted size, queries stream past a bounded
 block of vectors, and each task returns each query's best only, so no pair list is ever made.
 
 Copies: only the k + 1 smallest ids of equal vectors can be among any query's nearest, for equal
@@ -24,12 +26,13 @@ from pyspark.sql import functions as F
 
 from kalends.llm.common import stored
 
-TABLES = 4
-PROBE_SHARE = 1 / 4  # of a table's buckets
+TABLES = 8
+PROBE_SHARE = 0.04  # of a table's buckets
 ROTATIONS = 3
 SEED = 20
 BAND_RATIO = 1.25  # of the lengths in a band
-WHOLE_BAND = 256
+WHOLE_BAND = 4096
+MOST_AXES = 256  # of either half that a query's probes are chosen from
 BLOCK = 4096
 HELD_ROWS = 400_000
 
@@ -58,19 +61,51 @@ def lengths(x: np.ndarray) -> np.ndarray:
 
 def directions(x: np.ndarray) -> np.ndarray:
     """Rows of length one, in a power of two of dimensions."""
-    out = np.zeros((len(x), max(1 << (x.shape[1] - 1).bit_length(), 2)))
+    out = np.zeros((len(x), axes_of(x.shape[1])))
     x = x / np.abs(x).max(1, keepdims=True)
     out[:, : x.shape[1]] = x / np.linalg.norm(x, axis=1, keepdims=True)
     return out
 
 
-def probes(x: np.ndarray, table: int, query: bool) -> np.ndarray:
-    """The nearest signed axes of each row, nearest first: axis, or axis + dimensions for its negative."""
+def halves(x: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
+    """Components along the signed axes of either half of the turned rows: an axis, or axis + dimensions for its negative."""
     y = rotated(directions(x), table)
-    both = np.concatenate([y, -y], 1)
-    if not query:
-        return both.argmax(1)[:, None]
-    return np.argsort(-both, axis=1, kind="stable")[:, : max(1, int(both.shape[1] * PROBE_SHARE))]
+    half = y.shape[1] // 2
+    return tuple(np.concatenate([part, -part], 1) for part in (y[:, :half], y[:, half:]))
+
+
+def buckets(x: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's bucket: the nearest signed axis of either half."""
+    first, second = halves(x, table)
+    return first.argmax(1), second.argmax(1)
+
+
+def probes(x: np.ndarray, table: int, share: float = PROBE_SHARE) -> np.ndarray:
+    """Which buckets each row probes: (rows x first axes x second axes), those with the largest sums."""
+    first, second = halves(x, table)
+    axes = first.shape[1]
+    wanted = max(1, int(share * axes * axes))
+    most = min(axes, max(MOST_AXES, 2 * int(np.ceil(np.sqrt(wanted)))))
+    a, b = (np.argsort(-part, axis=1, kind="stable")[:, :most] for part in (first, second))
+    total = np.take_along_axis(first, a, 1)[:, :, None] + np.take_along_axis(second, b, 1)[:, None, :]
+    best = np.argpartition(-total.reshape(len(x), -1), wanted - 1, axis=1)[:, :wanted]
+    out, rows = np.zeros((len(x), axes, axes), bool), np.arange(len(x))[:, None]
+    out[rows, np.take_along_axis(a, best // most, 1), np.take_along_axis(b, best % most, 1)] = True
+    return out
+
+
+def axes_of(dim: int) -> int:
+    """Signed axes of either half of the turned vectors."""
+    return max(1 << (dim - 1).bit_length(), 2)
+
+
+def by_dimension(dims: np.ndarray, query: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of equal dimension; queries few at a time, for each holds a flag per bucket."""
+    for dim in np.unique(dims):
+        some = np.flatnonzero(dims == dim)
+        rows = max(1, (1 << 20) // max(dim, 2) ** 2) if query else len(some)
+        for at in range(0, len(some), rows):
+            yield int(dim), some[at : at + rows]
 
 
 def packed(x: np.ndarray) -> list[bytes]:
@@ -109,35 +144,45 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     def hashed(query: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, batch.num_rows, 1024):
-                    part = batch.slice(at, 1024)
+                for at in range(0, batch.num_rows, 256):
+                    part = batch.slice(at, 256)
                     ids, v = part.column("vec_id").to_numpy(), part.column("v")
                     dims = np.diff(v.offsets.to_numpy())
                     flat, start = v.flatten().to_numpy(), np.cumsum(dims) - dims
-                    for dim in np.unique(dims):
-                        some = np.flatnonzero(dims == dim)
+                    for dim, some in by_dimension(dims, query):
                         x = flat[start[some][:, None] + np.arange(dim)]
                         band = np.floor(np.maximum(0, np.log(longest) - np.log(lengths(x))) / np.log(BAND_RATIO) + 1e-4).astype(np.int32)
                         for t in range(tables):
-                            buckets = probes(x, t, query)
-                            if query and not t:
-                                buckets = np.concatenate([np.full((len(x), 1), -1), buckets], 1)  # the bucket of small bands
-                            rep = np.repeat(np.arange(len(some)), buckets.shape[1])
+                            rep, bucket = np.arange(len(x)), np.zeros(len(x), np.int32)
+                            if query:
+                                flags = np.packbits(probes(x, t).reshape(len(x), -1), axis=1, bitorder="little")
+                                second = pa.array([m.tobytes() for m in flags], pa.binary())
+                                if not t:  # the bucket of small bands
+                                    rep, bucket = np.tile(rep, 2), np.repeat([0, -1], len(x))
+                                    second = pa.concat_arrays([second, pa.nulls(len(x), pa.binary())])
+                            else:
+                                first, axis = buckets(x, t)
+                                bucket, code = first, first * axes_of(dim) + axis
+                                second = pa.array([int(k).to_bytes(4, "little") for k in code], pa.binary())
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(len(rep), dim, np.int32)), pa.array(band[rep]), pa.array(np.full(len(rep), t, np.int32)), pa.array(buckets.ravel().astype(np.int32)), pa.array(ids[some][rep]), pa.array(packed(x), pa.binary()).take(pa.array(rep))],
-                                names=["dim", "band", "tab", "bucket", "vec_id", "raw"],
+                                [pa.array(np.full(len(rep), dim, np.int32)), pa.array(band[rep]), pa.array(np.full(len(rep), t, np.int32)), pa.array(bucket.astype(np.int32)), second, pa.array(ids[some][rep]), pa.array(packed(x), pa.binary()).take(pa.array(rep))],
+                                names=["dim", "band", "tab", "bucket", "second", "vec_id", "raw"],
                             )
 
         return run
 
-    schema = "dim int, band int, tab int, bucket int, vec_id long, raw binary"
+    schema = "dim int, band int, tab int, bucket int, second binary, vec_id long, raw binary"
     key = ["dim", "band", "tab", "bucket"]
     every = stored(base.mapInArrow(hashed(False), schema), "buckets")
-    bands = every.filter("tab = 0").groupBy("dim", "band").agg((F.count("*") <= WHOLE_BAND).alias("whole"), F.count("*").alias("held"))  # a row per band and dimension
-    placed = every.join(bands.drop("held"), ["dim", "band"]).filter("tab = 0 or not whole").withColumn("bucket", F.when(F.col("whole"), -1).otherwise(F.col("bucket"))).drop("whole")
-    sizes = placed.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("salts"))  # a row per bucket, band and dimension
-    held = placed.join(sizes, key).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int")).withColumn("is_query", F.lit(0)).drop("salts")
-    probing = asked.mapInArrow(hashed(True), schema).drop("band")
+    bands = every.filter("tab = 0").groupBy("dim", "band").agg(F.count("*").alias("held"))  # a row per band and dimension
+    axes = F.expr("cast(greatest(2, pow(2, ceil(log2(dim)))) as int)")
+    bands = bands.withColumns({"whole": F.col("held") <= WHOLE_BAND, "groups": F.least(axes, F.ceil(F.col("held") / F.lit(BLOCK)).cast("int"))})
+    group = F.when(F.col("whole"), -1).otherwise(F.floor(F.col("bucket") * F.col("groups") / axes).cast("int"))
+    placed = every.join(bands.drop("held"), ["dim", "band"]).filter("tab = 0 or not whole").withColumn("bucket", group).drop("whole", "groups")
+    sizes = placed.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("salts"))  # a row per group of buckets
+    sizes = sizes.withColumn("kind", F.least("bucket", F.lit(0)))
+    held = placed.join(sizes.drop("kind"), key).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int")).withColumn("is_query", F.lit(0)).drop("salts")
+    probing = asked.mapInArrow(hashed(True), schema).drop("band").withColumnRenamed("bucket", "kind")
 
     def best(found: list[tuple]) -> pa.RecordBatch:
         q, v, s = (np.concatenate(c) for c in zip(*found))
@@ -150,29 +195,62 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         top = np.arange(len(q)) - first <= k
         return pa.RecordBatch.from_arrays([pa.array(q[top]), pa.array(v[top]), pa.array(s[top])], names=["query_id", "vec_id", "score"])
 
+    class Block:
+        """Vectors of some buckets, bucket by bucket."""
+
+        def __init__(self, dim: int) -> None:
+            self.dim, self.ids, self.raw, self.axes = dim, [], [], []
+
+        def add(self, ids: np.ndarray, raw: list[bytes], second: list[bytes]) -> None:
+            self.ids.append(ids)
+            self.raw += raw
+            self.axes += second
+
+        def close(self) -> None:
+            axes = np.array([int.from_bytes(a, "little") for a in self.axes])
+            order = np.argsort(axes, kind="stable")
+            self.every, self.v = np.concatenate(self.ids)[order], unpacked([self.raw[i] for i in order], self.dim)
+            self.kinds, self.first = np.unique(axes[order], return_index=True)
+
+        def scores(self, x: np.ndarray, second: list[bytes | None]) -> np.ndarray:
+            """Inner products with the vectors in the buckets that a query probes, all where it has no bitmap; else less than any."""
+            if second[0] is None:
+                return x @ self.v.T
+            met = np.unpackbits(np.array([np.frombuffer(m, np.uint8) for m in second]), axis=1, bitorder="little")[:, self.kinds]
+            out = np.full((len(x), len(self.every)), -np.inf)
+            for k, (lo, hi) in enumerate(zip(self.first, [*self.first[1:], len(self.every)])):
+                asking = np.flatnonzero(met[:, k])
+                out[asking, lo:hi] = x[asking] @ self.v[lo:hi].T
+            return out
+
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, block, rest, found, n = None, np.zeros(0, np.int64), None, [], [], 0
+        at, block, closed, found, n = None, None, False, [], 0
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in (*key, "salt", "is_query"))))
-            vec, raw = batch.column("vec_id").to_numpy(), batch.column("raw").to_pylist()
+            keys = list(zip(*(batch.column(c).to_pylist() for c in (*key, "salt", "is_query", "mapped"))))
+            vec, raw, second = batch.column("vec_id").to_numpy(), batch.column("raw").to_pylist(), batch.column("second").to_pylist()
             i = 0
             while i < len(keys):
                 j = i
                 while j < len(keys) and keys[j] == keys[i]:
                     j += 1
                 if keys[i][:5] != at:
-                    at, ids, rest, block = keys[i][:5], np.zeros(0, np.int64), [], None
+                    at, block, closed = keys[i][:5], None, False
                 if not keys[i][5]:
-                    ids, rest, block = np.concatenate([ids, vec[i:j]]), rest + raw[i:j], None
-                elif len(ids):
-                    if block is None:
-                        block = unpacked(rest, at[0])
+                    block = block or Block(at[0])
+                    block.add(vec[i:j], raw[i:j], second[i:j])
+                elif block is not None:
+                    if not closed:
+                        block.close()
+                        closed = True
+                    most = len(block.every) - min(k + 1, len(block.every))
                     for s in range(i, j, 512):
-                        x = unpacked(raw[s : min(j, s + 512)], at[0])
-                        near = x @ block.T
-                        kth = np.partition(near, len(ids) - min(k + 1, len(ids)), axis=1)[:, len(ids) - min(k + 1, len(ids))]
-                        u, w = np.nonzero(near >= kth[:, None] - 1e-9 * (1 + np.abs(kth[:, None])))
-                        found.append((vec[s : min(j, s + 512)][u], ids[w], (x[u] * block[w]).sum(1)))
+                        e = min(j, s + 512)
+                        x = unpacked(raw[s:e], at[0])
+                        near = block.scores(x, second[s:e])
+                        kth = np.partition(near, most, axis=1)[:, most]
+                        kth = np.where(np.isfinite(kth), kth - 1e-9 * (1 + np.abs(kth)), kth)
+                        u, w = np.nonzero((near >= kth[:, None]) & np.isfinite(near))
+                        found.append((vec[s:e][u], block.every[w], (x[u] * block.v[w]).sum(1)))
                         n += len(u)
                     if n > HELD_ROWS:
                         found, n = [tuple(c.to_numpy() for c in best(found).columns)], 0
@@ -187,15 +265,16 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     def nearest(met: DataFrame, held: DataFrame) -> DataFrame:
         """(query_id, vec_id, score): the k + 1 nearest among held of the queries that meet a bucket."""
         asking = met.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).withColumn("is_query", F.lit(1)).drop("salts")
-        together = held.unionByName(asking).repartition(*key, "salt").sortWithinPartitions(*key, "salt", "is_query", "vec_id")
+        together = held.unionByName(asking.drop("kind")).withColumn("mapped", F.col("is_query").cast("boolean") & F.col("second").isNotNull())
+        together = together.repartition(*key, "salt").sortWithinPartitions(*key, "salt", "is_query", "mapped", "vec_id")
         merged = together.mapInArrow(rerank, "query_id long, vec_id long, score double").distinct()
         return merged.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("place") <= k + 1).drop("place")
 
-    top = stored(nearest(probing.join(sizes, ["dim", "tab", "bucket"]), held), "nearest")
+    top = stored(nearest(probing.join(sizes, ["dim", "tab", "kind"]), held), "nearest")
     # queries that met fewer vectors than they want and their dimension has meet all of them
     counts = top.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("found"))
     wanted = bands.groupBy("dim").agg(F.least(F.lit(k + 1), F.sum("held")).alias("wanted"))
-    short = stored(probing.filter("bucket = -1").select("dim", "vec_id", "raw").join(wanted, "dim").join(counts, "vec_id", "left").filter("coalesce(found, 0) < wanted").select("dim", "vec_id", "raw"), "short")
+    short = stored(probing.filter("kind = -1").select("dim", "vec_id", "second", "raw").join(wanted, "dim").join(counts, "vec_id", "left").filter("coalesce(found, 0) < wanted").select("dim", "vec_id", "second", "raw"), "short")
     if not short.isEmpty():
         full = nearest(short.join(sizes.filter("tab = 0"), "dim"), held.filter("tab = 0"))
         top = top.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(full)
