@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kalends.llm import sql
 from kalends.llm.common import table
 
 
@@ -76,6 +77,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalends.llm.merkle_log import prove
+
+    return prove(table(spark, sf_dir, "documents"))
+
+
+def op12_max_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalends.llm.max_sketch import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalends.llm.range_join import near_copies
+
+    return near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,20 +102,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_repair, op2_warc, op3_weak_quality, op4_tree_bpe, op5_gru_lm, op6_severity, op7_token_counts, op8_packing, op9_cross_polytope, op10_simhash, pipeline]
+    found = [op1_repair, op2_warc, op3_weak_quality, op4_tree_bpe, op5_gru_lm, op6_severity, op7_token_counts, op8_packing, op9_cross_polytope, op10_simhash, op11_merkle_log, op12_max_sketch, op13_range_join, pipeline]
     return {f.__name__: f for f in found}
 
 
-#: Base32 of a SHA-1: five hexadecimal digits hold four of its characters.
-OP2_SQL = """
-with p as (select page_id, coalesce(html, '') as h from pages),
-d as (select *, sha1(h) as x, max(page_id) over (partition by h) as keeper from p)
-select page_id, strlen(h) as payload_bytes,
-  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(x, (i // 4) * 5 + 1, 5))::bigint >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') as payload_digest,
-  case when page_id = keeper then 'response' else 'revisit' end as record_type, case when page_id <> keeper then keeper end as refers_to
-from d"""
-
-
 def oracle_sql() -> dict[str, str]:
-    """Only the archives can be said in SQL; tests hold the other operators against brute force."""
-    return {"op2_warc": OP2_SQL}
+    """Those that SQL can express; tests hold the other operators against brute force."""
+    return {"op2_warc": sql.OP2_SQL, "op11_merkle_log": sql.OP11_SQL, "op12_max_sketch": sql.OP12_SQL, "op13_range_join": sql.OP13_SQL}
