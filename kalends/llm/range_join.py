@@ -52,8 +52,8 @@ def numbered(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = batch.column("v")
-            raw = [None if x is None else packed(np.array([x], np.float64))[0] for x in v.to_pylist()]
+            v = batch.column("v").to_pylist()
+            raw = [None if x is None else packed(np.array([x], np.float64))[0] for x in v]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array([0 if x is None else len(x) for x in v], pa.int32()), pa.array(raw, pa.binary())], names=["vec_id", "dim", "raw"])
 
     return rows.mapInArrow(run, "vec_id long, dim int, raw binary")

@@ -24,7 +24,7 @@ hit as (
   from raw),
 hashed as (
   select doc_id, lang, sha256(head || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || tail) as leaf,
-    case when yes and n_chars is not null then sha256(head || strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1) || tail) end as changed
+    case when yes and digits is not null and n_chars is not null then sha256(head || strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1) || tail) end as changed
   from raw join hit using (r)),
 leaves as (
   select *, coalesce('s' || lang, 'n') as tree, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by lang) as n from hashed),
