@@ -4,11 +4,12 @@ Vectors are dealt to bands of about equal length. In a band the nearest in angle
 inner product, so hashes follow the directions: these are turned by pseudo-random rotations, rounds of
 random signs and a fast Hadamard transform. A table's hash is two nearest signed axes, one in either half of the turned
 vector. A query probes, in every table and band, the pairs of axes with the largest sums of its own components;
-all vectors in the probed buckets are reranked by exact inner products. Buckets of neighbouring first axes are
-shuffled together, as many as fill a block, and a query goes to each of a table's blocks once, with its probes as
-a bitmap. A band of few vectors, as the longest ones have, is one bucket that every query meets; a query that met
-too few vectors is compared with all. Full blocks are salted by their counted size, queries stream past a bounded
-block of vectors, and each task returns each query's best only, so no pair list is ever made.
+all vectors in the probed buckets are reranked by exact inner products. What share of the buckets is probed follows
+from the number of vectors in the band by one formula, for the k nearest of many stand out more than those of few; a band
+of no more than k vectors is probed whole, as it must be. Buckets of neighbouring first axes are
+shuffled together, as many as fill a block, and a query goes to each of a table's blocks once, with the sums that its probes
+reach at each share. A query that met too few vectors is compared with all. Full blocks are salted by their counted size,
+queries stream past a bounded block of vectors, and each task returns each query's best only, so no pair list is ever made.
 
 Copies: only the k + 1 smallest ids of equal vectors can be among any query's nearest, for equal
 scores rank by id; the others are left out of the buckets without loss. Equal queries are searched
@@ -18,6 +19,7 @@ once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +28,14 @@ from pyspark.sql import functions as F
 
 from kalends.llm.common import stored
 
-TABLES = 8
-PROBE_SHARE = 0.04  # of a table's buckets
+TABLES = 16
+#: The share is that of a normal distribution beyond SHARE_SLOPE * z + SHARE_START, z the quantile that k of a band's vectors exceed.
+SHARE_SLOPE, SHARE_START = 0.38, 1.0
+SHARES = 2.0 ** (-0.25 * np.arange(81))  # of a table's buckets, for which a query's sums are prepared
 ROTATIONS = 3
 SEED = 20
 BAND_RATIO = 1.25  # of the lengths in a band
-WHOLE_BAND = 4096
-MOST_AXES = 256  # of either half that a query's probes are chosen from
+MOST_AXES = 256  # of either half whose sums are ordered; of more, as many at equal distances in their order
 BLOCK = 4096
 HELD_ROWS = 400_000
 
@@ -80,18 +83,22 @@ def buckets(x: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
     return first.argmax(1), second.argmax(1)
 
 
-def probes(x: np.ndarray, table: int, share: float = PROBE_SHARE) -> np.ndarray:
-    """Which buckets each row probes: (rows x first axes x second axes), those with the largest sums."""
+def share_level(held: int, k: int) -> int:
+    """The smallest prepared share, by its number, that is at least the one due to a band of so many vectors."""
+    if held <= k:
+        return 0
+    due = 1 - NormalDist().cdf(SHARE_SLOPE * NormalDist().inv_cdf(1 - k / held) + SHARE_START)
+    return int(np.flatnonzero(SHARES >= due)[-1])
+
+
+def reached(x: np.ndarray, table: int) -> np.ndarray:
+    """For each row and share, the sum that the row's buckets of that share reach."""
     first, second = halves(x, table)
-    axes = first.shape[1]
-    wanted = max(1, int(share * axes * axes))
-    most = min(axes, max(MOST_AXES, 2 * int(np.ceil(np.sqrt(wanted)))))
-    a, b = (np.argsort(-part, axis=1, kind="stable")[:, :most] for part in (first, second))
-    total = np.take_along_axis(first, a, 1)[:, :, None] + np.take_along_axis(second, b, 1)[:, None, :]
-    best = np.argpartition(-total.reshape(len(x), -1), wanted - 1, axis=1)[:, :wanted]
-    out, rows = np.zeros((len(x), axes, axes), bool), np.arange(len(x))[:, None]
-    out[rows, np.take_along_axis(a, best // most, 1), np.take_along_axis(b, best % most, 1)] = True
-    return out
+    some = np.unique(np.linspace(0, first.shape[1] - 1, MOST_AXES).round().astype(int)) if first.shape[1] > MOST_AXES else np.arange(first.shape[1])
+    a, b = (-np.sort(-part, axis=1)[:, some] for part in (first, second))
+    total = -(a[:, :, None] + b[:, None, :]).reshape(len(x), -1)
+    at = np.maximum(1, np.ceil(SHARES * total.shape[1])).astype(int) - 1
+    return -np.partition(total, np.unique(at), axis=1)[:, at]
 
 
 def axes_of(dim: int) -> int:
@@ -100,10 +107,10 @@ def axes_of(dim: int) -> int:
 
 
 def by_dimension(dims: np.ndarray, query: bool) -> Iterator[tuple[int, np.ndarray]]:
-    """Rows of equal dimension; queries few at a time, for each holds a flag per bucket."""
+    """Rows of equal dimension; queries few at a time, for each holds a sum per bucket."""
     for dim in np.unique(dims):
         some = np.flatnonzero(dims == dim)
-        rows = max(1, (1 << 20) // max(dim, 2) ** 2) if query else len(some)
+        rows = max(1, (1 << 20) // min(max(dim, 2), MOST_AXES) ** 2) if query else len(some)
         for at in range(0, len(some), rows):
             yield int(dim), some[at : at + rows]
 
@@ -153,19 +160,13 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                         x = flat[start[some][:, None] + np.arange(dim)]
                         band = np.floor(np.maximum(0, np.log(longest) - np.log(lengths(x))) / np.log(BAND_RATIO) + 1e-4).astype(np.int32)
                         for t in range(tables):
-                            rep, bucket = np.arange(len(x)), np.zeros(len(x), np.int32)
                             if query:
-                                flags = np.packbits(probes(x, t).reshape(len(x), -1), axis=1, bitorder="little")
-                                second = pa.array([m.tobytes() for m in flags], pa.binary())
-                                if not t:  # the bucket of small bands
-                                    rep, bucket = np.tile(rep, 2), np.repeat([0, -1], len(x))
-                                    second = pa.concat_arrays([second, pa.nulls(len(x), pa.binary())])
+                                bucket, second = np.zeros(len(x), np.int32), pa.array([r.tobytes() for r in reached(x, t)], pa.binary())
                             else:
-                                first, axis = buckets(x, t)
-                                bucket, code = first, first * axes_of(dim) + axis
-                                second = pa.array([int(k).to_bytes(4, "little") for k in code], pa.binary())
+                                bucket, axis = buckets(x, t)
+                                second = pa.array([int(c).to_bytes(4, "little") for c in bucket * axes_of(dim) + axis], pa.binary())
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(len(rep), dim, np.int32)), pa.array(band[rep]), pa.array(np.full(len(rep), t, np.int32)), pa.array(bucket.astype(np.int32)), second, pa.array(ids[some][rep]), pa.array(packed(x), pa.binary()).take(pa.array(rep))],
+                                [pa.array(np.full(len(x), dim, np.int32)), pa.array(band), pa.array(np.full(len(x), t, np.int32)), pa.array(bucket.astype(np.int32)), second, pa.array(ids[some]), pa.array(packed(x), pa.binary())],
                                 names=["dim", "band", "tab", "bucket", "second", "vec_id", "raw"],
                             )
 
@@ -176,13 +177,17 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     every = stored(base.mapInArrow(hashed(False), schema), "buckets")
     bands = every.filter("tab = 0").groupBy("dim", "band").agg(F.count("*").alias("held"))  # a row per band and dimension
     axes = F.expr("cast(greatest(2, pow(2, ceil(log2(dim)))) as int)")
-    bands = bands.withColumns({"whole": F.col("held") <= WHOLE_BAND, "groups": F.least(axes, F.ceil(F.col("held") / F.lit(BLOCK)).cast("int"))})
-    group = F.when(F.col("whole"), -1).otherwise(F.floor(F.col("bucket") * F.col("groups") / axes).cast("int"))
-    placed = every.join(bands.drop("held"), ["dim", "band"]).filter("tab = 0 or not whole").withColumn("bucket", group).drop("whole", "groups")
-    sizes = placed.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("salts"))  # a row per group of buckets
-    sizes = sizes.withColumn("kind", F.least("bucket", F.lit(0)))
-    held = placed.join(sizes.drop("kind"), key).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int")).withColumn("is_query", F.lit(0)).drop("salts")
-    probing = asked.mapInArrow(hashed(True), schema).drop("band").withColumnRenamed("bucket", "kind")
+
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column("held").to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column("dim"), batch.column("band"), batch.column("held"), pa.array([share_level(n, k) for n in held], pa.int32())], names=["dim", "band", "held", "level"])
+
+    bands = stored(bands.mapInArrow(levels, "dim int, band int, held long, level int").withColumn("groups", F.least(axes, F.ceil(F.col("held") / F.lit(BLOCK)).cast("int"))), "bands")
+    placed = every.join(bands.drop("held"), ["dim", "band"]).withColumn("bucket", F.floor(F.col("bucket") * F.col("groups") / axes).cast("int")).drop("groups")
+    sizes = placed.groupBy(*key, "level").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("salts"))  # a row per group of buckets
+    held = placed.join(sizes.drop("level"), key).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int")).withColumn("is_query", F.lit(0)).drop("salts")
+    probing = asked.mapInArrow(hashed(True), schema).drop("band", "bucket")
 
     def best(found: list[tuple]) -> pa.RecordBatch:
         q, v, s = (np.concatenate(c) for c in zip(*found))
@@ -198,8 +203,8 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     class Block:
         """Vectors of some buckets, bucket by bucket."""
 
-        def __init__(self, dim: int) -> None:
-            self.dim, self.ids, self.raw, self.axes = dim, [], [], []
+        def __init__(self, dim: int, table: int, level: int) -> None:
+            self.dim, self.table, self.level, self.ids, self.raw, self.axes = dim, table, level, [], [], []
 
         def add(self, ids: np.ndarray, raw: list[bytes], second: list[bytes]) -> None:
             self.ids.append(ids)
@@ -213,20 +218,22 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
             self.kinds, self.first = np.unique(axes[order], return_index=True)
 
         def scores(self, x: np.ndarray, second: list[bytes | None]) -> np.ndarray:
-            """Inner products with the vectors in the buckets that a query probes, all where it has no bitmap; else less than any."""
+            """Inner products with the vectors in the buckets that a query probes, all where it has no sums; else less than any."""
             if second[0] is None:
                 return x @ self.v.T
-            met = np.unpackbits(np.array([np.frombuffer(m, np.uint8) for m in second]), axis=1, bitorder="little")[:, self.kinds]
+            first, other = halves(x, self.table)
+            least = np.array([np.frombuffer(m, np.float64)[self.level] for m in second])
+            met = first[:, self.kinds // axes_of(self.dim)] + other[:, self.kinds % axes_of(self.dim)] >= least[:, None] - 1e-12
             out = np.full((len(x), len(self.every)), -np.inf)
-            for k, (lo, hi) in enumerate(zip(self.first, [*self.first[1:], len(self.every)])):
-                asking = np.flatnonzero(met[:, k])
+            for c, (lo, hi) in enumerate(zip(self.first, [*self.first[1:], len(self.every)])):
+                asking = np.flatnonzero(met[:, c])
                 out[asking, lo:hi] = x[asking] @ self.v[lo:hi].T
             return out
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, block, closed, found, n = None, None, False, [], 0
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in (*key, "salt", "is_query", "mapped"))))
+            keys = list(zip(*(batch.column(c).to_pylist() for c in (*key, "salt", "is_query", "mapped", "level"))))
             vec, raw, second = batch.column("vec_id").to_numpy(), batch.column("raw").to_pylist(), batch.column("second").to_pylist()
             i = 0
             while i < len(keys):
@@ -236,7 +243,7 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                 if keys[i][:5] != at:
                     at, block, closed = keys[i][:5], None, False
                 if not keys[i][5]:
-                    block = block or Block(at[0])
+                    block = block or Block(at[0], at[2], keys[i][7])
                     block.add(vec[i:j], raw[i:j], second[i:j])
                 elif block is not None:
                     if not closed:
@@ -265,16 +272,17 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     def nearest(met: DataFrame, held: DataFrame) -> DataFrame:
         """(query_id, vec_id, score): the k + 1 nearest among held of the queries that meet a bucket."""
         asking = met.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).withColumn("is_query", F.lit(1)).drop("salts")
-        together = held.unionByName(asking.drop("kind")).withColumn("mapped", F.col("is_query").cast("boolean") & F.col("second").isNotNull())
+        together = held.unionByName(asking).withColumn("mapped", F.col("is_query").cast("boolean") & F.col("second").isNotNull())
         together = together.repartition(*key, "salt").sortWithinPartitions(*key, "salt", "is_query", "mapped", "vec_id")
         merged = together.mapInArrow(rerank, "query_id long, vec_id long, score double").distinct()
         return merged.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("place") <= k + 1).drop("place")
 
-    top = stored(nearest(probing.join(sizes, ["dim", "tab", "kind"]), held), "nearest")
+    top = stored(nearest(probing.join(sizes, ["dim", "tab"]), held), "nearest")
     # queries that met fewer vectors than they want and their dimension has meet all of them
     counts = top.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("found"))
     wanted = bands.groupBy("dim").agg(F.least(F.lit(k + 1), F.sum("held")).alias("wanted"))
-    short = stored(probing.filter("kind = -1").select("dim", "vec_id", "second", "raw").join(wanted, "dim").join(counts, "vec_id", "left").filter("coalesce(found, 0) < wanted").select("dim", "vec_id", "second", "raw"), "short")
+    short = probing.filter("tab = 0").select("dim", "vec_id", F.lit(None).cast("binary").alias("second"), "raw").join(wanted, "dim").join(counts, "vec_id", "left")
+    short = stored(short.filter("coalesce(found, 0) < wanted").select("dim", "vec_id", "second", "raw"), "short")
     if not short.isEmpty():
         full = nearest(short.join(sizes.filter("tab = 0"), "dim"), held.filter("tab = 0"))
         top = top.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(full)
