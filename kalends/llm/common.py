@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,19 @@ def ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def filtered(docs: DataFrame, keep: Callable, more: dict[str, str], rest: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """docs, names and types unchanged, through keep() as mapInArrow() calls it and then rest().
+
+    Inside, columns are named by their positions, so that no name of the caller's, dotted or not, can clash; keep()
+    may add the columns of more (name to type), which rest() uses.
+    """
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    schema = StructType(list(plain.schema.fields))
+    for name, kind in more.items():
+        schema = schema.add(name, kind)
+    return rest(plain.mapInArrow(keep, schema)).select(plain.columns).toDF(*docs.columns)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Batches of at most so many rows, so that Python holds few texts at once."""
     for batch in batches:

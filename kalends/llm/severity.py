@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kalends.llm.common import ids_and_text, per_row, slices
+from kalends.llm.common import filtered, ids_and_text, per_row, slices
 
 SAMPLE_ROWS = 20_000
 FEATURE_COUNT = 4096
@@ -254,4 +254,4 @@ def drop_toxic(docs: DataFrame, model: Ordinal) -> DataFrame:
             ok = [model.above(scorer.score(t or ""))[0] < 0.5 for t in batch.column(text_at).to_pylist()]
             yield batch.filter(pa.array(ok, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return filtered(docs, run, {}, lambda rows: rows)

@@ -411,7 +411,8 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
     own = stored(prints.join(stays, ["fp", "size"]).select("doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("stays")["doc_id"]) & (F.col("text_hash") == F.col("stays")["text_hash"])).alias("first")), "crowded")
     gone = own.filter(~F.col("first")).select(*row_key()).distinct()
     repeated = own.filter("first").groupBy(*row_key()).count().filter("count > 1").drop("count")
-    rows = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))).select(F.struct(*docs.columns).alias("_row"), *row_key(text_hash="_text_hash"))
+    whole = docs.select(F.struct("*").alias("_row"))  # so that no column of docs can clash
+    rows = whole.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col("_row.text").cast("string"), F.lit("")).cast("binary"))).select("_row", *row_key("_row.doc_id", "_text_hash"))
     left = rows.join(gone, KEY, "left_anti")
     once = left.join(repeated, KEY, "left_anti").select("_row.*")
     again = left.join(repeated, KEY, "left_semi").groupBy(*KEY).agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row")).select("_row.*")

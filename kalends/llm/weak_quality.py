@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kalends.llm.common import ids_and_bytes, per_row, slices, stored
+from kalends.llm.common import filtered, ids_and_bytes, per_row, slices, stored
 
 SYMBOLS = b"#*$%&|<>"
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_letters", "n_bangs", "n_stops"]
@@ -158,16 +158,17 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of docs, all columns unchanged, that judge() keeps. Each text is looked at once: rows are stored beside their votes."""
     text_at = docs.columns.index("text")
-    vote, failed = (next(n for n in (name + "_" * k for k in range(len(docs.columns) + 1)) if n not in docs.columns) for name in ("votes", "base_failed"))
 
     def run(batches):
         for batch in batches:
             for part in slices([batch]):
                 found = [features((t or "").encode("utf-8", "replace")) for t in part.column(text_at).to_pylist()]
                 bad = [fails_base(f) for f in found]
-                yield part.append_column(vote, pa.array([votes(f) for f in found], pa.string())).append_column(failed, pa.array(bad, pa.bool_()))
+                yield part.append_column("votes", pa.array([votes(f) for f in found], pa.string())).append_column("base_failed", pa.array(bad, pa.bool_()))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    voted = stored(docs.mapInArrow(run, f"{fields}, `{vote}` string, `{failed}` boolean"), "voted")
-    good = posteriors(voted, vote).filter(F.col("posterior") >= threshold).select(F.col("votes").alias(vote))
-    return voted.filter(~F.col(failed)).join(F.broadcast(good), vote, "left_semi").select(docs.columns)
+    def judged(rows: DataFrame) -> DataFrame:
+        voted = stored(rows, "voted")
+        good = posteriors(voted).filter(F.col("posterior") >= threshold).select("votes")
+        return voted.filter(~F.col("base_failed")).join(F.broadcast(good), "votes", "left_semi")  # a bounded table
+
+    return filtered(docs, run, {"votes": "string", "base_failed": "boolean"}, judged)
