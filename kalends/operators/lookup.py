@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kalends.functions.automaton import first_keyword
 from kalends.functions.text import blank
 from kalends.functions.urls import host
 
 #: Above so many rules a lookup is joined instead of being held as a literal, with the same result.
 LITERAL_RULES = 400
 GRAM = 3
+#: Keywords that are held in each task; more are joined by their first characters.
+MOST_KEYWORD_BYTES = 32 << 20
 
 
 def first_hint(text: Column, hints: list[tuple], keys: list[str]) -> Column:
@@ -37,18 +40,33 @@ def grams(text: Column, size: int) -> Column:
 
 
 def hinted(df: DataFrame, rules: DataFrame, text: str, keyword: str = "keyword", rank: str = "rank", key: str = "ingest_seq") -> DataFrame:
-    """JOIN1 for rule tables of any size: (key, rule columns) of the lowest rank whose keyword the text holds.
+    """JOIN1 for rule tables of any size: (key, rule columns) of the lowest rank whose keyword the text holds; equal ranks by keyword.
 
-    Distinct texts' substrings meet the keywords' first GRAM characters (or whole shorter keywords) by
-    equality, and the keyword is then checked, so the result is a literal table's. Empty keywords are never found.
+    Rules whose keywords come to at most MOST_KEYWORD_BYTES are one automaton that texts pass through where they lie; the rule's
+    columns are then joined by its place. Larger tables meet the texts by substrings. Empty keywords are never found.
     """
-    table = rules.withColumn("_key", F.lower(keyword)).filter("_key <> ''").withColumn("_gram", F.substring("_key", 1, GRAM))
+    table = rules.withColumn("_key", F.lower(keyword)).filter("_key <> ''")
+    if (table.agg(F.sum(F.octet_length("_key") + 16)).first()[0] or 0) > MOST_KEYWORD_BYTES:
+        return _met_by_grams(df, table, rules.columns, text, rank, key)
+    ordered = sorted((r[0], r[1]) for r in table.groupBy("_key").agg(F.min(rank)).select(F.col(f"min({rank})"), "_key").collect())  # MOST_KEYWORD_BYTES
+    keys = [k for _, k in ordered]
+    if not keys:
+        return df.select(key, *[F.lit(None).cast(f.dataType).alias(f.name) for f in rules.schema]).limit(0)
+    places = df.sparkSession.createDataFrame(list(enumerate(keys)), "_place int, _key string")
+    best = table.groupBy("_key").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rules.columns]), F.col(rank)).alias("_rule")).join(places, "_key").select("_place", "_rule")
+    met = df.select(key, first_keyword(F.lower(text), keys).alias("_place")).filter("_place is not null")
+    return met.join(best, "_place").select(key, "_rule.*")
+
+
+def _met_by_grams(df: DataFrame, table: DataFrame, columns: list[str], text: str, rank: str, key: str) -> DataFrame:
+    """hinted() for more keywords than a task should hold: distinct texts' substrings meet the keywords' first GRAM characters by equality, and the keyword is then checked."""
+    table = table.withColumn("_gram", F.substring("_key", 1, GRAM))
     asked = df.select(F.lower(text).alias("_text")).filter("_text is not null").distinct()
     sizes = sorted(r[0] for r in table.select(F.char_length("_gram")).distinct().collect())  # at most GRAM rows
     none = F.array().cast("array<string>")
     every = F.concat(none, *[F.coalesce(grams(F.col("_text"), n), none) for n in sizes])
     met = asked.select("_text", F.explode(every).alias("_gram")).join(table, "_gram").filter(F.contains("_text", F.col("_key")))
-    best = met.groupBy("_text").agg(F.min_by(F.struct(*rules.columns), F.struct(rank, "_key")).alias("hint"))
+    best = met.groupBy("_text").agg(F.min_by(F.struct(*columns), F.struct(rank, "_key")).alias("hint"))
     return df.select(key, F.lower(text).alias("_text")).join(best, "_text").select(key, "hint.*")
 
 
@@ -57,15 +75,18 @@ def with_hint(df: DataFrame, texts: list[str], hints: list[tuple], keys: list[st
     if len(hints) <= LITERAL_RULES:
         return df.withColumn(out, venue_hint([F.col(t) for t in texts], hints, keys))
     whole = tuple(next((h[i] for h in hints if h[i] is not None), "") for i in range(len(keys)))  # for the fields' types
-    literal = first_hint(F.lit(""), [whole], keys)
-    fields = df.sparkSession.range(1).select(literal.alias("h")).schema["h"].dataType
-    table = df.sparkSession.createDataFrame([(i, tuple(h)) for i, h in enumerate(hints)], f"rank int, h {fields.simpleString()}")
-    table = table.withColumn("keyword", F.col("h")[keys[0]])
-    for i, t in enumerate(texts):
-        found = hinted(df.select(F.lower(t).alias("_t")).filter("_t is not null").distinct(), table, "_t", key="_t")
-        df = df.withColumn(f"_t{i}", F.lower(t)).join(found.select(F.col("_t").alias(f"_t{i}"), F.col("h").alias(f"_h{i}")), f"_t{i}", "left")
-    added = [f"_{p}{i}" for p in "th" for i in range(len(texts))]
-    return df.withColumn(out, F.coalesce(*[F.col(f"_h{i}") for i in range(len(texts))])).drop(*added)
+    fields = df.sparkSession.range(1).select(first_hint(F.lit(""), [whole], keys).alias("h")).schema["h"].dataType
+    place = _free("_place", df.columns)
+    table = df.sparkSession.createDataFrame([(i, tuple(h)) for i, h in enumerate(hints)], f"{place} int, `{out}` {fields.simpleString()}")
+    at = F.coalesce(*[first_keyword(F.lower(F.col(t)), [h[0] for h in hints]) for t in texts])
+    return df.drop(out).withColumn(place, at).join(table, place, "left").drop(place)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    low = {c.lower() for c in taken}
+    while name in low:
+        name += "_"
+    return name
 
 
 def apply_hint(df: DataFrame, hint: str = "hint") -> DataFrame:

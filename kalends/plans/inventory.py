@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +18,8 @@ from kalends.operators.pricing import legacy_cost, with_pricing
 from kalends.plans import listing as fx
 from kalends.plans import oracles as sql
 from kalends.plans.queries import query, small_events, survivors, table
-from kalends.sources import landing, pages, publish, registry
-from kalends.streaming import increments
+from kalends.sources import landing, ledger, pages, publish, registry
+from kalends.streaming import first_seen, increments, weeks
 
 L, C = F.lit, F.col
 
@@ -319,6 +320,28 @@ def join1_any_size(spark, d):
     return got.filter("hint is not null").select("ingest_seq", "hint.keyword")
 
 
+_MANY = 10_000
+
+
+@query(sql.raw(f"""
+, hints as (select i as rank, case i % 4 when 0 then 'family ' || i when 1 then 'item ' || (i // 4) || '.' when 2 then 'ies. item ' || (i // 8) else 'none ' || i end as keyword from range({_MANY}) t(i)),
+  exact as (select 'item ' || (i // 4) || '.' as k, min(i) as rank from range({_MANY}) t(i) where i % 4 = 1 group by 1),
+  starts as (select 'ies. item ' || (i // 8) as k, min(i) as rank from range({_MANY}) t(i) where i % 4 = 2 group by 1),
+  texts as (select ingest_seq, lower(summary_text) as s, regexp_extract(summary_text, '(\\d+)\\.$', 1) as number from raw_listing where summary_text is not null),
+  met as (
+    select ingest_seq, rank, k from texts join exact on k = 'item ' || number || '.'
+    union all
+    select ingest_seq, rank, k from (select ingest_seq, number, unnest(range(1, length(number) + 1)) as n from texts) join starts on k = 'ies. item ' || substr(number, 1, n::integer))
+  select ingest_seq, min(rank)::integer as rank, arg_min(k, rank) as keyword from met group by ingest_seq"""))
+def join1_automaton(spark, d):
+    """JOIN1, JOIN6: ten thousand keywords, of which some begin others, end others or lie inside them, in one pass over each text."""
+    i = C("id")
+    keyword = F.expr("case id % 4 when 0 then concat('family ', id) when 1 then concat('Item ', id div 4, '.') when 2 then concat('ies. item ', id div 8) else concat('none ', id) end")
+    hints = spark.range(_MANY).select(i.cast("int").alias("rank"), keyword.alias("keyword"))
+    found = lookup.hinted(fx.raw_listing(spark, d), hints, "summary_text")
+    return found.select("ingest_seq", "rank", F.lower("keyword").alias("keyword"))
+
+
 _QUALIFIED = "case " + " ".join(f"when contains(lower(location_name), {sql.q(w)}) then {sql.q(t)}" for w, t in (("main library", "Springfield Campus"), ("library", "Branch"), ("farm", "Aldie, VA"))) + " end"
 
 
@@ -440,16 +463,68 @@ def st1_landing_stream(spark, d):
     return spark.read.parquet(f"{base}/out").select("ingest_seq", "title", "source_url")
 
 
-@query(sql.raw("select distinct source_id, source_url from raw_listing"))
+_ARRIVAL = "case ingest_seq % 3 when 2 then 0 when 0 then 1 else 2 end"
+
+
+@query(sql.raw(f"""
+  select source_id, source_url, min(ingest_seq) as ingest_seq, arg_min(ingest_seq, ({_ARRIVAL}) * 1000000000000 + ingest_seq) as first_told,
+    case when arg_min(ingest_seq, ({_ARRIVAL}) * 1000000000000 + ingest_seq) > min(ingest_seq) then 1 else 0 end as corrections
+  from raw_listing group by source_id, source_url"""))
 def st2_first_seen_stream(spark, d):
-    """ST2: each source's URL once, over two runs of one stream."""
-    r, base = fx.raw_listing(spark, d), scratch(spark, "first-seen")
-    rows = r.select("ingest_seq", "source_id", "source_url", L("2024-01-15 00:00:00").cast("timestamp").alias("seen_at"))
-    for part in ("ingest_seq % 2 = 0", "ingest_seq % 2 = 1"):
-        rows.filter(part).write.mode("append").parquet(f"{base}/in")
-        stream = increments.first_seen_stream(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), "seen_at")
-        increments.land(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("source_id", "source_url")
+    """ST2: each source's URL once over three runs of one stream; the smallest ingest_seq of a URL comes after a larger one and corrects it."""
+    own, base = first_seen.stateful(spark), scratch(spark, "first-seen")
+    rows = fx.raw_listing(spark, d).select("ingest_seq", "source_id", "source_url", L("2024-01-15 00:00:00").cast("timestamp").alias("seen_at"))
+    for part in range(3):
+        rows.filter(F.expr(_ARRIVAL) == part).write.mode("append").parquet(f"{base}/in")
+        told = first_seen.first_by_arrival(own.readStream.schema(rows.schema).parquet(f"{base}/in"), "seen_at")
+        increments.land(told, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return first_seen.settled(spark.read.schema(first_seen.OUT).parquet(f"{base}/out"))
+
+
+def moving_events(spark, d) -> DataFrame:
+    """Events of the derived listing, some of which start a week later as one source tells it."""
+    later = F.when(F.expr("ingest_seq % 3 = 2 and (ingest_seq div 3) % 5 = 0"), F.expr("interval 7 days")).otherwise(F.expr("interval 0 days"))
+    none = [L(None).cast("string").alias(c) for c in ("image_url", "registration_url")]
+    return fx.raw_listing(spark, d).select(
+        "ingest_seq", F.md5("source_url").alias("id"), "title", (F.col("start_text").cast("timestamp_ntz") + later).alias("start"), L(None).cast("timestamp_ntz").alias("end"),
+        F.col("location_text").alias("location_name"), F.col("summary_text").alias("summary"), *none, "source_url", "source_name", F.array(L("arts")).alias("tags"), L(0.0).alias("family_friendly_score"),
+    )
+
+
+class GateClosed(Exception):
+    pass
+
+
+@query(sql.raw("""
+, rows as (
+    select ingest_seq, md5(source_url) as id, lower(trim(title)) as title, start_text::timestamp + to_days(case when ingest_seq % 3 = 2 and (ingest_seq // 3) % 5 = 0 then 7 else 0 end) as start, coalesce(lower(trim(location_text)), '') as place,
+      case when summary_text is not null then 25 else 0 end + case when location_text is not null then 10 else 0 end as q
+    from raw_listing),
+  ids as (select *, min(ingest_seq) over (partition by id) as group_seq, row_number() over (partition by id order by q desc, ingest_seq) as n from rows),
+  prints as (select *, row_number() over (partition by title, start::date, place order by q desc, group_seq) as m from ids where n = 1)
+  select id, ingest_seq, strftime(date_trunc('week', start), '%Y-%m-%d') as week_start from prints where m = 1"""))
+def st3_weeks_stream(spark, d):
+    """ST3, the week: three micro-batches; the second dies before its weeks count and starts over, the third is read twice."""
+    base, rows, closed = scratch(spark, "weeks"), moving_events(spark, d), [False, True, False, False, False]
+
+    def gate(_: DataFrame) -> None:
+        if closed.pop(0):
+            raise GateClosed("the week is not published")
+
+    def run() -> None:
+        weeks.publish_weeks(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), f"{base}/weeks", f"{base}/checkpoint", gate=gate).awaitTermination()
+
+    for part in (0, 1, 2):
+        rows.filter(F.col("ingest_seq") % 3 == part).write.mode("append").parquet(f"{base}/in")
+        try:
+            run()
+        except StreamingQueryException:
+            run()
+    # as if the stream had died after the ledger's entry: its checkpoint does not know that the last batch is done
+    last = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/checkpoint/commits/2")
+    last.getFileSystem(spark._jsc.hadoopConfiguration()).delete(last, False)
+    run()
+    return weeks.current_weeks(spark, f"{base}/weeks").select("id", "ingest_seq", "week_start")
 
 
 @query(f"with {sql.CANDIDATES} select candidate_id, case when k % 2 = 1 then status when status = 'rejected' then 'rejected' else 'needs_review' end as status, case when k % 2 = 1 then case when k % 23 = 0 then 'seen' end when k % 23 = 0 then 'seen' else 'new' end as notes from identified where k % 4 <> 2 union all select candidate_id, 'needs_review', 'new' from identified where k % 4 = 2")
@@ -462,4 +537,4 @@ def st3_queue_stream(spark, d):
         rows.write.parquet(f"{base}/in{number}")
         stream = spark.readStream.schema(schemas.CANDIDATE).parquet(f"{base}/in{number}")
         increments.merge_review_queue(stream, f"{base}/queue", f"{base}/{checkpoint}").awaitTermination()
-    return publish.current_table(spark, f"{base}/queue").select("candidate_id", "status", "notes")
+    return ledger.current(spark, f"{base}/queue").select("candidate_id", "status", "notes")

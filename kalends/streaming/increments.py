@@ -1,4 +1,4 @@
-"""Incremental forms of the batch operators (ST1-ST3)."""
+"""Incremental forms of the batch operators: landing and the review queue (ST1, ST3)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from kalends import schemas
 from kalends.operators.candidates import merge_queue
-from kalends.sources.publish import current_table, replace_table
+from kalends.sources.ledger import merge_table
 
 
 def landing_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -20,17 +20,14 @@ def land(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def first_seen_stream(stream: DataFrame, time_column: str, delay: str = "7 days") -> DataFrame:
-    """ST2: the first row per source and URL within the watermark's delay; state older than it is dropped."""
-    return stream.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(["source_id", "source_url"])
-
-
 def merge_review_queue(stream: DataFrame, queue_path: str, checkpoint: str, policy: str = "full") -> StreamingQuery:
-    """ST3: merges each micro-batch into the queue that current_table() reads; a repeated batch changes nothing."""
+    """ST3, the queue: merges each micro-batch into the queue that current() reads; a repeated batch changes nothing, other writers' rows stay."""
+
+    def merge(batch: DataFrame, number: int) -> None:
+        def merged(old: DataFrame | None) -> DataFrame:
+            old = batch.limit(0) if old is None else old  # the first batch makes the queue
+            return merge_queue(old, batch.select(*old.columns), policy)
 
-    def merge(batch: DataFrame, _: int) -> None:
-        old = current_table(batch.sparkSession, queue_path)
-        old = batch.limit(0) if old is None else old  # the first batch makes the queue
-        replace_table(merge_queue(old, batch.select(*old.columns), policy), queue_path)
+        merge_table(batch.sparkSession, queue_path, merged, (checkpoint, number))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
