@@ -44,8 +44,7 @@ def first_rule(low: Column, table: dict[str, list[str]]) -> Column:
 
 
 def adult_hits(low: Column) -> Column:
-    text = {name: F.regexp_replace(low, rules.ADULT_EXCEPT[name], " ") if name in rules.ADULT_EXCEPT else low for name in rules.ADULT_RULES}
-    return named([(name, holds(text[name], rules.pattern(some))) for name, some in rules.ADULT_RULES.items()])
+    return named([(name, holds(low, rules.pattern(some, rules.ADULT_NOT_BEFORE))) for name, some in rules.ADULT_RULES.items()])
 
 
 def with_relevance(df: DataFrame, title: str = "title", summary: str = "summary", tags: str = "tags", source: str = "source_name", stance: dict[str, int] = rules.SOURCE_STANCE, out: str = "relevance") -> DataFrame:

@@ -16,8 +16,7 @@ def sorted_tags(c: Column) -> Column:
 
 def text_tags(low: Column) -> Column:
     """Of a lower-case text. One projection: each tag's alternatives are one pattern."""
-    text = {tag: F.regexp_replace(low, rules.TAG_EXCEPT[tag], " ") if tag in rules.TAG_EXCEPT else low for tag in rules.TAGS}
-    return named([(tag, holds(text[tag], rules.pattern(some))) for tag, some in rules.TAGS.items()])
+    return named([(tag, holds(low, rules.pattern(some, rules.TAG_NOT_BEFORE))) for tag, some in rules.TAGS.items()])
 
 
 def derive_tags(title: Column, summary: Column, place: Column, start: Column, cost_type: Column, extra: Column | None = None) -> Column:

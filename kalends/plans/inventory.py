@@ -12,7 +12,7 @@ from kalends import rules, schemas
 from kalends.functions import regions, text, urls
 from kalends.functions.store import scratch, stored
 from kalends.operators import candidates as cand
-from kalends.operators import dedupe, geo, lookup, quality, reports
+from kalends.operators import dedupe, geo, lookup, quality, reports, scans
 from kalends.operators.normalise import places, published_to_raw, union_all
 from kalends.operators.pricing import legacy_cost, with_pricing
 from kalends.plans import listing as fx
@@ -355,6 +355,24 @@ def join6_geo_hints(spark, d):
     return places(fx.raw_listing(spark, d)).select("ingest_seq", F.array_join(asked, ";").alias("queries"))
 
 
+# ---- rules found by scans
+
+_SCANNED = "concat_ws(' ', price_text, summary_text, title, location_text)"
+
+
+def _scan_sql(kind: str) -> str:
+    table, not_before = scans.TABLES[kind]
+    met = [f"case when {sql._held('t', some, not_before)} then {sql.q(name)} end" for name, some in table.items()]
+    return f"array_to_string(list_filter([{', '.join(met)}], lambda x: x is not null), ',')"
+
+
+@query(sql.raw(f", texts as (select ingest_seq, {_SCANNED} as t from raw_listing) select ingest_seq, {_scan_sql('tags')} as tags, {_scan_sql('relevance')} as relevance, {_scan_sql('prices')} as prices from texts"))
+def tag1_phrase_scan(spark, d):
+    """TAG1, SCO2, PRC1: the rules of all three kinds that a listing's whole text meets, each kind in one scan for phrases."""
+    t = fx.raw_listing(spark, d).select("ingest_seq", F.expr(_SCANNED).alias("t"))
+    return t.select("ingest_seq", *[F.array_join(scans.rules_met(C("t"), kind), ",").alias(kind) for kind in scans.TABLES])
+
+
 # ---- planted tables for checks and counters
 
 _SOUND = {

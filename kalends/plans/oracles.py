@@ -74,11 +74,15 @@ priced as (select *, case when reason in {_FREE} then 'free' when reason in {_UN
   case when reason in {_FREE} then true when reason in {_UNKNOWN} then null else false end as is_free from reasoned)"""
 
 
-def _tag(t: str, spec: str) -> str:
-    body = "words_text"
-    if t in rules.TAG_EXCEPT:
-        body = f"regexp_replace(words_text, {q('(?i)' + rules.TAG_EXCEPT[t])}, ' ', 'g')"
-    return f"case when {rx(body, rules.pattern(spec))} then {q(t)} end"
+def _held(body: str, some: list[str], not_before: dict[str, str]) -> str:
+    """Whether a text holds an alternative; where one must not be followed by something, those places are blanked for it alone."""
+    plain = [a for a in some if a not in not_before]
+    blanked = [rx(f"regexp_replace({body}, {q(rf'(?i)\b(?:{a}){not_before[a]}')}, ' ', 'g')", rules.pattern([a])) for a in some if a in not_before]
+    return "(" + " or ".join([*([rx(body, rules.pattern(plain))] if plain else []), *blanked]) + ")"
+
+
+def _tag(t: str, some: list[str]) -> str:
+    return f"case when {_held('words_text', some, rules.TAG_NOT_BEFORE)} then {q(t)} end"
 
 
 TAGGED = f"""
@@ -100,9 +104,8 @@ def _first(table: dict[str, str]) -> str:
     return "case " + " ".join(f"when {rx('body', rules.pattern(s))} then {q(n)}" for n, s in table.items()) + " end"
 
 
-def _adult(n: str, s: str) -> str:
-    body = f"regexp_replace(body, {q('(?i)' + rules.ADULT_EXCEPT[n])}, ' ', 'g')" if n in rules.ADULT_EXCEPT else "body"
-    return f"case when {rx(body, rules.pattern(s))} then {q(n)} end"
+def _adult(n: str, some: list[str]) -> str:
+    return f"case when {_held('body', some, rules.ADULT_NOT_BEFORE)} then {q(n)} end"
 
 
 SCORED = f"""
