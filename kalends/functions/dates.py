@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kalends.functions.spelled import spelled
 from kalends.functions.text import let
 
 #: Formats that the producers emit, tried in order, after a weekday name is dropped.
@@ -14,15 +15,15 @@ FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "
 def parse_datetime(c: Column, year: int) -> Column:
     """DT1: a timestamp without zone; dates without a year or with a past one are lifted to ``year``.
 
-    Offsets are converted to UTC and dropped. Null when no format fits, or when the lifted date does
-    not exist (29 February).
+    Offsets are converted to UTC and dropped. Texts that no format fits go through the grammar of
+    ``spelled``. Null when that gives nothing either, or when the lifted date does not exist (29 February).
     """
     def read(t: Column) -> Column:
         zoned = F.when(t.rlike(r"T\d.*\d(?:Z|[+-]\d\d:?\d\d)$"), F.try_to_timestamp(F.regexp_replace(t, "Z$", "+00:00")))
         plain = F.trim(F.regexp_replace(F.regexp_replace(t, ",", " "), r"\s+", " "))
         dated = F.when(plain.rlike(r"\b\d{4}\b"), plain).otherwise(F.regexp_replace(plain, r"^([A-Za-z]+\.? \d{1,2})\b", f"$1 {year}"))
         tried = let(dated, lambda d: F.coalesce(*[F.try_to_timestamp(d, F.lit(f)) for f in FORMATS]))
-        return F.coalesce(zoned, tried).cast("timestamp_ntz")
+        return F.coalesce(zoned.cast("timestamp_ntz"), tried.cast("timestamp_ntz"), spelled(c, year))
 
     def lift(got: Column) -> Column:
         moved = F.try_to_timestamp(F.concat(F.lit(str(year)), F.date_format(got, "-MM-dd HH:mm:ss")), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")

@@ -118,6 +118,23 @@ def dt1_dt2_dates(spark, d):
     return fx.raw_listing(spark, d).select("ingest_seq", dates.parse_datetime(spelled, 2024).alias("s")).select("ingest_seq", dates.iso(F.col("s")).alias("starts"), dates.week_monday(F.col("s")).alias("week"))
 
 
+#: Spellings of a time, as patterns of both engines: Spark's and DuckDB's name for the moment that is left when the text is read.
+SPELLED = [
+    ("EEEE, MMMM d, yyyy '@' h:mm a", "minute"), ("d MMMM yyyy HH:mm:ss", "second"), ("h:mma 'on' MMM d", "minute"), ("ha 'on the' d'th of' MMMM yyyy", "hour"), ("'Opens' yyyy/MM/dd HH:mm", "minute"), ("M.d.yy h a", "hour"),
+    ("d-MMM-yyyy", "day"), ("yyyyMMdd'T'HHmm", "minute"), ("M/d", "day"), ("MMM d, yyyy HH:mm '+0200'", "minute"), ("MMMM yyyy", None), ("MMM d yyyy h:mm a '- 11:30 PM'", None), ("EEEE HH:mm", None),
+]
+SPELLED_SQL = " ".join(f"when {i} then " + (f"date_trunc('{unit}', ts)" if unit else "null") + (" - interval 2 hour" if "+0200" in form else "") for i, (form, unit) in enumerate(SPELLED))
+
+
+@query(f"""with s as (select event_id, date_trunc('second', ts::timestamp) as ts from events), r as (select event_id, case event_id % {len(SPELLED)} {SPELLED_SQL} end as t from s)
+  select event_id, strftime(t, '%Y-%m-%dT%H:%M:%S') as starts from r""")
+def dt1_spelled_dates(spark, d):
+    """Starts in free wording, read by the grammar; three of the spellings have no date or two times."""
+    turn = F.expr(f"event_id % {len(SPELLED)}")
+    text = F.coalesce(*[F.when(turn == i, F.date_format("ts", form)) for i, (form, _) in enumerate(SPELLED)])
+    return table(spark, d, "events").select("event_id", dates.iso(dates.parse_datetime(text, 2024)).alias("starts"))
+
+
 @query("select event_id, case when isodow(ts) >= 6 then 'weekend' else 'weekday' end || case when hour(ts) between 5 and 11 then ',morning' when hour(ts) between 12 and 16 then ',afternoon' when hour(ts) between 17 and 21 then ',evening' else '' end as tags from events")
 def dt3_time_tags(spark, d):
     return table(spark, d, "events").select("event_id", tags_text(dates.time_tags(F.col("ts"))).alias("tags"))

@@ -12,7 +12,7 @@ from kalends.plans import inventory, queries
 from kalends.plans.queries import ORACLES, QUERIES
 
 DIR = "/root/testdata/sf0.001"
-QUICK = ["src1_raw_listing", "str1_str2_titles", "str3_summaries", "str9_locations", "str12_str14_prices", "url3_url6_outbound", "dt1_dt2_dates", "dt6_listing_times", "ded4_survivors", "ded5_first_seen", "ret1_retention", "snk2_manifest", "set4_mirror_plan", "join1_venue_hints", "exp1_occurrences", "flt10_malformed", "agg13_horizon", "geo7_purge", "agg10_shared_links", "snk4_merge_queue", "snk5_merge_light", "htm1_page_facts", "jsn1_json_ld", "src2_api_events", "src3_listing_cards", "snk1_envelope", "src12_any_documents", "src9_seed_candidates", "cand2_chosen_urls", "pipe2_discovery", "pipe3_repair", "pipe4_geo_patch", "agg14_removed", "ded6_repeated_ids"]
+QUICK = ["src1_raw_listing", "str1_str2_titles", "str3_summaries", "str9_locations", "str12_str14_prices", "url3_url6_outbound", "dt1_dt2_dates", "dt1_spelled_dates", "dt6_listing_times", "ded4_survivors", "ded5_first_seen", "ret1_retention", "snk2_manifest", "set4_mirror_plan", "join1_venue_hints", "exp1_occurrences", "flt10_malformed", "agg13_horizon", "geo7_purge", "agg10_shared_links", "snk4_merge_queue", "snk5_merge_light", "htm1_page_facts", "jsn1_json_ld", "src2_api_events", "src3_listing_cards", "snk1_envelope", "src12_any_documents", "src9_seed_candidates", "cand2_chosen_urls", "pipe2_discovery", "pipe3_repair", "pipe4_geo_patch", "agg14_removed", "ded6_repeated_ids"]
 
 
 @pytest.fixture(scope="module")
