@@ -15,22 +15,27 @@ FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "
 def parse_datetime(c: Column, year: int) -> Column:
     """DT1: a timestamp without zone; dates without a year or with a past one are lifted to ``year``.
 
-    Offsets are converted to UTC and dropped. Texts that no format fits go through the grammar of
+    Then offsets are converted to UTC and dropped. Texts that no format fits go through the grammar of
     ``spelled``. Null when that gives nothing either, or when the lifted date does not exist (29 February).
     """
-    def read(t: Column) -> Column:
-        zoned = F.when(t.rlike(r"T\d.*\d(?:Z|[+-]\d\d:?\d\d)$"), F.try_to_timestamp(F.regexp_replace(t, "Z$", "+00:00")))
-        plain = F.trim(F.regexp_replace(F.regexp_replace(t, ",", " "), r"\s+", " "))
-        dated = F.when(plain.rlike(r"\b\d{4}\b"), plain).otherwise(F.regexp_replace(plain, r"^([A-Za-z]+\.? \d{1,2})\b", f"$1 {year}"))
-        tried = let(dated, lambda d: F.coalesce(*[F.try_to_timestamp(d, F.lit(f)) for f in FORMATS]))
-        return F.coalesce(zoned.cast("timestamp_ntz"), tried.cast("timestamp_ntz"), spelled(c, year))
-
     def lift(got: Column) -> Column:
         moved = F.try_to_timestamp(F.concat(F.lit(str(year)), F.date_format(got, "-MM-dd HH:mm:ss")), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
         return F.when(F.year(got) < year, moved).otherwise(got)
 
+    def zoned(t: Column) -> Column:
+        at = lambda x: F.try_to_timestamp(F.regexp_replace(x, "Z$", "+00:00")).cast("timestamp_ntz")
+        past = F.substring(t, 1, 4).try_cast("int") < year
+        return F.when(~past, at(t)).when(past & at(t).isNotNull(), at(F.concat(F.lit(str(year)), F.substring(t, 5, 100))))
+
+    def read(t: Column) -> Column:
+        plain = F.trim(F.regexp_replace(F.regexp_replace(t, ",", " "), r"\s+", " "))
+        dated = F.when(plain.rlike(r"\b\d{4}\b"), plain).otherwise(F.regexp_replace(plain, r"^([A-Za-z]+\.? \d{1,2})\b", f"$1 {year}"))
+        tried = let(dated, lambda d: F.coalesce(*[F.try_to_timestamp(d, F.lit(f)) for f in FORMATS]).cast("timestamp_ntz"))
+        lifted = let(tried, lambda got: F.when(got.isNotNull(), lift(got)).otherwise(spelled(c, year)))
+        return F.when(t.rlike(r"T\d.*\d(?:Z|[+-]\d\d:?\d\d)$"), F.coalesce(zoned(t), spelled(c, year))).otherwise(lifted)
+
     t = F.trim(F.regexp_replace(F.regexp_replace(c, r"(?i)\bat\b", " "), r"(?i)^\s*(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", ""))
-    return F.when(F.length(F.trim(c)) > 0, let(let(t, read), lift))
+    return F.when(F.length(F.trim(c)) > 0, let(t, read))
 
 
 def week_monday(c: Column) -> Column:

@@ -51,13 +51,9 @@ def number(c: Column) -> Column:
 def spelled(c: Column, year: int) -> Column:
     """A timestamp without zone; null where the grammar gives no date or numbers are left over.
 
-    A missing year is ``year``, a missing time midnight, two digits of a year are the nearest such year.
-    Offsets are converted to UTC and dropped; other zone names are words.
+    A missing year is ``year``, a missing time midnight, two digits of a year are the nearest such year, an
+    earlier year is lifted to ``year``. After that offsets are converted to UTC and dropped; other zone names are words.
     """
-    t = F.lower(F.trim(F.regexp_replace(c, r"(?i)\bat\b", " ")))
-    for form, out in COMPACT:
-        t = F.regexp_replace(t, form, out)
-
     def with_time(date: Column) -> Column:
         rest = date[3]
         clock = F.coalesce(*[cut(rest, f, (1, 2, 3, 4, 5, 6, 7)) for f in TIMES], F.concat(F.lit("|" * 7), rest))
@@ -71,9 +67,15 @@ def spelled(c: Column, year: int) -> Column:
         month = F.when(m.rlike("^[a-z]"), F.floor((F.instr(F.lit(NAMES), F.substring(m, 1, 3)) + 2) / 3)).otherwise(number(m)).cast("int")
         hour = F.when((time[3] == "p") & (hour < 12), hour + 12).when((time[3] == "a") & (hour == 12), 0).otherwise(hour)
         second = F.coalesce(time[2].try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
-        read = F.try_make_timestamp_ntz(whole, month, number(date[2]), hour, number(time[1]), second)
+        at = lambda y: F.try_make_timestamp_ntz(y, month, number(date[2]), hour, number(time[1]), second)
+        read = F.when(at(whole).isNotNull(), at(F.greatest(whole, F.lit(year))))
         behind = (number(time[5]) * 60 + number(time[6])) * F.when(time[4] == "-", -1).otherwise(1)
         return F.when(~time[7].rlike(r"\d"), read - F.make_dt_interval(mins=behind))
 
-    dates = F.coalesce(*[cut(t, f, g) for f, g in DATES])
-    return F.when(dates.isNotNull(), let(F.split(dates, r"\|", 4), with_time))
+    def with_date(t: Column) -> Column:
+        return let(F.split(F.coalesce(*[cut(t, f, g) for f, g in DATES]), r"\|", 4), with_time)
+
+    t = F.lower(F.trim(F.regexp_replace(c, r"(?i)\bat\b", " ")))
+    for form, out in COMPACT:
+        t = F.regexp_replace(t, form, out)
+    return let(t, with_date)

@@ -70,6 +70,7 @@ def test_spelled_dates(spark):
         ("March 5th, 2024 7pm", seven), ("5 March 2024 19:00", seven), ("Tuesday, March 5 7 PM", seven), ("Tue 5 Mar 2024, 7:00 p.m.", seven), ("7pm on March 5, 2024", seven), ("5th of March 2024 at 7 PM", seven),
         ("Doors open March 5 @ 7:00 PM", seven), ("2024/03/05 19:00", seven), ("3/5/24 7:00 PM", seven), ("3-5-2024 7pm", seven), ("3.5.2024 19:00", seven), ("5-Mar-2024 19:00:00", seven), ("Mar. 5, '24, 7 PM", seven), ("3/5 7pm", seven),
         ("2024 March 5 7pm", seven), ("20240305T190000", seven), ("20240305T1900", seven), ("MARCH 5 2024 07:00PM EST", seven), ("2024-03-05 7:00 pm", seven), ("7:00PM Tuesday March 5th", seven), ("Mar 5, 2024 19:00 -0500", datetime(2024, 3, 6)), ("March 5 2024 7pm+02:00", datetime(2024, 3, 5, 17)),
+        ("2024-01-01T01:00:00+02:00", datetime(2023, 12, 31, 23)), ("2020-06-01T22:00:00-04:00", datetime(2024, 6, 2, 2)), ("2023-02-29T10:00:00Z", None), ("Jan 1, 2024 1 am +0200", datetime(2023, 12, 31, 23)),
         ("20240305", day), ("5 Mar", day), ("March 5th", day), ("Sept 3rd", datetime(2024, 9, 3)), ("the 1st of May", datetime(2024, 5, 1)), ("13/4/2024", datetime(2024, 4, 13)), ("12 am March 5 2024", day), ("12:15 a.m., March 5", datetime(2024, 3, 5, 0, 15)), ("March 5, 2024 12pm", datetime(2024, 3, 5, 12)),
         ("Dec 31 1999 11:59 pm", datetime(2024, 12, 31, 23, 59)), ("March 5, 2031 7pm", datetime(2031, 3, 5, 19)), ("Feb 29th, 2023", None), ("February 29th, 2020", datetime(2024, 2, 29)), ("2024/03/05 10:20:30.5", datetime(2024, 3, 5, 10, 20, 30, 500000)),
         ("March 5, 2024 7 PM - 9 PM", None), ("March 5, 2024 7pm-9pm", None), ("March 5, 2024, Room 12", None), ("March 2024", None), ("Saturday 7pm", None), ("marching band", None), ("Feb 30th", None), ("13/45/2024", None), ("March 5 25:00", None), ("TBD", None), ("|||", None), ("5", None),
