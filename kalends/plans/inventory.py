@@ -18,7 +18,7 @@ from kalends.operators.pricing import legacy_cost, with_pricing
 from kalends.plans import listing as fx
 from kalends.plans import oracles as sql
 from kalends.plans.queries import query, small_events, survivors, table
-from kalends.sources import landing, ledger, pages, publish, registry
+from kalends.sources import landing, layouts, ledger, pages, publish, registry
 from kalends.streaming import first_seen, increments, weeks
 
 L, C = F.lit, F.col
@@ -108,6 +108,23 @@ def src6_park_cards(spark, d):
 # ---- facts of single pages
 
 
+
+@query(sql.raw("""select ingest_seq, (ingest_seq % 20)::int as position, title, case when ingest_seq % 2 = 0 then location_text end as place, case when ingest_seq % 5 = 0 then '$' || (ingest_seq % 30 + 1) end as price
+  from raw_listing"""))
+def ext4_lateral_cards(spark, d):
+    """EXT4: cards of listing pages from SQL alone, by the registered table function; pages that are null or have no card add nothing."""
+    r = fx.raw_listing(spark, d).repartition(F.expr("ingest_seq div 20"))
+    place = F.when(F.expr("ingest_seq % 2 = 0 and location_text is not null"), html('<p class="card-location">', C("location_text"), "</p>"))
+    price = F.when(F.expr("ingest_seq % 5 = 0"), html('<b class="price">$', F.expr("ingest_seq % 30 + 1"), "</b>"))
+    card = html('<div class="card"><h3 class="card-title">', C("title"), '</h3><a href="/e', C("ingest_seq"), '">More</a>', place, price, "</div>")
+    one = F.struct("ingest_seq", card.alias("card"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["card"]), "")
+    listing = r.groupBy(F.expr("ingest_seq div 20").alias("page")).agg(body.alias("html"))
+    odd = r.filter("ingest_seq % 20 = 0").select(F.expr("-ingest_seq").alias("page"), by_turns("ingest_seq div 20", "<p>No cards</p>", None).alias("html"))
+    layouts.register(spark)
+    return spark.sql("select c.position, c.title, c.place, c.price, bigint(regexp_extract(c.href, '(\\\\d+)$')) as ingest_seq from {pages} p, lateral layout_cards(p.html, 'park_cards') c", pages=listing.unionByName(odd))
+
+
 @query(sql.raw("""select ingest_seq, case when ingest_seq % 2 = 0 then title else 'Page ' || ingest_seq end as title,
   case ingest_seq % 3 when 0 then left(repeat('All about it. ', 30), 280) when 1 then 'From the description tag' end as description_snippet,
   case when ingest_seq % 5 = 0 then 'https://i.example.org/' || ingest_seq end as image_url from raw_listing"""))

@@ -119,25 +119,38 @@ class Facts(HTMLParser):
 FACTS = "meta map<string,string>, page_title string, anchors array<struct<text: string, href: string>>, json_ld array<string>, times array<string>, price_texts array<string>, body string, cards array<struct<title: string, time: string, place: string, summary: string, price: string, href: string, image: string>>"
 
 
+FIELDS = ["title", "time", "place", "summary", "price"]
+
+
+def read_page(html: str | None, profile: dict[str, list[str]] | None) -> Facts:
+    f = Facts(profile)
+    f.feed(html or "")
+    f.close()
+    f.finish()
+    return f
+
+
+def card_fields(facts: Facts, profile: dict[str, list[str]] | None) -> list[dict]:
+    """One dict per card, in the page's order: of each field the first text of the best class that the card has."""
+    cards = []
+    for c in facts.cards:
+        best = {p: [t for r, t in c.get(p, []) if r == min(r for r, _ in c[p])] if c.get(p) else [] for p in FIELDS}
+        if profile and profile["time"][:2] == ["month", "day"]:  # a date in several spans
+            best["time"] = [" ".join(t for _, t in sorted(c.get("time", [])))]
+        cards.append({p: (best[p] or [None])[0] for p in FIELDS} | {"href": c.get("href"), "image": c.get("image")})
+    return cards
+
+
 def page_facts(pages: DataFrame, layout: str | None = None, url: str = "url", html: str = "html", keep: list[str] = ()) -> DataFrame:
     """(url, facts..., kept string columns) for every row of pages; null html has empty facts. Malformed html never fails a row."""
     profile = LAYOUTS[layout] if layout else None
-    parts = ["title", "time", "place", "summary", "price"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for u, h in zip(pdf[url], pdf[html]):
-                f = Facts(profile)
-                f.feed(h or "")
-                f.close()
-                f.finish()
-                cards = []
-                for c in f.cards:
-                    best = {p: [t for r, t in c.get(p, []) if r == min(r for r, _ in c[p])] if c.get(p) else [] for p in parts}
-                    if profile and profile["time"][:2] == ["month", "day"]:  # a date in several spans
-                        best["time"] = [" ".join(t for _, t in sorted(c.get("time", [])))]
-                    cards.append({p: (best[p] or [None])[0] for p in parts} | {"href": c.get("href"), "image": c.get("image")})
+                f = read_page(h, profile)
+                cards = card_fields(f, profile)
                 out.append((u, f.meta, f.page_title or None, [{"text": t, "href": x} for t, x in f.anchors], f.json_ld, f.times, f.prices, " ".join("".join(f.body).split()), cards))
             facts = pd.DataFrame(out, columns=["url", "meta", "page_title", "anchors", "json_ld", "times", "price_texts", "body", "cards"])
             yield facts.assign(**{k: pdf[k].to_numpy() for k in keep})
@@ -153,7 +166,11 @@ def absolute(href: Column, base: Column) -> Column:
 
 def cards(pages: DataFrame, layout: str, source_id: str, source_name: str) -> DataFrame:
     """SRC3-SRC6: raw records from listing pages, 0 to n per page; cards without a title or a link are left out."""
-    c = page_facts(pages, layout).select(F.col("url").alias("page_url"), F.inline("cards"))
+    return records(page_facts(pages, layout).select(F.col("url").alias("page_url"), F.inline("cards")), source_id, source_name)
+
+
+def records(c: DataFrame, source_id: str, source_name: str) -> DataFrame:
+    """Raw records from cards (page_url and a card's columns), however they were read."""
     times = listing_times(F.col("time"))
     title = squeeze(F.col("title"))
     got = c.filter(F.coalesce(title, F.lit("")) != "").select(

@@ -189,3 +189,26 @@ def test_a_dry_run_publishes_nothing(spark, tmp_path):
     assert build.events.count() > 0 and not (tmp_path / "weeks").exists()
     assert not jobs.publish(build, str(tmp_path / "weeks"), fx.WEEK, ["example.org"]) and not (tmp_path / "weeks").exists()
     assert jobs.publish(build, str(tmp_path / "weeks"), fx.WEEK) and (tmp_path / "weeks").exists()
+
+
+def test_layouts_in_sql(spark):
+    """The table function gives the cards that the DataFrame form gives, and refuses unknown layouts when a query is analysed."""
+    from pyspark.errors import AnalysisException
+
+    from kalends.sources import layouts, pages
+
+    card = '<div class="card"><h3 class="card-title">%s</h3><span class="date">Mon, Jan 1, 9AM</span><a href="/e/%d">More</a></div>'
+    rows = [("https://a.org/1", card % ("One", 1) + card % ("", 2) + card % ("Three & <i>more</i>", 3)), ("https://a.org/2", None), ("https://a.org/3", "<p>none"), ("https://a.org/1", card % ("One", 1))]
+    web = spark.createDataFrame(rows, "url string, html string")
+    layouts.register(spark)
+    got = spark.sql("select p.url as page_url, c.* from {web} p, lateral layout_cards(html, 'park_cards') c", web=web)
+    assert got.columns == ["page_url", "position", "title", "time", "place", "summary", "price", "href", "image"]
+    plain = lambda df: sorted(map(str, df.collect()))
+    assert plain(pages.records(got, "s", "S")) == plain(pages.cards(web, "park_cards", "s", "S")) and pages.records(got, "s", "S").count() == 3
+    assert sorted(r["position"] for r in got.collect()) == [0, 0, 1, 2]
+    for call in ("layout_cards(html, 'unknown')", "layout_cards(html, url)", "layout_cards(1, 'park_cards')"):
+        try:
+            spark.sql("select c.* from {web} p, lateral " + call + " c", web=web)
+            raise AssertionError(call)
+        except AnalysisException as error:
+            assert "layout_cards" in str(error)
