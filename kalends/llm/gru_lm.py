@@ -1,9 +1,10 @@
 """Operator 5: a gated recurrent language model in numpy.
 
 Corpus statistics: every training token is counted, over the whole corpus, by a partial count in
-each task and one aggregation. The MODEL_WORDS most frequent words are the model's own symbols; all
-others share the symbol "other" and, inside it, have the add-one unigram probability of the corpus,
-so the model gives every text a proper log-probability.
+each task and one aggregation. The MODEL_WORDS most frequent words are the model's own symbols; every
+other word belongs to one of GROUPS groups by its last TAIL bytes. The network predicts the group, and
+inside it the word has the add-one unigram probability of the group's training tokens, with one place
+more for words never seen, so the model gives every text a proper log-probability.
 
 Encoding: one pass turns each text into 16-bit symbols and its sums of unigram logarithms; training
 and scoring read these, so no text is split again.
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,6 +41,8 @@ from pyspark.sql import functions as F
 from kalends.llm.common import ids_and_bytes, slices, stored
 
 MODEL_WORDS = 4094
+GROUPS = 1024
+TAIL = 3
 HOT_WORDS = 1 << 18
 LONGEST_HOT = 64
 HIDDEN = 24
@@ -48,7 +52,7 @@ FIRST_LANES, MOST_LANES, SCORE_LANES = 128, 256, 512
 LANE_TOKENS = 1024  # a block of training tokens holds MOST_LANES times so many
 RATE = 0.08
 BATCH_TOKENS = 4_000_000
-COUNT_LIMIT = 400_000
+COUNT_LIMIT, COUNT_BYTES = 400_000, 128 << 20  # a task's table of words is sent on at so many words or bytes of text
 BLOCK = 8192
 END, OTHER = 0, 1
 HELD_OUT = 2
@@ -64,6 +68,7 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        size = 0
 
         def flush() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
@@ -73,9 +78,11 @@ def count_tokens(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             for text in batch.column("text").to_pylist():
                 seen.update(text.lower().split())
+                size += len(text)
+                if len(seen) > COUNT_LIMIT or size > COUNT_BYTES:
+                    yield flush()
+                    size = 0
             seen[b""] += batch.num_rows
-            if len(seen) > COUNT_LIMIT:
-                yield flush()
         if seen:
             yield flush()
 
@@ -97,12 +104,37 @@ def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> list[tuple[bytes, int
     return sorted(((bytes(r["word"]), r["n"]) for r in found), key=lambda wn: (-wn[1], wn[0]))
 
 
+def group(word: bytes, groups: int) -> int:
+    return zlib.crc32(word[-TAIL:]) % groups
+
+
+def group_totals(counts: DataFrame, own: list[tuple[bytes, int]], groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
+    """(training tokens, distinct words) of each group, without the model's own words and the end token."""
+    tail = F.when(F.length("word") > TAIL, F.substring("word", -TAIL, TAIL)).otherwise(F.col("word"))
+    found = counts.filter(F.length("word") > 0).groupBy((F.crc32(tail) % groups).alias("g")).agg(F.sum("n").alias("n"), F.count("*").alias("v"))
+    n, v = np.zeros(groups, np.int64), np.zeros(groups, np.int64)
+    for r in found.collect():  # a row per group at most
+        n[r["g"]], v[r["g"]] = r["n"], r["v"]
+    for w, c in own:
+        n[group(w, groups)] -= c
+        v[group(w, groups)] -= 1
+    return n, v
+
+
 class Vocabulary:
-    """Symbols and their classes: END, OTHER, then the most frequent words. A class is a run of the symbols in order of frequency."""
+    """Symbols and their classes: END, OTHER, a symbol per group that has training tokens, then the most frequent words.
 
-    def __init__(self, words: list[bytes], counts: list[int], end: int, other: int) -> None:
-        self.ids = {w: i + 2 for i, w in enumerate(words)}
-        n = np.array([end, other, *counts], float) + 1
+    A class is a run of the symbols in order of frequency. other: the groups' counts; groups without training
+    tokens share OTHER, and so does a single group.
+    """
+
+    def __init__(self, words: list[bytes], counts: list[int], end: int, other: int | np.ndarray) -> None:
+        other = np.atleast_1d(other)
+        met = np.flatnonzero(other) if len(other) > 1 else np.zeros(0, int)
+        self.of = np.full(len(other), OTHER)  # a group's symbol
+        self.of[met] = OTHER + 1 + np.arange(len(met))
+        self.ids = {w: i + OTHER + 1 + len(met) for i, w in enumerate(words)}
+        n = np.array([end, other.sum() - other[met].sum(), *other[met], *counts], float) + 1
         self.share = n / n.sum()
         order = np.argsort(-self.share, kind="stable")
         self.spot = np.empty(len(n), np.int64)  # a symbol's place in that order
@@ -365,11 +397,14 @@ def log_likelihoods(vocab: Vocabulary, p: dict, texts: list[np.ndarray], lanes:
     return total / np.log(10)
 
 
-ENCODED = "row long, doc_id long, symbols binary, n_tokens long, hot_tokens long, others long, own_log double, other_log double, rare array<binary>"
+ENCODED = "row long, doc_id long, symbols binary, n_tokens long, hot_tokens long, inside_log double, own_log double, other_log double, rare array<binary>"
 
 
-def encode(rows: DataFrame, vocab: Vocabulary, known: list[tuple[bytes, int]], end: int) -> DataFrame:
-    """ENCODED rows of (doc_id, text): symbols, the sums of log10(count + 1) over own and other hot words, and the other words that are not hot."""
+def encode(rows: DataFrame, vocab: Vocabulary, known: list[tuple[bytes, int]], end: int, inside: np.ndarray | None = None) -> DataFrame:
+    """ENCODED rows of (doc_id, text): symbols, sums of logarithms, and the other words that are not hot.
+
+    Sums of log10(count + 1) over own and other hot words, and of log10(inside) over all other words' groups.
+    """
     # model words by their symbol, other hot words after them
     places = vocab.ids | {w: len(vocab) + i for i, w in enumerate(w for w, _ in known if w and w not in vocab.ids)}
     logs = np.zeros(len(vocab) + len(places))
@@ -378,22 +413,33 @@ def encode(rows: DataFrame, vocab: Vocabulary, known: list[tuple[bytes, int]], e
         if w:
             logs[places[w]] = np.log10(c + 1)
     own = len(vocab)
-    shared = rows.sparkSession.sparkContext.broadcast((places, logs))
+    # the symbol of each place, and what its group takes off
+    symbol = np.arange(len(logs), dtype=np.int64)
+    for w, at in places.items():
+        if at >= own:
+            symbol[at] = vocab.of[group(w, len(vocab.of))]
+    scale = np.zeros(own)
+    if inside is not None:
+        scale[vocab.of] = np.log10(inside)
+    of = vocab.of
+    shared = rows.sparkSession.sparkContext.broadcast((places, logs, symbol, scale))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, logs = shared.value
+        places, logs, symbol, scale = shared.value
         at = TaskContext.get().partitionId() << 33
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
         for batch in slices(batches):
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 words = text.lower().split()
                 place = np.fromiter(map(places.get, words, itertools.repeat(-1)), np.int32, len(words))
                 other = (place < 0) | (place >= own)
-                rare = [words[i] for i in np.flatnonzero(place < 0).tolist()]
-                s = np.append(np.where(other, OTHER, place), END).astype("<u2")
+                unknown = np.flatnonzero(place < 0)
+                rare = [words[i] for i in unknown.tolist()]
+                s = np.append(symbol[place], END).astype("<u2")
+                s[unknown] = of[[group(w, len(of)) for w in rare]] if rare else []
                 own_log, other_log = logs[END] + logs[place[~other]].sum(), logs[place[place >= own]].sum()
-                out.append((at, doc_id, s.tobytes(), len(s), len(s) - len(rare) - (not end), int(other.sum()), float(own_log), float(other_log), rare))
+                out.append((at, doc_id, s.tobytes(), len(s), len(s) - len(rare) - (not end), float(scale[s].sum()), float(own_log), float(other_log), rare))
                 at += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * len(kinds), kinds)], names=[f.split()[0] for f in ENCODED.split(", ")])
 
@@ -440,15 +486,14 @@ def score(docs: DataFrame) -> DataFrame:
     known = hot_words(counts)
     own = [(w, c) for w, c in known if w][:MODEL_WORDS]
     end = next((c for w, c in known if not w), 0)
-    rest_n = n - end - sum(c for _, c in own)
-    rest_v = v - (end > 0) - len(own)
+    rest_n, rest_v = group_totals(counts, own)
     vocab = Vocabulary([w for w, _ in own], [c for _, c in own], end, rest_n)
-    encoded = stored(encode(rows, vocab, known, end), "encoded")
+    encoded = stored(encode(rows, vocab, known, end, rest_n + rest_v + 1), "encoded")
     model = model_scores(encoded, vocab, train(encoded, vocab))
     rare = encoded.select("row", F.explode("rare").alias("word")).join(counts, "word", "left").groupBy("row").agg(F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("rare_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_log"))
     full = model.join(rare, "row", "left").withColumn("all_other", F.col("other_log") + F.coalesce("rare_log", F.lit(0.0)))
-    whole, inside = float(np.log10(n + v + 1)), float(np.log10(rest_n + rest_v + 1))
+    whole = float(np.log10(n + v + 1))
     return full.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", (F.col("hot_tokens") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("own_log") + F.col("all_other") - F.col("n_tokens") * F.lit(whole)).alias("base_score"), (F.col("model") + F.col("all_other") - F.col("others") * F.lit(inside)).alias("score"),
+        (F.col("own_log") + F.col("all_other") - F.col("n_tokens") * F.lit(whole)).alias("base_score"), (F.col("model") + F.col("all_other") - F.col("inside_log")).alias("score"),
     )

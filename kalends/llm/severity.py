@@ -26,7 +26,7 @@ FEATURE_COUNT = 4096
 MIN_DOCUMENTS = 5
 LEAST_LOG_ODDS, MARKER_LOG_ODDS = 1.0, 2.5
 GRADES = 3
-SCORE_LIMIT = 300_000
+SCORE_LIMIT, LONGEST_KEPT = 300_000, 200  # strings kept by a worker, and their length
 VIRTUAL_WEIGHT = 0.05
 WORD = re.compile(r"\w+")
 
@@ -67,7 +67,9 @@ class Scorer(dict):
         for raw in raws:
             found = self.get(raw)
             if found is None:
-                found = self[raw] = self.parts(raw)
+                found = self.parts(raw)
+                if len(raw) <= LONGEST_KEPT:
+                    self[raw] = found
             if found:
                 hits.update(found)
         return float(sum(hits[w] for w in sorted(hits)))

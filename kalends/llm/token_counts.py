@@ -19,6 +19,7 @@ from kalends.llm.common import ids_and_text, per_row
 
 MARK = "▁"
 LIMIT = 400_000
+LONGEST_KEPT = 200  # longer strings without blanks are counted, never kept
 
 _counters: dict = {}
 
@@ -66,8 +67,9 @@ class Counter(dict):
         if len(self) + len(new) > LIMIT:
             self.seed()
             new = [w for w in dict.fromkeys(words) if w not in self]
-        self.update(zip(new, map(len, self.sp.encode(new, num_threads=1))))
-        return sum(map(self.__getitem__, words))
+        found = dict(zip(new, map(len, self.sp.encode(new, num_threads=1))))
+        self.update((w, n) for w, n in found.items() if len(w) <= LONGEST_KEPT)
+        return sum(found[w] if w in found else self[w] for w in words)
 
     def by_runs(self, text: str) -> int:
         """Texts with runs of blanks go to the library whole."""

@@ -297,6 +297,44 @@ def slow_log_likelihood(vocab, p, symbols):
     return total / np.log(10)
 
 
+def test_gru_scores_by_brute_force(docs, spark, monkeypatch):
+    """The whole score for given parameters: symbols step by step, other words by their group's training counts."""
+    monkeypatch.setattr(gru_lm, "MODEL_WORDS", 5)
+    monkeypatch.setattr(gru_lm, "COUNT_BYTES", 300)
+    rng, used = np.random.default_rng(9), {}
+
+    def train(encoded, vocab):
+        p = {n: (v + rng.standard_normal(v.shape) * 0.1).astype(np.float32) for n, v in vocab.start().items()}
+        used.update(vocab=vocab, p=p)
+        return p
+
+    monkeypatch.setattr(gru_lm, "train", train)
+    texts = ["a b c a b \u00e9t\u00e9 sing ring", "A a B b singing ringing x", "", None, "unseen \u5b57\u5b57 ing", "a b c d e f g h " * 40, "long" * 50 + " a"]
+    rows = [(i, texts[i % len(texts)]) for i in range(40)]
+    got = {r["doc_id"]: r["score"] for r in gru_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    split = {i: (t or "").encode().lower().split() for i, t in rows}
+    seen = collections.Counter(w for i, t in split.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in t)
+    vocab, group = used["vocab"], lambda w: zlib.crc32(w[-3:]) % gru_lm.GROUPS
+    assert len(vocab.ids) == 5 and min(seen[w] for w in vocab.ids) >= max(n for w, n in seen.items() if w not in vocab.ids)
+    inside = collections.Counter()
+    for w, n in seen.items():
+        if w not in vocab.ids:
+            inside[group(w)] += n + 1
+    for i, words in split.items():
+        other = [w for w in words if w not in vocab.ids]
+        symbols = [*(vocab.ids[w] if w in vocab.ids else vocab.of[group(w)] for w in words), gru_lm.END]
+        want = slow_log_likelihood(vocab, used["p"], symbols) + sum(np.log10((seen[w] + 1) / (inside[group(w)] + 1)) for w in other)
+        assert abs(got[i] - want) < 1e-3 * len(symbols), i
+
+
+def test_counters_keep_no_long_strings():
+    path = tokenizer_path("piece_bpe_32k.model")
+    c = token_counts.Counter(path, *token_counts.prove_whole_tokens(path))
+    text = "a " + "\u5b57" * 5000 + " b " + "x" * 200 + " " + "\u5b57" * 5000
+    assert c.count(text) == c.library(text) == c.count(text)
+    assert max(map(len, set(c) - c.whole)) == 200
+
+
 def test_gru_is_a_distribution_and_learns():
     words = [f"w{i}".encode() for i in range(30)]
     vocab = gru_lm.Vocabulary(words, list(range(60, 30, -1)), 10, 5)
