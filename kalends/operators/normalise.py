@@ -28,10 +28,10 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def conform(raw: DataFrame) -> DataFrame:
-    """The declared raw columns, in order; unknown ones are dropped, missing ones are null."""
+def conform(raw: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """The declared raw columns, in order; unknown ones are dropped but for those to carry, missing ones are null."""
     declared = raw.sparkSession.createDataFrame([], schemas.RAW).schema
-    return raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared])
+    return raw.select(*carry, *[(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared])
 
 
 def places(raw: DataFrame) -> DataFrame:
@@ -44,14 +44,25 @@ def places(raw: DataFrame) -> DataFrame:
     )
 
 
+EVENT_COLUMNS = ["ingest_seq", "pricing_reason", *[f.split()[0] for f in schemas.EVENT.split(", ")]]
+
+
 def normalise(raw: DataFrame, as_of: str, hints: list[tuple] = (), once: bool = False) -> tuple[DataFrame, DataFrame]:
     """NRM: (events, rejects). One lazy projection without a shuffle; with once it is stored, for callers that read both.
 
     hints: ordered venue hints (keyword, tags, rainy, city, county). Rejects carry EMPTY_TITLE,
     GENERIC_TITLE, BAD_START or SCHEMA with the field at fault.
     """
+    both = judged(raw, as_of, hints)
+    if once:
+        both = stored(both.select(*EVENT_COLUMNS, "source_id", "raw_title", "reject"), "normalised")
+    return both.filter("reject is null").select(*EVENT_COLUMNS), both.filter("reject is not null").select("ingest_seq", "source_id", "raw_title", "source_url", F.col("reject").alias("reason"))
+
+
+def judged(raw: DataFrame, as_of: str, hints: list[tuple] = (), carry: list[str] = ()) -> DataFrame:
+    """NRM in one frame: EVENT_COLUMNS, source_id, raw_title, reject (null for an event) and the columns to carry."""
     year = int(as_of[:4])
-    df = conform(raw)
+    df = conform(raw, carry)
     df = df.withColumns({"_title": clean_title(F.col("title")), "_start": parse_datetime(F.coalesce(blank(F.col("start_text")), F.col("date_text")), year), "_end": parse_datetime(F.col("end_text"), year), "summary": clean_summary(F.col("summary_text")), "_place": location(F.col("location_text"))})
     df = df.withColumns({
         "raw_title": F.col("title"), "title": title_case(F.col("_title")), "start": F.col("_start"), "end": F.col("_end"), "location_name": F.col("_place")["location_name"], "location_address": F.col("_place")["location_address"],
@@ -74,11 +85,7 @@ def normalise(raw: DataFrame, as_of: str, hints: list[tuple] = (), once: bool =
     df = df.withColumn("short_note", short_note(c("summary"), c("tags"), c("title"), c("cost_type"), c("price_text"), c("location_name"), c("city"), c("county"), c("age_min"), c("age_max")))
     df = df.withColumns({"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double"), "geo_confidence": F.lit(None).cast("double"), "is_mappable": F.lit(False), "geo_within_service_region": F.lit(False), "last_verified_at": F.to_timestamp(F.lit(as_of))})
     why = F.when(F.coalesce(F.trim("raw_title"), F.lit("")) == "", "EMPTY_TITLE").when(F.col("title").isNull(), "GENERIC_TITLE").when(F.col("start").isNull(), "BAD_START").when(reject_reason().isNotNull(), F.concat(F.lit("SCHEMA:"), reject_reason()))
-    judged = fenced(df, "reject", why)
-    names = [f.split()[0] for f in schemas.EVENT.split(", ")]
-    if once:
-        judged = stored(judged.select("ingest_seq", "pricing_reason", *names, "source_id", "raw_title", "reject"), "normalised")
-    return judged.filter("reject is null").select("ingest_seq", "pricing_reason", *names), judged.filter("reject is not null").select("ingest_seq", "source_id", "raw_title", "source_url", F.col("reject").alias("reason"))
+    return fenced(df, "reject", why)
 
 
 def published_to_raw(events: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from kalends.plans import inventory, queries
+from kalends.plans import growing, inventory, queries
 from kalends.plans.queries import ORACLES, QUERIES
 
 DIR = "/root/testdata/sf0.001"
@@ -38,7 +38,7 @@ def plain(df: pd.DataFrame) -> list[tuple]:
     return sorted((tuple(one(v) for v in row) for row in df[sorted(df.columns)].itertuples(index=False)), key=str)
 
 
-MORE = [n for n, q in QUERIES.items() if q.__module__ == inventory.__name__]
+MORE = [n for n, q in QUERIES.items() if q.__module__ in (inventory.__name__, growing.__name__)]
 
 
 @pytest.mark.parametrize("name", QUICK + MORE)
