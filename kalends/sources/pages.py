@@ -116,7 +116,12 @@ class Facts(HTMLParser):
             self.handle_endtag(tag)
 
 
-FACTS = "meta map<string,string>, page_title string, anchors array<struct<text: string, href: string>>, json_ld array<string>, times array<string>, price_texts array<string>, body string, cards array<struct<title: string, time: string, place: string, summary: string, price: string, href: string, image: string>>"
+FACTS = {
+    "meta": "map<string,string>", "page_title": "string", "anchors": "array<struct<text: string, href: string>>", "json_ld": "array<string>", "times": "array<string>", "price_texts": "array<string>", "body": "string",
+    "cards": "array<struct<title: string, time: string, place: string, summary: string, price: string, href: string, image: string>>",
+}
+#: Characters of html whose facts are held at once; a longer page is alone.
+HELD = 1 << 20
 
 
 FIELDS = ["title", "time", "place", "summary", "price"]
@@ -141,21 +146,41 @@ def card_fields(facts: Facts, profile: dict[str, list[str]] | None) -> list[dict
     return cards
 
 
-def page_facts(pages: DataFrame, layout: str | None = None, url: str = "url", html: str = "html", keep: list[str] = ()) -> DataFrame:
-    """(url, facts..., kept string columns) for every row of pages; null html has empty facts. Malformed html never fails a row."""
+def portions(texts: list[str | None], most: int = HELD) -> Iterator[slice]:
+    """Ranges of texts with so many characters at most, or of one text."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        size = len(t or "")
+        if i > start and held + size > most:
+            yield slice(start, i)
+            start, held = i, 0
+        held += size
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def page_facts(pages: DataFrame, layout: str | None = None, url: str = "url", html: str = "html", keep: list[str] = (), want: list[str] = tuple(FACTS)) -> DataFrame:
+    """(url, wanted facts, kept string columns) for every row of pages; null html has empty facts. Malformed html never fails a row.
+
+    Facts leave a task in portions, so a batch of many pages is never held as facts at once.
+    """
     profile = LAYOUTS[layout] if layout else None
+    made = {
+        "meta": lambda f: f.meta, "page_title": lambda f: f.page_title or None, "anchors": lambda f: [{"text": t, "href": x} for t, x in f.anchors], "json_ld": lambda f: f.json_ld, "times": lambda f: f.times,
+        "price_texts": lambda f: f.prices, "body": lambda f: " ".join("".join(f.body).split()), "cards": lambda f: card_fields(f, profile),
+    }
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for u, h in zip(pdf[url], pdf[html]):
-                f = read_page(h, profile)
-                cards = card_fields(f, profile)
-                out.append((u, f.meta, f.page_title or None, [{"text": t, "href": x} for t, x in f.anchors], f.json_ld, f.times, f.prices, " ".join("".join(f.body).split()), cards))
-            facts = pd.DataFrame(out, columns=["url", "meta", "page_title", "anchors", "json_ld", "times", "price_texts", "body", "cards"])
-            yield facts.assign(**{k: pdf[k].to_numpy() for k in keep})
+            for at in portions(pdf[html].tolist()):
+                some = pdf.iloc[at]
+                out = []
+                for u, h in zip(some[url], some[html]):
+                    f = read_page(h, profile)
+                    out.append((u, *[made[n](f) for n in want]))
+                yield pd.DataFrame(out, columns=["url", *want]).assign(**{k: some[k].to_numpy() for k in keep})
 
-    return pages.select(url, html, *keep).mapInPandas(run, f"url string, {FACTS}" + "".join(f", {k} string" for k in keep))
+    return pages.select(url, html, *keep).mapInPandas(run, "url string" + "".join(f", {n} {FACTS[n]}" for n in want) + "".join(f", {k} string" for k in keep))
 
 
 def absolute(href: Column, base: Column) -> Column:
@@ -166,7 +191,7 @@ def absolute(href: Column, base: Column) -> Column:
 
 def cards(pages: DataFrame, layout: str, source_id: str, source_name: str) -> DataFrame:
     """SRC3-SRC6: raw records from listing pages, 0 to n per page; cards without a title or a link are left out."""
-    return records(page_facts(pages, layout).select(F.col("url").alias("page_url"), F.inline("cards")), source_id, source_name)
+    return records(page_facts(pages, layout, want=["cards"]).select(F.col("url").alias("page_url"), F.inline("cards")), source_id, source_name)
 
 
 def records(c: DataFrame, source_id: str, source_name: str) -> DataFrame:
@@ -183,7 +208,7 @@ def records(c: DataFrame, source_id: str, source_name: str) -> DataFrame:
 
 def seed_candidates(pages: DataFrame, source_name: str, layout: str = "aggregator") -> DataFrame:
     """SRC9: candidates (title, date, place, detail page) from an aggregator's listing pages."""
-    c = page_facts(pages, layout).select(F.col("url").alias("page_url"), F.inline("cards")).filter(F.coalesce(F.trim("title"), F.lit("")) != "")
+    c = page_facts(pages, layout, want=["cards"]).select(F.col("url").alias("page_url"), F.inline("cards")).filter(F.coalesce(F.trim("title"), F.lit("")) != "")
     return c.select(F.lit(source_name).alias("seed_source_name"), F.coalesce(absolute(F.col("href"), F.col("page_url")), F.col("page_url")).alias("seed_url"), squeeze(F.col("title")).alias("discovered_title"), F.col("time").alias("discovered_date_text"), F.col("place").alias("discovered_location_text"))
 
 
@@ -257,7 +282,7 @@ def with_detail_price(records: DataFrame, pages: DataFrame, cap: int | None = No
     from pyspark.sql import Window
 
     priced, bare = records.filter(blank(F.col("price_text")).isNotNull()), records.filter(blank(F.col("price_text")).isNull())
-    facts = page_facts(pages.groupBy("url").agg(F.min("html").alias("html"))).select(F.col("url").alias("source_url"), detail_price(F.col("price_texts"), F.col("body")).alias("_price"))
+    facts = page_facts(pages.groupBy("url").agg(F.min("html").alias("html")), want=["price_texts", "body"]).select(F.col("url").alias("source_url"), detail_price(F.col("price_texts"), F.col("body")).alias("_price"))
     met = bare.join(facts, "source_url", "left")
     if cap is not None:
         met = met.withColumn("_n", F.row_number().over(Window.partitionBy("source_id").orderBy("ingest_seq"))).withColumn("_price", F.when(F.col("_n") <= cap, F.col("_price"))).drop("_n")

@@ -7,6 +7,7 @@ import pytest
 
 from kalends.plans import oracles
 from kalends.plans.queries import ORACLES, QUERIES
+from kalends.sources import pages
 from tests.test_queries import DIR, plain
 
 
@@ -41,3 +42,11 @@ def test_discovery_where_pages_repeat_urls(spark, tmp_path):
     got = plain(QUERIES["pipe2_discovery"](spark, str(tmp_path)).toPandas())
     assert got == plain(duck(tmp_path, "orders", "pages").execute(ORACLES["pipe2_discovery"]).df())
     assert {r[1] for r in got} >= {"resolved", "shared_site_link", "no_original_url_found"}
+
+
+def test_facts_leave_a_task_in_portions(spark):
+    """No frame holds facts of more html than the bound, whatever the batch; a longer page is alone and no page is lost."""
+    assert [(s.start, s.stop) for s in pages.portions(["aaaa", "bb", None, "c", "dddddddd", "e"], 6)] == [(0, 3), (3, 4), (4, 5), (5, 6)] and not list(pages.portions([]))
+    rows = spark.range(0, 60, 1, 1).selectExpr("string(id) as url", "concat('<a href=\"/', id, '\">', repeat('x', 100000), '</a>') as html")
+    got = pages.page_facts(rows, want=["anchors"])
+    assert got.columns == ["url", "anchors"] and got.selectExpr("url", "anchors[0].href").distinct().count() == 60
