@@ -45,24 +45,45 @@ CLASSIFIED = ["rows", "rejected", "empty_title", "generic_title", "bad_start", "
 KEPT = ["kept", "free", "paid", "donation", "unknown", "failed", "errors", "warnings"]
 
 
-def run(raw: DataFrame, as_of: str, week: str | None = None, path: str | None = None, hints: Sequence[tuple] = (), banned_hosts: Sequence[str] = (), family_only: bool = False, attempts: int = 10) -> Told:
-    """Normalise, drop past rows and other weeks, deduplicate, filter by relevance if asked, validate, publish.
+@dataclass(frozen=True)
+class Classified:
+    """Stored rows, classified for a day and a week, with their counts; any number of runs may read them."""
 
-    Without a path it is a dry run: the same counts, and no row is written but in the scratch folder. With
-    family_only rows below the threshold are left out unless they are more than the guard's share (FLT4).
-    Survivors have unique ids, so their errors are those of rows. What deduplication took (AGG14) is before_dedupe less survivors.
-    """
-    spark = raw.sparkSession
+    rows: DataFrame
+    counts: dict[str, int]
+    as_of: str
+    week: str | None
+
+
+def classify(raw: DataFrame, as_of: str, week: str | None = None, hints: Sequence[tuple] = ()) -> Classified:
+    """The first write of a run: all rows, classified once."""
     reject, event = F.col("reject"), F.col("reject").isNull()
     past = event & ~filters.upcoming(as_of)
     away = event & filters.upcoming(as_of) & ~filters.in_week(week) if week else F.lit(False)
-    first, second = Observation(), Observation()
+    seen = Observation()
     classified = judged(raw, as_of, list(hints)).select(*EVENT_COLUMNS, "reject").observe(
-        first, F.count(F.lit(1)).alias("rows"),
+        seen, F.count(F.lit(1)).alias("rows"),
         *_counts(rejected=~event, empty_title=reject == "EMPTY_TITLE", generic_title=reject == "GENERIC_TITLE", bad_start=reject == "BAD_START", schema=reject.startswith("SCHEMA"), past=past, other_week=away, before_dedupe=event & ~past & ~away),
     )
     rows = stored(classified, "classified")
-    counts = _got(first, CLASSIFIED)
+    return Classified(rows, _got(seen, CLASSIFIED), as_of, week)
+
+
+def run(raw: DataFrame, as_of: str, week: str | None = None, path: str | None = None, hints: Sequence[tuple] = (), banned_hosts: Sequence[str] = (), family_only: bool = False, attempts: int = 10) -> Told:
+    """classify() and finish() in one."""
+    return finish(classify(raw, as_of, week, hints), path, banned_hosts, family_only, attempts)
+
+
+def finish(given: Classified, path: str | None = None, banned_hosts: Sequence[str] = (), family_only: bool = False, attempts: int = 10) -> Told:
+    """Drop past rows and other weeks, deduplicate, filter by relevance if asked, validate, publish.
+
+    Without a path it is a dry run: the same counts, and no row is written but in the scratch folder. With
+    family_only rows below the threshold are left out unless they are more than the guard's share (FLT4).
+    Survivors have unique ids, so their errors are those of rows. What deduplication took (AGG14) is before_dedupe less survivors.
+    """
+    rows, as_of, week = given.rows, given.as_of, given.week
+    spark, event, second = rows.sparkSession, F.col("reject").isNull(), Observation()
+    counts = dict(given.counts)
     kept = rows.filter(event & filters.upcoming(as_of) & (filters.in_week(week) if week else F.lit(True))).drop("reject")
     survivors = quality.with_issues(deduplicate(kept), list(banned_hosts))
     low = F.coalesce(F.col("family_relevance_score") < rules.PUBLISH_THRESHOLD, F.lit(False)) if family_only else F.lit(False)

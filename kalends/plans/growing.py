@@ -53,9 +53,9 @@ _COUNTERS = ["before_dedupe", "donation", "errors", "excluded", "free", "kept",
   select run, case when run = 'open' or (run = 'closed' and errors = 0) then kept else 0 end as published, {', '.join(c if c == 'errors' else f'counts.{c} as {c}' for c in _COUNTERS)} from runs, counts"""))
 def snk9_counted_publish(spark, d):
     """SNK9, AGG9, AGG14: a dry run, a run whose gate stays closed while a source is banned, and one that publishes; counters and rows in force after each."""
-    raw, base, out = fx.raw_listing(spark, d), scratch(spark, "counted"), None
+    classified, base, out = counted.classify(fx.raw_listing(spark, d), fx.AS_OF), scratch(spark, "counted"), None
     for name, path, banned in [("dry", None, []), ("closed", f"{base}/closed", ["src1."]), ("open", f"{base}/open", [])]:
-        told = counted.run(raw, fx.AS_OF, path=path, banned_hosts=banned, family_only=True)
+        told = counted.finish(classified, path=path, banned_hosts=banned, family_only=True)
         there = counted.published(spark, path) if path else None
         held = spark.range(1).select(L(0).cast("long").alias("published")) if there is None else there.agg(F.count("*").alias("published"))
         row = held.select(L(name).alias("run"), "published", *[L(told.counts[c]).cast("long").alias(c) for c in _COUNTERS])
