@@ -8,6 +8,7 @@ import pytest
 from kalends.plans import oracles
 from kalends.plans.queries import ORACLES, QUERIES
 from kalends.sources import pages
+from kalends.streaming import first_seen
 from tests.test_queries import DIR, plain
 
 
@@ -50,3 +51,22 @@ def test_facts_leave_a_task_in_portions(spark):
     rows = spark.range(0, 60, 1, 1).selectExpr("string(id) as url", "concat('<a href=\"/', id, '\">', repeat('x', 100000), '</a>') as html")
     got = pages.page_facts(rows, want=["anchors"])
     assert got.columns == ["url", "anchors"] and got.selectExpr("url", "anchors[0].href").distinct().count() == 60
+
+
+def test_first_arrivals_share_buckets(spark, tmp_path, monkeypatch):
+    """Keys of one bucket are told and forgotten each for itself, and the bucket is one state."""
+    monkeypatch.setattr(first_seen, "BUCKETS", 1)
+    own, base, told = first_seen.stateful(spark), f"file://{tmp_path}", []
+    batches = [[(5, "u", 1), (7, "v", 1), (9, "w", 3)], [(8, "v", 4), (4, "u", 4)], [(10, "x", 40)], [(3, "x", 41)], [(11, "u", 41), (2, "x", 41)]]
+    for rows in batches:
+        df = spark.createDataFrame(rows, "ingest_seq long, source_url string, day int")
+        df.selectExpr("ingest_seq", "'a' as source_id", "source_url", "timestamp'2024-01-01' + make_dt_interval(day) as at").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = own.readStream.schema("ingest_seq long, source_id string, source_url string, at timestamp").parquet(f"{base}/in")
+        first_seen.first_by_arrival(stream, "at").writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/c").trigger(availableNow=True).start().awaitTermination()
+        now = [tuple(r)[1:] for r in spark.read.schema(first_seen.OUT).parquet(f"{base}/out").collect()]
+        told.append(sorted(set(now) - {r for t in told for r in t}, key=str))
+    assert told[0] == [("u", 5, "first", None), ("v", 7, "first", None), ("w", 9, "first", None)] and told[1] == [("u", 4, "correction", 5)]
+    assert told[2] == [("x", 10, "first", None)] and told[3] == [("x", 3, "correction", 10)]
+    assert told[4] == [("u", 11, "first", None), ("x", 2, "correction", 3)]
+    states = own.read.format("statestore").option("path", f"{base}/c").option("stateVarName", "rows").load()
+    assert states.count() == 1
