@@ -7,7 +7,7 @@ import pytest
 
 from kalends.plans import oracles
 from kalends.plans.queries import ORACLES, QUERIES
-from kalends.sources import pages
+from kalends.sources import landing, pages, publish
 from kalends.streaming import first_seen
 from tests.test_queries import DIR, plain
 
@@ -70,3 +70,16 @@ def test_first_arrivals_share_buckets(spark, tmp_path, monkeypatch):
     assert told[4] == [("u", 11, "first", None), ("x", 2, "correction", 3)]
     states = own.read.format("statestore").option("path", f"{base}/c").option("stateVarName", "rows").load()
     assert states.count() == 1
+
+
+def test_weeks_are_published_in_portions(spark, tmp_path, monkeypatch):
+    """No document holds more events than a portion, none is lost, and parts in order are the week in order."""
+    monkeypatch.setattr(publish, "PORTION_BITS", 3)
+    rows = spark.range(0, 100).selectExpr("string(id) as id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(int(id * 7 % 14)) as start", "'T' || (id * 31 % 10) as title", "'S' as source_name", "'https://h' || (id % 5) || '.org/x' as source_url")
+    got = publish.envelopes(rows, "now").orderBy("week_start", "part").collect()
+    assert {(r["week_start"], r["event_count"], r["source_count"]) for r in got} == {("2024-01-01", 50, 5), ("2024-01-08", 50, 5)} and max(len(r["events"]) for r in got) <= 8
+    told = [(e["start"], e["title"], e["id"]) for r in got for e in r["events"]]
+    assert told == sorted(told) and len({t[2] for t in told}) == 100
+    publish.write_envelopes(rows, str(tmp_path / "weeks"), "now")
+    files = list((tmp_path / "weeks").glob("week_start=*/*.json"))
+    assert len(files) == len(got) and landing.published_week(spark, str(tmp_path / "weeks")).select("week_start", "id").distinct().count() == 100
