@@ -689,6 +689,21 @@ def test_keep_one_goes_by_row_not_by_id(spark, empty):
     assert simhash.keep_one(empty).count() == 0 and simhash.similar_groups(empty).count() == 0
 
 
+def test_components_plans_stay_small(spark, monkeypatch):
+    """Each step that is written reads its links a few times; plans of two whole rounds read them 144 times."""
+    leaves, stored = [], comp.stored
+
+    def counted(df, name):
+        leaves.append(df._jdf.queryExecution().analyzed().collectLeaves().size())
+        return stored(df, name)
+
+    monkeypatch.setattr(comp, "stored", counted)
+    links = spark.range(40).selectExpr("id as a", "id + 1 as b").filter("a % 10 <> 9")
+    got = {r["node"]: r["component"] for r in comp.components(links).collect()}
+    assert got == {n: n - n % 10 for n in range(40)}
+    assert max(leaves) <= 5
+
+
 def test_components(spark):
     links = spark.createDataFrame([(5, 4), (4, 3), (9, 9), (3, 2), (20, 10), (10, 30), (2, 1), (2, 1)], "a long, b long")
     got = {r["node"]: r["component"] for r in comp.components(links).collect()}
