@@ -7,8 +7,9 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from kalends.functions import gates
-from kalends.operators import dedupe, scores, tags
+from kalends.functions import gates, text
+from kalends.functions.store import stored
+from kalends.operators import dedupe, notes, quality, scores, tags
 from kalends.plans import oracles, queries
 from kalends.plans.queries import ORACLES, QUERIES
 from kalends.sources import landing, pages, publish
@@ -137,6 +138,32 @@ def test_no_date_is_parsed_in_the_tasks_of_a_scan(spark):
     assert "short_note" not in above.split("max_by", 1)[1] and "matched_patterns" not in above
 
 
+def test_notes_by_columns_are_the_notes(spark):
+    """with_short_note() gives what short_note() gives, without lambdas, which are interpreted row by row."""
+    texts = [None, "", "Fun for all.", "Two parts. Both long", "Join us", "<p>Songs and</p> crafts", "x" * 130]
+    rows = [(s, t, title, cost, price, place, "Vienna" if i % 3 else None, "Fairfax" if i % 2 else " ", low, None if i % 4 else 9)
+            for i, (s, t) in enumerate((s, t) for s in texts for t in (None, [], ["swim", "sports", "indoor"], ["toddler", "virtual"], ["all_ages", "outdoor", "storytime"]))
+            for title, cost, price, place, low in (("Swim", "paid", "$5 - " + "long " * 12, "Pool " * 50, None), (None, "free", None, "Virtual", 0), ("ice", None, "", None, 3))]
+    df = spark.createDataFrame(rows, "summary string, tags array<string>, title string, cost_type string, price_text string, location_name string, city string, county string, age_min int, age_max int")
+    c = F.col
+    want = notes.short_note(c("summary"), c("tags"), c("title"), c("cost_type"), c("price_text"), c("location_name"), c("city"), c("county"), c("age_min"), c("age_max"))
+    both = notes.with_short_note(df.withColumn("want", want))
+    assert both.columns == [*df.columns, "want", "short_note"]
+    assert both.filter("not (want <=> short_note)").count() == 0 and both.select("want").distinct().count() > 20
+    assert "lambda" not in notes.with_short_note(df).select("short_note")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_issues_without_a_filter_over_structs(spark):
+    df = stored(queries.events(spark, DIR), "events")
+    found = quality.with_issues(df, ["src1.", "x.org"])
+    assert "filter(array(" not in found.select("issues")._jdf.queryExecution().optimizedPlan().toString()
+    table = quality.rule_table(["src1.", "x.org"])
+    plain_form = F.array_compact(F.array(*[F.when(cond, F.struct(F.lit(code).alias("rule"), F.lit(severity).alias("severity"), F.lit(message).alias("message"))) for code, severity, message, cond in table]))
+    assert found.withColumn("want", plain_form).filter("not (issues <=> want)").count() == 0
+    told = spark.createDataFrame([("Fun at St. Mary. Bring Dr. Smith.",), ("One.  Two",), ("One. two",), ("A",), ("",), (None,), ("Dr. Smith",)], "t string")
+    assert [r[0] for r in told.select(text.several_sentences(F.col("t"))).collect()] == [True, True, False, False, False, False, False]
+
+
 def test_survivors_with_some_columns(spark):
     rows = queries.upcoming(spark, DIR).filter("ingest_seq < 300")
     some = dedupe.deduplicate(rows, ["id", "price_text"])
