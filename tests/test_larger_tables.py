@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kalends.functions import gates, text
 from kalends.functions.store import stored
 from kalends.operators import dedupe, notes, quality, scores, tags
-from kalends.plans import oracles, queries
+from kalends.plans import listing, oracles, queries
 from kalends.plans.queries import ORACLES, QUERIES
 from kalends.sources import landing, pages, publish
 from kalends.streaming import first_seen
@@ -138,6 +138,14 @@ def test_no_date_is_parsed_in_the_tasks_of_a_scan(spark):
     assert "short_note" not in above.split("max_by", 1)[1] and "matched_patterns" not in above
 
 
+def test_tasks_become_more_with_the_rows(spark, monkeypatch):
+    """A task holds a bounded number of keys, however few cores there are."""
+    few = listing.orders(spark, DIR).rdd.getNumPartitions()
+    monkeypatch.setattr(listing, "TASK_ROWS", 20, raising=False)
+    keys = listing.orders(spark, DIR)
+    assert keys.rdd.getNumPartitions() >= keys.count() / 20 > few
+
+
 def test_notes_by_columns_are_the_notes(spark):
     """with_short_note() gives what short_note() gives, without lambdas, which are interpreted row by row."""
     texts = [None, "", "Fun for all.", "Two parts. Both long", "Join us", "<p>Songs and</p> crafts", "x" * 130]
