@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from kalends.functions import gates, text
+from kalends.functions import dates, gates, text
 from kalends.functions.store import stored
 from kalends.operators import dedupe, notes, quality, scores, tags
 from kalends.plans import listing, oracles, queries
@@ -176,3 +176,20 @@ def test_survivors_with_some_columns(spark):
     rows = queries.upcoming(spark, DIR).filter("ingest_seq < 300")
     some = dedupe.deduplicate(rows, ["id", "price_text"])
     assert some.columns == ["id", "price_text"] and sorted(map(tuple, some.collect()), key=str) == sorted(map(tuple, dedupe.deduplicate(rows).select("id", "price_text").collect()), key=str)
+
+
+def test_fenced_values_are_compiled(spark):
+    """A generator interprets its own expressions, so it is given a column; a filter still stays above it."""
+    plan = QUERIES["agg3_reasons"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
+    inside = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert len(inside) >= 3 and not any("gettimestamp" in line or "CASE WHEN" in line for line in inside)
+
+
+def test_ready_dates_are_read_as_all_others(spark):
+    """Texts in the first format skip the steps of other wordings, with the same result: a space before them takes the long way."""
+    texts = ["2024-01-05 10:00:00", "2024-02-29 23:59:59", "2025-02-29 10:00:00", "2024-13-01 10:00:00", "2024-01-05 24:00:00", "2023-05-01 10:00:00", "2023-02-29 10:00:00", "0000-01-01 00:00:00", "9999-12-31 00:00:00", "2024-01-05 10:00:00\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(map(str, r)) for r in df.select(dates.parse_datetime(F.col("t"), 2024), dates.parse_datetime(F.concat(F.lit("at "), "t"), 2024)).collect()]
+    assert all(a == b for a, b in got) and got[0][0] == "2024-01-05 10:00:00" and got[5][0] == "2024-05-01 10:00:00"
+    early = df.select(dates.parse_datetime(F.col("t"), 2024).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert dates.READY in early
