@@ -193,3 +193,16 @@ def test_ready_dates_are_read_as_all_others(spark):
     assert all(a == b for a, b in got) and got[0][0] == "2024-01-05 10:00:00" and got[5][0] == "2024-05-01 10:00:00"
     early = df.select(dates.parse_datetime(F.col("t"), 2024).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
     assert dates.READY in early
+
+
+def test_gates_of_places_hide_nothing(spark):
+    parts = ["12 Elm St", "StReston", "Ave.Vienna", "SW", "NE.Fairfax", "NWOak", "VA", "22150", "VA22150", "22150Burke", "PkwyTown", "mount vernon", "Arlington", ".", " "]
+    texts = [a + s + b for a in parts for b in parts for s in ("", " ")]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    plain_form = F.col("t")
+    for pattern, by in text.rules.ADDRESS_SPACING:
+        plain_form = F.regexp_replace(plain_form, pattern, by)
+    assert df.filter(~text.address_spacing(F.col("t")).eqNullSafe(text.squeeze(plain_form))).count() == 0
+    assert df.filter(F.col("t").rlike(text.RUN_TOGETHER)).count() > 50
+    named = {t: next(((n, w.title()) for n, some in text.rules.COUNTIES.items() for w in some if w in t.lower()), (None, None)) for t in texts}
+    assert all(tuple(r["c"]) == named[r["t"]] for r in df.filter("t is not null").select("t", text.county_of(F.col("t")).alias("c")).collect())
