@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kalends.functions import dates, gates, text
 from kalends.functions.store import stored
-from kalends.operators import dedupe, notes, quality, scores, tags
+from kalends.operators import dedupe, notes, pricing, quality, scores, tags
 from kalends.plans import listing, oracles, queries
 from kalends.plans.queries import ORACLES, QUERIES
 from kalends.sources import landing, pages, publish
@@ -206,3 +206,9 @@ def test_gates_of_places_hide_nothing(spark):
     assert df.filter(F.col("t").rlike(text.RUN_TOGETHER)).count() > 50
     named = {t: next(((n, w.title()) for n, some in text.rules.COUNTIES.items() for w in some if w in t.lower()), (None, None)) for t in texts}
     assert all(tuple(r["c"]) == named[r["t"]] for r in df.filter("t is not null").select("t", text.county_of(F.col("t")).alias("c")).collect())
+
+
+def test_no_price_rule_is_tried_twice(spark):
+    df = spark.createDataFrame([], "t string, p string, l boolean, q boolean")
+    plan = df.select(pricing.reason(*map(F.col, "tplq")).alias("why"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(gates.trie_pattern(pricing.SURE["explicit"])) == 1
