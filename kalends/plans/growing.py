@@ -71,9 +71,10 @@ def ded4_incremental(spark, d):
     """DED4, PIPE3 by increments: a first run over other titles for one row in a hundred, and rows that go; the second classifies only what changed."""
     raw, path = fx.raw_listing(spark, d), scratch(spark, "delta")
     gone = raw.filter("ingest_seq % 100 = 50").withColumn("ingest_seq", -F.col("ingest_seq")).withColumn("title", F.concat("title", L(" and more")))
-    delta.refresh(raw.withColumn("title", F.when(F.expr(_DELTA), "Another Storytime").otherwise(F.col("title"))).unionByName(gone), fx.AS_OF, path)
-    told = delta.refresh(raw, fx.AS_OF, path)
-    return delta.survivors(spark, path, fx.AS_OF).select("id", "ingest_seq", "title", "start", "cost_type", L(told["classified"]).cast("long").alias("classified"), L(told["rows"]).cast("long").alias("row_count"))
+    columns = ["id", "ingest_seq", "title", "start", "cost_type"]
+    delta.refresh(raw.withColumn("title", F.when(F.expr(_DELTA), "Another Storytime").otherwise(F.col("title"))).unionByName(gone), fx.AS_OF, path, columns=columns)
+    told = delta.refresh(raw, fx.AS_OF, path, columns=columns)
+    return delta.survivors(spark, path, fx.AS_OF).select(*columns, L(told["classified"]).cast("long").alias("classified"), L(told["rows"]).cast("long").alias("row_count"))
 
 
 @query(f"with {sql.CANDIDATES}, n as (select count(*) as n from cand) select url, count(*) as hits from cand, n where url is not null group by url, n having count(*) >= greatest(20, ceil(0.15::double * n))")

@@ -7,10 +7,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from kalends.functions import dates, gates, text
+from kalends.functions import dates, gates, sieve, text
 from kalends.functions.store import stored
 from kalends.operators import dedupe, notes, pricing, quality, scores, tags
-from kalends.plans import listing, oracles, queries
+from kalends.plans import delta, listing, oracles, queries
 from kalends.plans.queries import ORACLES, QUERIES
 from kalends.sources import landing, pages, publish
 from kalends.streaming import first_seen
@@ -212,3 +212,68 @@ def test_no_price_rule_is_tried_twice(spark):
     df = spark.createDataFrame([], "t string, p string, l boolean, q boolean")
     plan = df.select(pricing.reason(*map(F.col, "tplq")).alias("why"))._jdf.queryExecution().analyzed().toString()
     assert plan.count(gates.trie_pattern(pricing.SURE["explicit"])) == 1
+
+
+def shuffled(spark):
+    """Bytes that all stages of the session have written for shuffles."""
+    lists = spark._jvm.java.util
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(lists.ArrayList(), False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), lists.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_increments_move_digests_alone(spark, tmp_path):
+    """A second run over few changes shuffles digests, not rows: raw rows, segments and best rows stay where they lie."""
+    raw = queries.fx.raw_listing(spark, "/root/testdata/sf0.01")
+    delta.refresh(raw.filter("ingest_seq % 100 <> 7"), "2024-01-15", f"file://{tmp_path}/d")
+    before = shuffled(spark)
+    assert delta.refresh(raw, "2024-01-15", f"file://{tmp_path}/d") == {"rows": 15_000, "classified": 150}
+    assert 0 < shuffled(spark) - before < 15_000 * 120
+
+
+def test_a_row_moves_once_at_most_to_be_classified(spark, tmp_path):
+    """A first run over rows of which some are repeated: each is classified once, and rejects are met but not kept."""
+    raw = queries.fx.raw_listing(spark, DIR).filter("ingest_seq < 300")
+    some = raw.filter("ingest_seq < 20").withColumn("title", F.when(F.col("ingest_seq") > 3, F.col("title")))
+    rows, path = raw.filter("ingest_seq >= 20").unionByName(some).unionByName(some).unionByName(some), f"file://{tmp_path}/d"
+    assert delta.refresh(rows, "2024-01-15", path) == {"rows": 300, "classified": 300}
+    assert delta.refresh(raw.filter("ingest_seq >= 20").unionByName(some), "2024-01-15", path) == {"rows": 300, "classified": 0}
+    assert spark.read.parquet(f"{path}/data/*/rows").count() == 296
+
+
+def test_increments_with_some_columns(spark, tmp_path):
+    """The state holds what the caller reads, the survivors are the same, and other columns start over."""
+    raw, path = queries.fx.raw_listing(spark, DIR).filter("ingest_seq < 300"), f"file://{tmp_path}/d"
+    for n in (200, 300):
+        delta.refresh(raw.filter(f"ingest_seq < {n}"), "2024-01-15", path, columns=["price_text"])
+    some = delta.survivors(spark, path, "2024-01-15")
+    assert set(some.columns) == {*delta.READ, "price_text"}
+    want = dedupe.deduplicate(queries.upcoming(spark, DIR).filter("ingest_seq < 300"), some.columns)
+    assert sorted(map(tuple, some.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert delta.refresh(raw, "2024-01-15", path, columns=["tags"])["classified"] == 300
+
+
+def test_no_digest_is_derived_twice(spark):
+    rows = delta.keyed(queries.fx.raw_listing(spark, DIR))
+    plan = sieve.among(rows, rows.select("digest").limit(3), "digest")._jdf.queryExecution().executedPlan().toString()
+    assert not any("sha2" in line for line in plan.splitlines() if "Filter" in line)
+
+
+def test_digests_tell_rows_apart(spark):
+    rows = [("1:a", None, ["x", None]), ("1", "a", ["x"]), (None, "1:a", []), ("-", None, None), (None, "-", None), (None, None, None), ("", None, None), (None, "", None), ("é", "a", ["null"]), ("a", "b", ["x,y"]), ("a", "b", ["x", "y"])]
+    df = delta.keyed(spark.createDataFrame(rows + rows, "title string, city string, extra_tags array<string>"))
+    assert df.select("digest").distinct().count() == len(rows) and {len(r["digest"]) for r in df.collect()} == {16}
+
+
+@pytest.mark.parametrize("bits", [15, 26])
+def test_sieves_are_joins(spark, monkeypatch, bits):
+    """Whatever the keys: none, null, repeated, and more than a bitmap of that size tells apart."""
+    monkeypatch.setattr(sieve, "BITS", bits)
+    df = spark.range(0, 40_000, 1, 3).selectExpr("if(id % 5000 = 3, null, string(id div 2)) as k", "id")
+    told = lambda rows: sorted(r["id"] for r in rows.collect())
+    for keys in ("id < 0", "id % 1000 < 3", "id % 3 > 0"):
+        some = df.filter(keys).select("k")
+        among, without = told(sieve.among(df, some, "k")), told(sieve.without(df, some, "k"))
+        assert among == told(df.join(some, "k", "left_semi")) and without == told(df.join(some, "k", "left_anti"))
+        assert len(among) + len(without) == 40_000
+    passed = sieve.sifted(df, df.filter("id % 1000 < 3").select("k"), "k")[0].count()
+    assert passed < 40_000 / (10 if bits == 26 else 5)
